@@ -159,3 +159,8 @@ def shingles(doc: np.ndarray, code: np.ndarray, n_docs: int, k: int) -> tuple[np
 def word_count(column: str = "text"):
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def let(value, body):
+    """body(value) with value computed once a row: inside a lambda, an outer expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), 0)
