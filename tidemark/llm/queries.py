@@ -6,11 +6,12 @@ from .bpe import op7_bpe
 from .imatch import op6_fingerprints
 from .linededup import OP8_SQL, op8_line_dedup
 from .mixing import op1_mixing
+from .ngram_join import op2_ngram_join
 from .quality import op4_quality
 from .rules import op5_quality_rules
 from .tokencount import op10_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality, op5_quality_rules, op6_fingerprints, op7_bpe, op8_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_ngram_join, op4_quality, op5_quality_rules, op6_fingerprints, op7_bpe, op8_line_dedup, op10_token_counts)}
 
 #: Where SQL can give the whole result; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL}
