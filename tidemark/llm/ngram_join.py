@@ -100,7 +100,7 @@ def _runs(batches, columns: list[str]):
     """Whole runs of equal `element`, as dicts of arrays with several runs each, and where each begins; equal nodes of a run once."""
     held = None
     for batch in batches:
-        now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in columns}
+        now = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns}
         if held is not None:
             now = {c: np.concatenate([held[c], now[c]]) for c in columns}
         change = np.flatnonzero(now["element"][1:] != now["element"][:-1]) + 1
@@ -170,12 +170,12 @@ def _first_pairs(batches, num: int, den: int):
             out = _pair_batch(rows, i[ok], j[ok])
             if len(out[0]):
                 zero = np.zeros(len(out[0]), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (zero, *out, zero)], names=["kind", *_PAIR, "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zero, *out, zero)], names=["kind", *_PAIR, "pos"])
         if post:
             p = np.concatenate(post)
             e = rows["element"][p]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (np.ones(len(p), np.int64), rows["node"][p], rows["n"][p], e, np.zeros(len(p), np.int64), rows["pos"][p])],
+                [pa.array(x, pa.int64()) for x in (np.ones(len(p), np.int64), rows["node"][p], rows["n"][p], e, np.zeros(len(p), np.int64), rows["pos"][p])],
                 names=["kind", *_PAIR, "pos"],
             )
 
@@ -196,7 +196,7 @@ def _cross_pairs(batches, num: int, den: int):
                 ok &= _possible(n[head][:, None], n[tail][None], own["pos"][head][:, None], own["pos"][tail][None], num, den)
                 i, j = np.nonzero(ok)
                 if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _pair_batch(own, head[i], tail[j])], names=_PAIR)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _pair_batch(own, head[i], tail[j])], names=_PAIR)
 
 
 def _bounded(batches, num: int, den: int):
