@@ -1,5 +1,57 @@
-"""Stages of a corpus pipeline."""
-STAGES = []
+"""Corpus pipeline: five stages over `documents`, each written and read again before the next."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, linededup, mixing, ngram_join, quality
+from tidemark.llm.common import documents, saved
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose quality score is under the threshold; the network is fitted on this input and the labels."""
+    net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, net).filter(F.col("score") >= quality.THRESHOLD).drop("score")
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated three-line windows; n_chars follows the text. Documents of which no word is left go."""
+    out = linededup.dedup_lines(docs)
+    gone = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
+    return out.filter(~gone).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the least doc_id of each group of near duplicates: five words, similarity 0.8."""
+    return ngram_join.keep_one(docs, k=5, num=4, den=5)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time that the mix takes a document, shard by shard."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of ids and decoded text for each row of the mix."""
+    return bpe.encode_digests(docs)
+
+
+STAGES = [
+    ("quality classifier", classify),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", join_ngrams),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
+]
+
+#: A learned filter comes first: SQL cannot give its rows. Each stage is tested against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table of documents."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name.split()[0]}")
+    return STAGES[-1][1](spark, docs, sf_dir)
