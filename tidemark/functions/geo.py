@@ -24,32 +24,20 @@ def square_wkt(lon: Column, lat: Column, size: float) -> Column:
 
 
 def nztm(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """Easting and northing in metres, by the transverse Mercator series to sixth order."""
-    e2 = FLATTENING * (2 - FLATTENING)
-    e4, e6 = e2 * e2, e2 * e2 * e2
-    phi = F.radians(lat)
-    meridian = A * (
-        (1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256) * phi
-        - (3 / 8) * (e2 + e4 / 4 + 15 * e6 / 128) * F.sin(2 * phi)
-        + (15 / 256) * (e4 + 3 * e6 / 4) * F.sin(4 * phi)
-        - (35 * e6 / 3072) * F.sin(6 * phi)
-    )
-    s, c = F.sin(phi), F.cos(phi)
-    nu = A / F.sqrt(1 - e2 * s * s)
-    psi = nu / (A * (1 - e2) / F.pow(1 - e2 * s * s, 1.5))
-    t2 = F.pow(F.tan(phi), 2)
-    w = F.radians(lon - MERIDIAN)
-    wc2 = w * w * c * c
-    east = nu * w * c * (
-        1 + wc2 / 6 * (psi - t2)
-        + wc2 * wc2 / 120 * (4 * F.pow(psi, 3) * (1 - 6 * t2) + psi * psi * (1 + 8 * t2) - psi * 2 * t2 + t2 * t2)
-    )
-    north = meridian + nu * s * w * w * c / 2 * (
-        1 + wc2 / 12 * (4 * psi * psi + psi - t2)
-        + wc2 * wc2 / 360 * (8 * F.pow(psi, 4) * (11 - 24 * t2) - 28 * F.pow(psi, 3) * (1 - 6 * t2) + psi * psi * (1 - 32 * t2) - psi * 2 * t2 + t2 * t2)
-    )
-    return EAST + SCALE * east, NORTH + SCALE * north
-
-
-def metres_per_degree() -> float:
-    return math.pi / 180 * A
+    """Easting and northing in metres, by the transverse Mercator series in the third flattening, to fourth order."""
+    n = FLATTENING / (2 - FLATTENING)
+    series = (
+        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
+        61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280,
+    )
+    radius = A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    c = 2 * math.sqrt(n) / (1 + n)
+    s, w = F.sin(F.radians(lat)), F.radians(lon - MERIDIAN)
+    t = F.sinh(F.atanh(s) - c * F.atanh(c * s))
+    xi, eta = F.atan2(t, F.cos(w)), F.atanh(F.sin(w) / F.sqrt(1 + t * t))
+    east, north = eta, xi
+    for i, a in enumerate(series):
+        k = 2 * (i + 1)
+        east = east + a * F.cos(k * xi) * F.sinh(k * eta)
+        north = north + a * F.sin(k * xi) * F.cosh(k * eta)
+    return EAST + SCALE * radius * east, NORTH + SCALE * radius * north

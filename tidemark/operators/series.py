@@ -94,7 +94,7 @@ def with_anomalies(df: DataFrame, key: str = "region_id") -> DataFrame:
         "rolling_7d_anomaly_c": F.avg("anomaly_c").over(by.rowsBetween(-6, 0)),
         "rolling_30d_anomaly_c": F.avg("anomaly_c").over(by.rowsBetween(-29, 0)),
         "warming_rate_7d_c": F.col("mean_sst_c") - F.lag("mean_sst_c", 7).over(by),
-    }).withColumn("status", labels.status(F.col("anomaly_c")))
+    }).withColumn("status", labels.status(F.round("anomaly_c", 9)))  # noise of a sum does not decide at a limit
 
 
 ANOMALY_COLUMNS = [
@@ -144,9 +144,9 @@ def heat_events(rows: DataFrame, *, least_days: int = 5, threshold_c: float = 0.
     ).filter(F.col("duration_days") >= least_days)
     return runs.join(F.broadcast(latest)).select(  # one row
         labels.event_id(F.col(entity[0]), F.col("start_date")).alias("event_id"), *entity, "start_date", "end_date", "duration_days",
-        F.col("peak.date").alias("peak_date"), F.col("peak.mean_sst_c").alias("peak_sst_c"), F.round("max_anomaly_c", digits).alias("max_anomaly_c"),
-        F.round("mean_anomaly_c", digits).alias("mean_anomaly_c"), F.round("max_exceedance_c", digits).alias("max_exceedance_c"),
-        F.round("mean_exceedance_c", digits).alias("mean_exceedance_c"), labels.severity(F.col("max_exceedance_c")).alias("severity"),
+        F.col("peak.date").alias("peak_date"), F.col("peak.mean_sst_c").alias("peak_sst_c"), F.round(F.round("max_anomaly_c", 9), digits).alias("max_anomaly_c"),
+        F.round(F.round("mean_anomaly_c", 9), digits).alias("mean_anomaly_c"), F.round(F.round("max_exceedance_c", 9), digits).alias("max_exceedance_c"),
+        F.round(F.round("mean_exceedance_c", 9), digits).alias("mean_exceedance_c"), labels.severity(F.col("max_exceedance_c")).alias("severity"),
         (F.col("end_date") == F.col("latest")).alias("is_active"), F.lit(threshold_c).alias("threshold_c"), F.lit(least_days).alias("min_duration_days"),
     )
 

@@ -38,7 +38,7 @@ def _anomalies(name: str, source: str) -> str:
     SELECT date, region_id, region_code, region_name, mean_sst_c, min_sst_c, max_sst_c, cell_count, day_of_year, clim_mean_sst_c, clim_p90_sst_c, sample_size,
         anomaly_c, above_p90,
         avg(anomaly_c) OVER (w ROWS 6 PRECEDING) AS rolling_7d_anomaly_c, avg(anomaly_c) OVER (w ROWS 29 PRECEDING) AS rolling_30d_anomaly_c,
-        mean_sst_c - lag(mean_sst_c, 7) OVER w AS warming_rate_7d_c, {STATUS.format('anomaly_c')} AS status
+        mean_sst_c - lag(mean_sst_c, 7) OVER w AS warming_rate_7d_c, {STATUS.format('round(anomaly_c, 9)')} AS status
     FROM {name}_a WINDOW w AS (PARTITION BY region_id ORDER BY date)
 )"""
 
@@ -61,8 +61,8 @@ def _events(name: str, source: str) -> str:
 ), {name} AS (
     SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', strpos('0123456789abcdef', substr(h, 17, 1)) % 4 + CASE WHEN strpos('0123456789abcdef', substr(h, 17, 1)) % 4 = 0 THEN 4 ELSE 0 END, 1)
             || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS event_id,
-        region_id, region_code, region_name, start_date, end_date, duration_days, peak_date, peak_sst_c, round(max_anomaly_c, 4) AS max_anomaly_c,
-        round(mean_anomaly_c, 4) AS mean_anomaly_c, round(max_exceedance_c, 4) AS max_exceedance_c, round(mean_exceedance_c, 4) AS mean_exceedance_c,
+        region_id, region_code, region_name, start_date, end_date, duration_days, peak_date, peak_sst_c, round(round(max_anomaly_c, 9), 4) AS max_anomaly_c,
+        round(round(mean_anomaly_c, 9), 4) AS mean_anomaly_c, round(round(max_exceedance_c, 9), 4) AS max_exceedance_c, round(round(mean_exceedance_c, 9), 4) AS mean_exceedance_c,
         {SEVERITY.format('max_exceedance_c')} AS severity, end_date = (SELECT max(date) FROM {source}) AS is_active, 0.0 AS threshold_c, 5 AS min_duration_days
     FROM {name}_h
 )"""

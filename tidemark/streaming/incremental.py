@@ -12,7 +12,7 @@ from ..operators import history
 def region_daily(points: DataFrame, *, lateness: str = "18 days", entity: tuple[str, ...] = ("region_id",), value: str = "sst") -> DataFrame:
     """Daily aggregates of a stream of points; a day is final once the watermark has passed it."""
     day = F.window("time", "1 day")
-    out = points.withWatermark("time", lateness).groupBy(day, *entity).agg(
+    out = points.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", lateness).groupBy(day, *entity).agg(
         F.avg(value).alias("mean_sst_c"), F.count(value).alias("cell_count"), F.min(value).alias("min_sst_c"), F.max(value).alias("max_sst_c")
     )
     return out.select(F.to_date("window.start").alias("date"), *entity, "mean_sst_c", "cell_count", "min_sst_c", "max_sst_c")
