@@ -30,7 +30,7 @@ def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     sizes = np.diff(offsets)
     n = len(sizes)
     place = offsets[:-1] + PAD * (np.arange(n) + 1)
-    out = np.zeros(len(raw) + PAD * (n + 1) + 1, np.uint8)
+    out = np.zeros(len(raw) + PAD * (n + 1) + 2, np.uint8)  # one byte more than the last text can need
     out[np.arange(len(raw)) + PAD * (np.repeat(np.arange(n), sizes) + 1)] = raw
     halves = np.maximum(1, -(-sizes // HALF))
     doc = np.repeat(np.arange(n), halves)
