@@ -9,8 +9,9 @@ sharing its path with the one before), the node's set is carried down it, the
 overlap of a shared path is computed once, and a subtree is left as soon as its
 remaining length cannot reach the overlap required.
 
-A shingle that many nodes share gives a pair of each with the smallest of its
-size first; only pairs of nodes that the links found so far leave apart follow.
+Of nodes that many share a shingle with, first as few pairs are tried as would
+join them if all were links; then all pairs of those that the links found leave
+apart.
 """
 
 from __future__ import annotations
@@ -96,13 +97,14 @@ def _sets(batches, k: int, num: int, den: int, level: np.ndarray):
             )
 
 
-def _runs(batches, columns: list[str]):
+def _runs(batches, columns: list[str], binary: tuple[str, ...] | list[str] = ()):
     """Whole runs of equal `element`, as dicts of arrays with several runs each, and where each begins; equal nodes of a run once."""
     held = None
     for batch in batches:
         now = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns}
+        now |= {c: batch.column(c).to_numpy(zero_copy_only=False) for c in binary}
         if held is not None:
-            now = {c: np.concatenate([held[c], now[c]]) for c in columns}
+            now = {c: np.concatenate([held[c], v]) for c, v in now.items()}
         change = np.flatnonzero(now["element"][1:] != now["element"][:-1]) + 1
         if not len(change):
             held = now
@@ -144,7 +146,7 @@ _PAIR = ["a", "na", "b", "nb"]
 
 
 def _first_pairs(batches, num: int, den: int):
-    """Rows kind 0: pairs of small runs, and in large ones of each node with the smallest whose size allows a link. Kind 1: the postings of large runs."""
+    """Rows kind 0: all possible pairs of small runs. Kind 1: the postings of large ones."""
     for rows, begin, length in _runs(batches, ["element", "node", "n", "pos"]):
         firsts, seconds = [], []
         for r in range(2, SMALL_RUN + 1):
@@ -154,16 +156,7 @@ def _first_pairs(batches, num: int, den: int):
                     firsts.append(own + x)
                     seconds.append(own + y)
         large = np.flatnonzero(length > SMALL_RUN)
-        post = []
-        for b, m in zip(begin[large].tolist(), length[large].tolist()):
-            n = rows["n"][b : b + m]
-            at = 0
-            while at < m:  # sizes ascend: a head, then all that it may link with
-                end = int(np.searchsorted(n, n[at] * den // num, side="right"))
-                firsts.append(np.full(end - at - 1, b + at))
-                seconds.append(np.arange(b + at + 1, b + end))
-                at = end
-            post.append(np.arange(b, b + m))
+        post = [np.arange(b, b + m) for b, m in zip(begin[large].tolist(), length[large].tolist())]
         if firsts:
             i, j = np.concatenate(firsts), np.concatenate(seconds)
             ok = _possible(rows["n"][i], rows["n"][j], rows["pos"][i], rows["pos"][j], num, den)
@@ -180,23 +173,56 @@ def _first_pairs(batches, num: int, den: int):
             )
 
 
-def _cross_pairs(batches, num: int, den: int):
-    """Pairs of nodes of a run that carry different labels."""
-    for rows, begin, length in _runs(batches, ["element", "node", "n", "pos", "label"]):
+def _differ(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which the bitmaps of each pair differ, the longer one folded to the shorter."""
+    sizes = np.array([len(x) for x in bits])
+    out = np.zeros(len(i), np.int64)
+    shorter = np.minimum(sizes[i], sizes[j])
+    for size in np.unique(shorter):
+        own = np.flatnonzero(shorter == size)
+        used = np.unique(np.concatenate([i[own], j[own]]))
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(bits[u], np.uint64).reshape(-1, size // 8), axis=0) for u in used])
+        x, y = folded[np.searchsorted(used, i[own])], folded[np.searchsorted(used, j[own])]
+        out[own] = np.bitwise_count(x ^ y).sum(axis=1)
+    return out
+
+
+def _cross_pairs(batches, num: int, den: int, forest: bool):
+    """Pairs of nodes of a run that carry different labels and may be similar by size, position and bitmaps.
+
+    With `forest`, a pair joins the labels of its nodes as soon as it is found:
+    a run of m nodes gives fewer than m pairs.
+    """
+    for rows, begin, length in _runs(batches, ["element", "node", "n", "pos", "label"], ["bits"]):
         for b, m in zip(begin.tolist(), length.tolist()):
             own = {c: v[b : b + m] for c, v in rows.items()}
-            label, n = own["label"], own["n"]
-            if (label == label[0]).all():
-                continue
-            for at in range(0, m, 256):  # blocks against all that follow and may link
-                head = np.arange(at, min(at + 256, m))
-                end = int(np.searchsorted(n, n[head[-1]] * den // num, side="right"))
-                tail = np.arange(at, end)
+            label, n = own["label"].copy(), own["n"]
+            block = max(1, min(256, 1_000_000 // m))
+            for at in range(0, m, block):  # blocks against all that follow and may link
+                if (label == label[0]).all():
+                    break
+                head = np.arange(at, min(at + block, m))
+                tail = np.arange(at, int(np.searchsorted(n, n[head[-1]] * den // num, side="right")))
                 ok = (label[head][:, None] != label[tail][None]) & (head[:, None] < tail[None])
                 ok &= _possible(n[head][:, None], n[tail][None], own["pos"][head][:, None], own["pos"][tail][None], num, den)
-                i, j = np.nonzero(ok)
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _pair_batch(own, head[i], tail[j])], names=_PAIR)
+                every_i, every_j = (x[k] for x, k in zip((head, tail), np.nonzero(ok)))
+                for c in range(0, len(every_i), 20_000):
+                    i, j = every_i[c : c + 20_000], every_j[c : c + 20_000]
+                    if forest:
+                        apart = label[i] != label[j]
+                        i, j = i[apart], j[apart]
+                    inter = (n[i] + n[j] - _differ(own["bits"], i, j)) // 2
+                    near = den * inter >= num * (n[i] + n[j] - inter)
+                    i, j = i[near], j[near]
+                    if forest:
+                        joins = np.zeros(len(i), bool)
+                        for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+                            if label[x] != label[y]:
+                                joins[k] = True
+                                label[label == label[y]] = label[x]
+                        i, j = i[joins], j[joins]
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _pair_batch(own, i, j)], names=_PAIR)
 
 
 def _bounded(batches, num: int, den: int):
@@ -344,20 +370,21 @@ class NgramJoin:
             .mapInArrow(lambda b: _first_pairs(b, num, den), "kind bigint, a bigint, na bigint, b bigint, nb bigint, pos bigint"),
             "ngram-found",
         )
-        pairs = saved(found.filter("kind = 0").select(*_PAIR).distinct(), "ngram-pairs")
+        crowded = found.filter("kind = 1").select(F.col("a").alias("node"), F.col("na").alias("n"), F.col("b").alias("element"), "pos")
+        crowded = crowded.join(self.nodes.select("node", "n", "bits"), ["node", "n"])
+
+        def cross(labelled: DataFrame, forest: bool) -> DataFrame:
+            rows = labelled.repartition("element").sortWithinPartitions(*sort)
+            return rows.mapInArrow(lambda b: _cross_pairs(b, num, den, forest), "a bigint, na bigint, b bigint, nb bigint")
+
+        forest = cross(crowded.withColumn("label", F.col("node")), True)
+        pairs = saved(found.filter("kind = 0").select(*_PAIR).union(forest).distinct(), "ngram-pairs")
         links = self._links(pairs)
         labels = components(links)
-        crowded = found.filter("kind = 1").select(F.col("a").alias("node"), F.col("na").alias("n"), F.col("b").alias("element"), "pos")
-        if not crowded.isEmpty():
-            labelled = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            more = (
-                labelled.repartition("element").sortWithinPartitions(*sort)
-                .mapInArrow(lambda b: _cross_pairs(b, num, den), "a bigint, na bigint, b bigint, nb bigint")
-                .distinct().join(pairs, _PAIR, "left_anti")
-            )
-            more = saved(more, "ngram-more")
-            if not more.isEmpty():
-                labels = components(links.union(self._links(more)))
+        labelled = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        more = saved(cross(labelled, False).distinct().join(pairs, _PAIR, "left_anti"), "ngram-more")
+        if not more.isEmpty():
+            labels = components(links.union(self._links(more)))
         named = self.nodes.drop("bits").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         least = named.groupBy("label").agg(F.min("root").alias("least"))
         return named.join(least, "label").select("node", "n", F.col("least").alias("label"))
