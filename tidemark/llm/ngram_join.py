@@ -9,9 +9,10 @@ sharing its path with the one before), the node's set is carried down it, the
 overlap of a shared path is computed once, and a subtree is left as soon as its
 remaining length cannot reach the overlap required.
 
-Of nodes that many share a shingle with, first as few pairs are tried as would
-join them if all were links; then all pairs of those that the links found leave
-apart.
+Of nodes that many share a shingle with, as few pairs are tried as would join
+them if all were links: first of pairs that their bitmaps make likely, then of
+those that they make possible; last, all pairs of nodes that the links found
+leave apart. Nodes that links have joined are one in what follows.
 """
 
 from __future__ import annotations
@@ -187,16 +188,30 @@ def _differ(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
-def _cross_pairs(batches, num: int, den: int, forest: bool):
+def _similar(n_i, n_j, differ, num: int, den: int) -> np.ndarray:
+    """Are sets of these sizes that differ in so many elements similar."""
+    inter = (n_i + n_j - differ) // 2
+    return den * inter >= num * (n_i + n_j - inter)
+
+
+def _estimate(differ: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Elements in which sets differ, expected where their parity bitmaps differ in so many bits: equal parities hide some."""
+    with np.errstate(divide="ignore"):
+        return np.maximum(differ, -bits / 2 * np.log(np.maximum(1 - 2 * differ / bits, 0)))
+
+
+def _cross_pairs(batches, num: int, den: int, forest: bool, likely: bool):
     """Pairs of nodes of a run that carry different labels and may be similar by size, position and bitmaps.
 
-    With `forest`, a pair joins the labels of its nodes as soon as it is found:
-    a run of m nodes gives fewer than m pairs.
+    With `forest`, a pair joins the labels of its nodes as soon as it is found,
+    the most similar first: a run of m nodes gives fewer than m pairs. With
+    `likely`, only pairs that are similar by the bitmaps' estimate.
     """
     for rows, begin, length in _runs(batches, ["element", "node", "n", "pos", "label"], ["bits"]):
         for b, m in zip(begin.tolist(), length.tolist()):
             own = {c: v[b : b + m] for c, v in rows.items()}
             label, n = own["label"].copy(), own["n"]
+            bits = np.array([8 * len(x) for x in own["bits"]])  # no fewer for a larger set: rows come by size
             block = max(1, min(256, 1_000_000 // m))
             for at in range(0, m, block):  # blocks against all that follow and may link
                 if (label == label[0]).all():
@@ -211,10 +226,14 @@ def _cross_pairs(batches, num: int, den: int, forest: bool):
                     if forest:
                         apart = label[i] != label[j]
                         i, j = i[apart], j[apart]
-                    inter = (n[i] + n[j] - _differ(own["bits"], i, j)) // 2
-                    near = den * inter >= num * (n[i] + n[j] - inter)
-                    i, j = i[near], j[near]
+                    differ = _differ(own["bits"], i, j)
+                    near = _similar(n[i], n[j], differ, num, den)
+                    if likely:
+                        near &= _similar(n[i], n[j], _estimate(differ, bits[np.minimum(i, j)]), num, den)
+                    i, j, differ = i[near], j[near], differ[near]
                     if forest:
+                        closest = np.argsort(differ / (n[i] + n[j]), kind="stable")
+                        i, j = i[closest], j[closest]
                         joins = np.zeros(len(i), bool)
                         for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
                             if label[x] != label[y]:
@@ -293,6 +312,16 @@ def _linked(batches, num: int, den: int):
         yield links()
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, label) of components after further links (a, b): components of labels, each of which now stands for its nodes."""
+    of = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"of_{s}"))
+    edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    merged = components(edges)
+    new = merged.join(labels, "node", "left_anti")
+    to = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return saved(labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label")).union(new), "ngram-labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each connected component of (a, b); nodes without edges are absent.
 
@@ -360,6 +389,12 @@ class NgramJoin:
         rows = probes.unionByName(partners).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
         return saved(rows.mapInArrow(lambda x: _linked(x, num, den), "a bigint, b bigint"), "ngram-links")
 
+    def _cross(self, labelled: DataFrame, *, forest: bool, likely: bool) -> DataFrame:
+        """Candidate pairs of postings that share an element and carry different labels; a pair may repeat."""
+        num, den = self.num, self.den
+        rows = labelled.repartition("element").sortWithinPartitions("element", "n", "node")
+        return rows.mapInArrow(lambda b: _cross_pairs(b, num, den, forest, likely), "a bigint, na bigint, b bigint, nb bigint")
+
     def classes(self) -> DataFrame:
         """(node, n, root, label): label is the least root of the nodes that links join."""
         num, den = self.num, self.den
@@ -373,18 +408,18 @@ class NgramJoin:
         crowded = found.filter("kind = 1").select(F.col("a").alias("node"), F.col("na").alias("n"), F.col("b").alias("element"), "pos")
         crowded = crowded.join(self.nodes.select("node", "n", "bits"), ["node", "n"])
 
-        def cross(labelled: DataFrame, forest: bool) -> DataFrame:
-            rows = labelled.repartition("element").sortWithinPartitions(*sort)
-            return rows.mapInArrow(lambda b: _cross_pairs(b, num, den, forest), "a bigint, na bigint, b bigint, nb bigint")
-
-        forest = cross(crowded.withColumn("label", F.col("node")), True)
-        pairs = saved(found.filter("kind = 0").select(*_PAIR).union(forest).distinct(), "ngram-pairs")
-        links = self._links(pairs)
-        labels = components(links)
-        labelled = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        more = saved(cross(labelled, False).distinct().join(pairs, _PAIR, "left_anti"), "ngram-more")
-        if not more.isEmpty():
-            labels = components(links.union(self._links(more)))
+        def apart(labels: DataFrame) -> DataFrame:
+            return crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+        first = self._cross(crowded.withColumn("label", F.col("node")), forest=True, likely=True)
+        tried = saved(found.filter("kind = 0").select(*_PAIR).union(first).distinct(), "ngram-pairs")
+        labels = components(self._links(tried))
+        for forest in (True, False):
+            more = self._cross(apart(labels), forest=forest, likely=False)
+            more = saved(more.distinct().join(tried, _PAIR, "left_anti"), "ngram-more")
+            if not more.isEmpty():
+                labels = joined(labels, self._links(more))
+                tried = tried.union(more)
         named = self.nodes.drop("bits").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         least = named.groupBy("label").agg(F.min("root").alias("least"))
         return named.join(least, "label").select("node", "n", F.col("least").alias("label"))
