@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import geo
-from tidemark.operators import cells, monitoring, projection, spatial, validate
+from tidemark.operators import cells, monitoring, projection, series, spatial, validate
+from tidemark.plans import proxy, queries
 from tidemark.sources import files
 from tidemark.streaming import incremental
 
@@ -151,6 +152,24 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got and all(want[k] == v for k, v in got.items()) and len(got) >= len(want) - 8
 
 
+def test_stream_keeps_open_days(spark, tmp_path):
+    def cut(df):
+        return {tuple(r) for r in df.select("date", "region_id", "mean_sst_c", "cell_count", "min_sst_c", "max_sst_c").collect()}
+
+    sf = "/root/testdata/sf0.001"
+    got = queries.QUERIES["stream_region_daily"](spark, sf)
+    assert cut(got) == cut(proxy.daily(spark, sf)) and got.count() == proxy.daily(spark, sf).count()
+    start = dt.datetime(2026, 1, 1)
+    rows = [(start + dt.timedelta(hours=7 * i), i % 2, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "time timestamp, region_id int, sst double").coalesce(1)
+    for part in (df.limit(101), df.offset(99)):  # several files, read in batches that share a day
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = incremental.region_daily(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")))
+        incremental.keep_daily(out, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    both = spark.read.parquet(str(tmp_path / "in")).withColumn("date", F.to_date("time"))
+    assert cut(incremental.kept_daily(spark, str(tmp_path / "o"), out.schema)) == cut(series.daily_aggregate(both, ("region_id",)))
+
+
 def test_stream_append_is_idempotent(spark, tmp_path):
     df = spark.createDataFrame([(D(2026, 1, d), 1, 1.0) for d in (1, 2, 3)], "date date, region_id int, v double")
     df.limit(2).write.parquet(str(tmp_path / "t"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators import history
 
@@ -18,6 +19,25 @@ def region_daily(points: DataFrame, *, lateness: str = "18 days", entity: tuple[
     return out.select(F.to_date("window.start").alias("date"), *entity, "mean_sst_c", "cell_count", "min_sst_c", "max_sst_c")
 
 
+def keep_daily(daily: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Keep every day of a stream of daily aggregates, days that the watermark has not passed included.
+
+    Each batch's new and changed rows go to a folder of their own under `target`,
+    which a replay overwrites; `kept_daily` reads the last state of each key.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return daily.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def kept_daily(spark: SparkSession, target: str, schema: StructType, *, key: tuple[str, ...] = history.KEY) -> DataFrame:
+    """The table that `keep_daily` has written: of each key the row of its last batch."""
+    rows = spark.read.schema(StructType([*schema, StructField("batch", LongType())])).parquet(target)
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*[c for c in schema.names if c not in key]), "batch").alias("_r")).select(*key, "_r.*").select(*schema.names)
+
+
 def append_missing(rows: DataFrame, target: str, checkpoint: str, *, key: tuple[str, ...] = history.KEY) -> StreamingQuery:
     """Append rows whose key the Parquet table at `target` lacks; replays add nothing.
 
