@@ -219,6 +219,21 @@ def test_patterns_find_unseen_identifiers(spark):
     assert [(s.kind, s.start, s.end) for s in got[9]] == [("ip", 13, 28)] and not got[10] and not any(got[i] for i in range(9))
 
 
+def test_patterns_of_seeds_without_digits_and_spaced_numbers(spark):
+    names = ["jane.doe", "max", "ann", "tom.roe", "eva"]
+    made = [f"please write to {n}@example.com today" for n in names] + [f"she said call me +1 (301) 555-034{i} today" for i in range(5)]
+    unseen = {
+        "please write to jane[at]example.com, today": ("email", "jane[at]example.com"), "please write to jane (at) example (dot) com": ("email", "jane (at) example (dot) com"),
+        "please write to jane at example dot com": ("email", "jane at example dot com"), "call me (415) 555-0134, please": ("phone", "(415) 555-0134"),
+        "é call me 0171 555 0134 please": ("phone", "0171 555 0134"), "call me 555-0134 10.0.0.9 please": ("phone", "555-0134"),
+        "no pattern (415) 555-0134 or jane[at]example.com": None, "please write to jane today": None,
+    }
+    got = {r.doc_id: r.more_spans for r in pii.find(table(spark, made + list(unseen))).collect()}
+    for i, (text, want) in enumerate(unseen.items()):
+        assert [(s.kind, text[s.start : s.end]) for s in got[len(made) + i]] == ([want] if want else []), text
+    assert not any(got[i] for i in range(len(made)))
+
+
 def test_random_tokens_are_found(spark):
     rng = random.Random(5)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"

@@ -1,10 +1,12 @@
 """Personal data by bootstrapped contextual extraction, with DataFrame functions only.
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers: the
-seeds. The two words before a token with a digit are its lexical pattern.
-Patterns and tokens form a graph, scored in rounds: a pattern by the share of
-its tokens' scores, a token by the mean of its patterns', seeds staying at 1.
-Tokens that no base pattern matched but that stand behind a pattern of high
+seeds, whatever their characters. The two words of the text before the token
+that a seed or candidate begins in are its lexical pattern; candidates are
+tokens with a digit, number tokens joined by spaces and tokens like e-mail
+addresses. Patterns and values form a graph, scored in rounds: a pattern by the
+share of its values' scores, a value by the mean of its patterns', seeds staying
+at 1. Candidates that meet no base span but stand behind a pattern of high
 confidence are added.
 """
 
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, need, saved
-from .spans import overlaps, spans, written
+from .spans import spans, written
 
 KINDS = ["email", "ip", "card", "phone"]
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -26,8 +28,27 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: A token with a digit, from its start.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+_SPACE, _WORD = r"\x20\x09-\x0D", r"[^\x20\x09-\x0D]"
+_TOKEN = rf"[^{_SPACE}0-9]*+[0-9]{_WORD}*+"
+#: Number tokens joined by spaces, of at most 19 digits, without the punctuation behind them.
+_RUN = rf"(?=[0-9().+/-]++\x20)[+(]{{0,2}}+[0-9](?:[().+/-]{{0,3}}+(?:\x20(?:-\x20)?+[(+]{{0,2}}+)?+[0-9]){{1,18}}\)?+(?=[.,;:!?\"'\])}}>]*+(?!{_WORD}))"
+_OPEN, _CLOSE = r"\x20?[\[({<]\x20?", r"\x20?[\])}>]\x20?"
+_DOT = rf"(?:{_OPEN}(?i:dot){_CLOSE}|\x20(?i:dot)\x20)"
+#: A local part, a sign or word "at" and a host: name@host, name[at]host, name (at) host (dot) com, name_at_host.com, name at host dot com.
+_END = rf"(?:{_WORD}*[\p{{L}}0-9])"
+LIKE_EMAIL = (
+    rf"[^{_SPACE}@]+?(?:(?:@|{_OPEN}(?i:at){_CLOSE}){_END}(?:{_DOT}{_END})*+"
+    rf"|[_-](?i:at)[_-]{_WORD}{{1,253}}?(?:\.|[_-](?i:dot)[_-])[\p{{L}}0-9]{_END}?+|\x20(?i:at)\x20[^{_SPACE}.]++(?:\x20(?i:dot)\x20{_END})++)"
+)
+#: A candidate, from the start of a token.
+CANDIDATE = rf"(?<!{_WORD})(?:{LIKE_EMAIL}|{_RUN}|{_TOKEN})"
+#: Without this there is no candidate.
+MAYBE = r"[0-9@]|(?i:[\[({<]\x20?at\x20?[\])}>]|[_-]at[_-]|\x20dot\x20)"
+#: A token with a digit.
+TOKEN = rf"(?<!{_WORD}){_TOKEN}"
+NODES = "array<struct<start:int,end:int,value:string,before:string,kind:string>>"
+#: Kinds whose members may hold spaces.
+SPACED = ("card", "phone")
 #: Rounds of scoring; least score of a pattern, distinct seeds behind it, and digits of a token that it adds.
 ROUNDS, CONFIDENCE, SEEDS, DIGITS = 3, 0.8, 3, 6
 
@@ -65,9 +86,19 @@ def base(text: Column) -> dict[str, Column]:
     return {k: F.filter(spans(text, k, PATTERNS[k], maybe[k]), _valid(k)) for k in KINDS}
 
 
-def _before(gap: Column) -> Column:
-    """The last two words of the text in front of a token, lower-cased; those of up to 40 characters."""
-    return F.lower(F.regexp_extract(F.substring(gap, -82, 82), r"((?:[^\x20\x09-\x0D]{1,40}[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]{1,40})[\x20\x09-\x0D]*$", 1))
+#: Characters that a pattern is read from: two words of up to 40 and a space each.
+_REACH = 82
+
+
+def _before(text: Column, start: Column, near: Column) -> Column:
+    """The two words in front of the token at `start`, lower-cased; those of up to 40 characters.
+
+    `near` is the text that ends at `start`; where it is shorter than the reach, the text itself is read.
+    """
+    n = F.length(near)
+    own = F.substring(text, F.greatest(start - (_REACH - 1), F.lit(1)), F.least(start, F.lit(_REACH)))
+    ahead = F.when((n >= _REACH) | (n == start), F.substring(near, F.lit(-_REACH), F.lit(_REACH))).otherwise(own)
+    return F.lower(F.regexp_extract(ahead, rf"(?:^|[{_SPACE}])((?:{_WORD}{{1,40}}[{_SPACE}]+)?{_WORD}{{1,40}})[{_SPACE}]+{_WORD}*$", 1))
 
 
 def patterns(candidates: DataFrame) -> DataFrame:
@@ -104,27 +135,40 @@ def find(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", *[c.alias(k) for k, c in base(text).items()])
     found = found.withColumn("base", F.concat(*KINDS))
-    tokens = spans(text, "token", TOKEN, F.rlike(text, F.lit("[0-9]")))
-
-    def candidate(s: Column) -> Column:
-        hit = F.get(F.filter("base", lambda b: overlaps(b, s)), 0)
-        return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _before(s["gap"]).alias("before"), hit["kind"].alias("kind")
-        )
-
+    made = found.select("*", spans(text, "token", CANDIDATE, F.rlike(text, F.lit(MAYBE))).alias("made"))
+
+    def node(s: Column, near: Column, kind: Column, shift: Column | int = 0) -> Column:
+        start = s["start"] + shift
+        return F.struct(start.alias("start"), (s["end"] + shift).alias("end"), s["value"].alias("value"), _before(text, start, near).alias("before"), kind.alias("kind"))
+
+    def candidate(s: Column, i: Column) -> Column:
+        """The candidate itself, or where it meets a base span those of its tokens that do not."""
+        free = lambda x, shift=0: ~F.exists("base", lambda b: (x["start"] + shift < b["end"]) & (b["start"] < x["end"] + shift))
+        last = [F.get("made", i - k) for k in (3, 2, 1)]
+        near = F.concat(*[F.coalesce(p[c], F.lit("")) for p in last for c in ("gap", "value")], s["gap"])
+        parts = F.filter(spans(s["value"], "token", TOKEN), lambda t: free(t, s["start"]))
+        split = F.transform(parts, lambda t: node(t, F.lit(""), F.lit(None).cast("string"), s["start"]))
+        return F.when(free(s), F.array(node(s, near, F.lit(None).cast("string")))).when(F.contains(s["value"], F.lit(" ")), split).otherwise(F.array().cast(NODES))
+
+    seeds = F.transform("base", lambda s: node(s, s["gap"], s["kind"]))
+    tokens = F.concat(seeds, F.flatten(F.transform("made", candidate)))
     short = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     rows = saved(
-        found.select(
+        made.select(
             "doc_id", F.xxhash64("text").alias("_t"), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
-            short.alias("base_spans"), F.transform(tokens, candidate).alias("tokens"),
+            short.alias("base_spans"), tokens.alias("tokens"),
         ),
         "pii-found",
     )
     tokens = rows.select("doc_id", "_t", F.explode("tokens").alias("s")).select("doc_id", "_t", "s.*")
     good = patterns(tokens.select("before", "value", "kind"))
-    enough = F.length(_digits(F.col("value"))) >= DIGITS
+    like_email = F.rlike("value", F.lit(f"^(?:{LIKE_EMAIL})$"))
+    # where the pattern's kind holds no spaces, a run is its first token
+    whole = F.when(F.col("kind").isin(*SPACED) | like_email, F.col("value")).otherwise(F.substring_index("value", " ", 1))
+    enough = ((F.col("kind") == "email") & like_email) | (F.length(_digits(whole)) >= DIGITS)
     more = (
-        tokens.filter(F.col("kind").isNull() & enough).drop("kind").join(good, "before")
+        tokens.filter(F.col("kind").isNull()).drop("kind").join(good, "before")
+        .filter(enough).withColumn("end", F.col("start") + F.length(whole))
         .groupBy(F.col("doc_id").alias("_id"), F.col("_t").alias("_u"))
         .agg(F.collect_set(F.struct("kind", "start", "end")).alias("more_spans"))
     )
