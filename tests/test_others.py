@@ -76,6 +76,18 @@ def test_classify_cells(spark):
         spatial.classify(c, land, 0)
 
 
+def test_distance_of_every_cell(spark):
+    land = spark.createDataFrame(square(1, 173.9, 174.1, -41.1, -40.9) + square(2, 179.0, 179.1, -41.1, -40.9), EDGES)
+    places = [("land", 174.0, -41.0), ("near", 174.25, -41.0), ("mid", 176.0, -42.0), ("far", 165.0, -48.0), ("farther", 150.0, -10.0), ("farthest", 120.0, 40.0)]
+    c = spark.createDataFrame(places, "cell_id string, longitude double, latitude double")
+    km = F.min(spatial.segment_distance(F.col("px"), F.col("py"))) / 1000
+    pairs = spatial.projected(c.select("cell_id", F.col("longitude").alias("px"), F.col("latitude").alias("py")), [("px", "py")])
+    want = {r.cell_id: r.km for r in pairs.crossJoin(spatial.projected(land, [("x", "y"), ("x2", "y2")])).groupBy("cell_id").agg(km.alias("km")).collect()} | {"land": 0.0}
+    got = {r.cell_id: r for r in spatial.classify(c, land, beyond=True).collect()}
+    assert all(math.isclose(got[k].distance_to_land_km, v, rel_tol=1e-12) for k, v in want.items()) and len(got) == 6 and want["farthest"] > 4800
+    assert [k for k in want if got[k].included_in_coastal_domain] == ["near"]
+
+
 def test_mainland_split(spark):
     rows = square(1, 172, 174, -43, -41) + square(2, 174.2, 175, -42, -41) + square(3, 168, 169, -46, -45) + square(4, 174.0, 174.1, -41.0, -40.9) + square(5, 178, 178.2, -44, -43.9)
     got = {r.polygon: r.kept for r in spatial.mainland(spark.createDataFrame(rows, EDGES)).collect()}

@@ -96,33 +96,47 @@ def segment_distance(px: Column, py: Column) -> Column:
     return F.sqrt(F.pow(px - F.col("x") - t * dx, 2) + F.pow(py - F.col("y") - t * dy, 2))
 
 
-def distances(cells: DataFrame, land: DataFrame, max_km: float) -> DataFrame:
-    """Each cell with is_land and its distance to the land in km, null beyond max_km.
+#: Rounds of distances and by how much each widens the squares; from 75 km the last has 76,800 km, more than the plane spans.
+ROUNDS, WIDER = 6, 4
+
+
+def distances(cells: DataFrame, land: DataFrame, max_km: float, *, beyond: bool = True) -> DataFrame:
+    """Each cell with is_land and its distance to the land in km; null beyond max_km if not `beyond`.
 
     Distances are in the projected plane. Edges are put into every square of a
     coarse grid that they touch, widened by one square; the side of a square is
-    max_km, so that a cell meets all edges within reach in its own square.
+    max_km, so that a cell meets all edges within reach in its own square. Cells
+    that have met none so near go on to wider squares.
     """
-    side = max_km * 1000
     e = projected(land.select("polygon", "x", "y", "x2", "y2"), [("x", "y"), ("x2", "y2")])
-    reach = lambda a, b: F.sequence(F.floor(F.least(a, b) / side).cast("long") - 1, F.floor(F.greatest(a, b) / side).cast("long") + 1)
-    near = e.withColumn("_gx", F.explode(reach(F.col("x"), F.col("x2")))).withColumn("_gy", F.explode(reach(F.col("y"), F.col("y2"))))
     px, py = geo.nztm(F.col("longitude"), F.col("latitude"))
-    at = cells.select("cell_id", px.alias("_px"), py.alias("_py")).withColumns({"_gx": F.floor(F.col("_px") / side).cast("long"), "_gy": F.floor(F.col("_py") / side).cast("long")})
-    found = at.join(near, ["_gx", "_gy"]).groupBy("cell_id").agg((F.min(segment_distance(F.col("_px"), F.col("_py"))) / 1000).alias("_km"))
+    found = cells.select("cell_id", px.alias("_px"), py.alias("_py"), F.lit(None).cast("double").alias("_km")).distinct()
+    for i in range(ROUNDS if beyond else 1):
+        side = max_km * WIDER**i * 1000
+        reach = lambda a, b: F.sequence(F.floor(F.least(a, b) / side).cast("long") - 1, F.floor(F.greatest(a, b) / side).cast("long") + 1)  # noqa: E731, B023
+        near = e.withColumn("_gx", F.explode(reach(F.col("x"), F.col("x2")))).withColumn("_gy", F.explode(reach(F.col("y"), F.col("y2"))))
+        # cells with a distance meet nothing more: squares of no edge, many of them
+        done = F.col("_km").isNotNull()
+        at = found.withColumns({
+            "_gx": F.when(done, F.lit(1 << 40)).otherwise(F.floor(F.col("_px") / side).cast("long")),
+            "_gy": F.when(done, F.xxhash64("cell_id")).otherwise(F.floor(F.col("_py") / side).cast("long")),
+        })
+        met = F.min(segment_distance(F.col("_px"), F.col("_py"))) / 1000
+        found = at.join(near, ["_gx", "_gy"], "left").groupBy("cell_id", "_px", "_py").agg(F.coalesce(F.min("_km"), F.when(met <= side / 1000, met)).alias("_km"))
+    found = found.groupBy("cell_id").agg(F.min("_km").alias("_km"))
     inside = assign(cells.select("cell_id", "longitude", "latitude"), land, lon="longitude", lat="latitude").groupBy("cell_id").agg(F.max(F.col("polygon").isNotNull()).alias("is_land"))
     out = cells.join(inside, "cell_id", "left").join(found, "cell_id", "left")
     on_edge = F.coalesce(F.col("_km") == 0, F.lit(False))
     land_flag = F.coalesce("is_land", F.lit(False)) | on_edge
-    return out.withColumn("is_land", land_flag).withColumn("distance_to_land_km", F.when(F.col("is_land"), 0.0).when(F.col("_km") <= max_km, F.col("_km"))).drop("_km")
+    return out.withColumn("is_land", land_flag).withColumn("distance_to_land_km", F.when(F.col("is_land"), 0.0).otherwise(F.col("_km"))).drop("_km")
 
 
-def classify(cells: DataFrame, land: DataFrame, max_km: float = 75.0) -> DataFrame:
-    """is_land, distance and whether the cell is in the coastal domain: sea within max_km of land."""
+def classify(cells: DataFrame, land: DataFrame, max_km: float = 75.0, *, beyond: bool = False) -> DataFrame:
+    """is_land, distance (of every cell if `beyond`) and whether the cell is in the coastal domain: sea within max_km of land."""
     if max_km <= 0:
         raise ValueError("max_km must be positive")
-    out = distances(cells, land, max_km)
-    return out.withColumn("included_in_coastal_domain", ~F.col("is_land") & F.col("distance_to_land_km").isNotNull())
+    out = distances(cells, land, max_km, beyond=beyond)
+    return out.withColumn("included_in_coastal_domain", ~F.col("is_land") & F.coalesce(F.col("distance_to_land_km") <= max_km, F.lit(False)))
 
 
 def areas(edge_rows: DataFrame, key: str = "polygon") -> DataFrame:

@@ -564,7 +564,7 @@ def project_nztm(spark, sf):
 
 @query("classify_cells", S("SELECT cell_id, is_land, round(distance_to_land_km, 4) AS distance_to_land_km, included_in_coastal_domain FROM classified"))
 def classify_cells(spark, sf):
-    out = spatial.classify(proxy.grid_cells(spark, sf), proxy.edges(spark, proxy.LAND_RINGS))
+    out = spatial.classify(proxy.grid_cells(spark, sf), proxy.edges(spark, proxy.LAND_RINGS), beyond=True)
     return out.select("cell_id", "is_land", F.round("distance_to_land_km", 4).alias("distance_to_land_km"), "included_in_coastal_domain")
 
 
