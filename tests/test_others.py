@@ -111,6 +111,16 @@ def test_projection_against_another_series(spark):
         assert abs(got.e - (1.6e6 + 0.9996 * east)) < 0.05 and abs(got.n - (1e7 + 0.9996 * north)) < 0.05
 
 
+def test_whole_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    dates = {r.d for r in spark.read.parquet(f"{sf}/orders.parquet").select(F.to_date("o_orderdate").alias("d")).collect()}
+    every = {min(dates) + dt.timedelta(days=i) for i in range((max(dates) - min(dates)).days + 1)}
+    assert {r.date for r in queries.QUERIES["missing_dates"](spark, sf).collect()} == every - dates
+    places = {(r.lon, r.lat) for r in proxy.points(spark, sf).collect()}
+    got = queries.QUERIES["project_nztm"](spark, sf).collect()
+    assert len(got) == len(places) and {(r.lon, r.lat) for r in got} == places and all(math.isfinite(r.easting + r.northing) for r in got)
+
+
 def test_text_exclusion(spark):
     df = spark.createDataFrame([("Campbell Island", None), (None, "The Snares"), ("Muttonbird Island", "x")], "name string, group_name string")
     got = [r.exclusion_reason for r in spatial.text_exclusion(df, ["name", "group_name"], ["campbell", "snares"], "remote").collect()]
