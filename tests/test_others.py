@@ -155,6 +155,21 @@ def test_publication_is_all_or_nothing(spark, tmp_path):
         files.publication_plan()
 
 
+def test_gate_runs_every_suite(spark, monkeypatch, tmp_path):
+    sf, seen = "/root/testdata/sf0.001", {}
+    monkeypatch.setattr(queries, "publish_checked", lambda _, tables, __: seen.update(tables) or tables["monitoring"])
+    queries.QUERIES["daily_pipeline"](spark, sf)
+    monkeypatch.undo()
+    m = seen["monitoring"]
+    drop = m.filter("is_provisional").limit(1).select("region_id", "date")
+    seen["monitoring"] = m.join(drop, ["region_id", "date"], "left_anti").select(*m.columns)
+    out = queries.publish_checked(spark, seen, str(tmp_path / "pub"))
+    got = {r.check_name: r.failing_rows for r in out.collect()}
+    assert {n.split(".")[0] for n in got} == {"history", "climatology", "anomalies", "events", "preliminary", "monitoring"}
+    assert got["monitoring.missing_rows"] == 1 and got["monitoring.extra_rows"] == 0 and got["history.missing_region_dates"] > 0
+    assert "anomalies.regions_missing_on_last_date" in got and not (tmp_path / "pub").exists()
+
+
 def test_geojson_round_trip(spark, tmp_path):
     (tmp_path / "r.geojson").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"region_id":1,"region_name":"N"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}]}')
     r = files.read_geojson(spark, str(tmp_path / "r.geojson"), "region_id int, region_name string").first()

@@ -671,16 +671,44 @@ def prelim_events(spark, sf):
     return D6(proxy.preliminary_events(spark, sf), 4)
 
 
+def gate(tables: dict[str, DataFrame]) -> DataFrame:
+    """The checks that a set of tables passes before it is published: all six suites, no check left out."""
+    daily, clim, rows, events, m = (tables[n] for n in ("region_daily_sst", "region_climatology", "region_daily_anomalies", "heat_events", "monitoring"))
+    prelim = [tables[f"preliminary_{n}"] for n in ("daily_sst", "anomalies", "events")]
+    keys = lambda df, product: df.select("region_id", "date", F.lit(product).alias("data_product"))
+    # by key, with no use of the table that is checked; "preliminary" is the greater and wins
+    expected = keys(rows, "final").unionByName(keys(prelim[1], "preliminary")).groupBy("region_id", "date").agg(F.max("data_product").alias("data_product"))
+    parts = {
+        "history": validate.daily_history(daily), "climatology": validate.climatology(clim), "anomalies": validate.anomalies(rows, daily),
+        "events": validate.events(events, rows), "preliminary": validate.preliminary(*prelim), "monitoring": validate.monitoring(m, expected),
+    }
+    return validate.suite(*[r.withColumn("check_name", F.concat(F.lit(f"{n}."), F.col("check_name"))) for n, r in parts.items()])
+
+
+def publish_checked(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> DataFrame:
+    """Publish and return the monitoring table; where a check fails, publish nothing and return the report."""
+    path = work_dir(spark)
+    gate(tables).write.parquet(path)
+    report = spark.read.parquet(path)
+    if not report.filter(~F.col("ok")).isEmpty():
+        return report
+    target = files.Publication(spark, root)
+    final = ("region_daily_sst", "region_climatology", "region_daily_anomalies", "heat_events")
+    groups = {"final": {n: tables[n] for n in final}, "preliminary": {n: df for n, df in tables.items() if n.startswith("preliminary_")}, "monitoring": {"monitoring": tables["monitoring"]}}
+    target.publish(files.publication_plan(**groups))
+    return target.read("monitoring")
+
+
 @query("daily_pipeline")
 def daily_pipeline(spark, sf):
-    """Build, validate, then publish; the published monitoring table is the result."""
-    daily, clim, rows, events = proxy.daily(spark, sf), proxy.climatology(spark, sf), proxy.anomalies(spark, sf), proxy.events(spark, sf)
-    m = proxy.monitoring(spark, sf)
-    report = validate.suite(validate.anomalies(rows, daily), validate.events(events, rows), validate.monitoring(m, m))
-    validate.require(report.filter("check_name <> 'regions_missing_on_last_date'"))
-    target = files.Publication(spark, work_dir(spark))
-    target.publish(files.publication_plan(final={"region_daily_sst": daily, "region_climatology": clim, "region_daily_anomalies": rows, "heat_events": events}, monitoring={"monitoring": m}))
-    return target.read("monitoring")
+    """Build, validate, then publish; the published monitoring table is the result, or the report if a check fails."""
+    daily, clim = proxy.final(spark, sf), proxy.climatology(spark, sf)
+    rows = series.anomalies(daily, clim)
+    return publish_checked(spark, {
+        "region_daily_sst": daily, "region_climatology": clim, "region_daily_anomalies": rows, "heat_events": series.heat_events(rows),
+        "preliminary_daily_sst": history.tag(proxy.preliminary(spark, sf), "preliminary", True), "preliminary_anomalies": proxy.preliminary_anomalies(spark, sf),
+        "preliminary_events": proxy.preliminary_events(spark, sf), "monitoring": proxy.monitoring(spark, sf),
+    }, work_dir(spark))
 
 
 @query("prepare_for_load", S("SELECT date, region_id::BIGINT AS region_id, round(anomaly_c, 6) AS anomaly_c, above_p90, status FROM anomalies"))
