@@ -101,15 +101,11 @@ def _powers(base: int, n: int) -> np.ndarray:
         return np.cumprod(out)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, document, hash) of each word of texts that lie in one byte array.
-
-    A word's hash is a polynomial in its bytes modulo 2**64 (differences of
-    one running sum, brought to a common power), then mixed.
-    """
+def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document) of each word of texts that lie in one byte array."""
     if not len(raw):
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        return none, none, none
     inside = ~_SPACE[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -120,13 +116,24 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np
     begins[edge] = inside[edge]
     ends[edge - 1] = inside[edge - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document, hash) of each word of texts that lie in one byte array.
+
+    A word's hash is a polynomial in its bytes modulo 2**64 (differences of
+    one running sum, brought to a common power), then mixed.
+    """
+    start, end, doc = word_bounds(raw, offsets)
+    if not len(start):
+        return start, end, doc, np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         value = (_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
         run = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(value * _powers(_R, len(raw)), out=run[1:])
         back = _powers(pow(_R, -1, 1 << 64), len(raw))
         code = mix64((run[end] - run[start]) * back[start] + (end - start).astype(np.uint64) * _M2)
-    doc = np.searchsorted(offsets, start, side="right") - 1
     return start, end, doc, code
 
 
