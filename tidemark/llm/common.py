@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,12 +31,14 @@ def need(df: DataFrame, *names: str) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a local one only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; only a local session may do without and gets one of this machine."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = found.get() if found.isDefined() else None
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -46,7 +49,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `saved` returned and that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
