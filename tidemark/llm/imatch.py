@@ -1,11 +1,13 @@
 """Document fingerprints by I-Match with randomised lexicons.
 
 The lexicon holds the terms (words, A-Z lower-cased) whose document frequency
-lies in a band, so whose inverse document frequency does. For each of CHAINS
-seeds the lexicon is thinned at random again and again, by half each time; the
-last of these nested subsets that still meets the document's terms gives one
-hash of the sorted distinct terms that it keeps. Where two texts share a part
-of their terms, they share about that part of the hashes.
+lies in a band, so whose inverse document frequency does. From it come fixed
+random subsets, the same for every document: SUBSETS each of a share of 1/2,
+1/4, 1/8 and so on of the lexicon. A document's distinct terms in a subset, in
+sorted order, give one hash. Of the shares, a fingerprint has the sparsest at
+which a third of the subsets hold a term of the document, and the shares next to
+it: at these an edit leaves subsets untouched, whatever the document's length.
+Two texts are as like as the share of subsets with equal hashes.
 """
 
 from __future__ import annotations
@@ -13,20 +15,27 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import documents, mix64, need, saved, slices, small_batches, text_bytes, words
-
-CHAINS = 64
+from .common import _powers, documents, mix64, need, slices, small_batches, text_bytes, words
+
+#: Random subsets of each share of the lexicon, shares (1, 1/2, ... 2**(1 - LEVELS)), and how many of them a fingerprint has.
+SUBSETS, LEVELS, KEPT = 32, 24, 3
+#: A text with fewer terms in the lexicon is fingerprinted by all its terms.
+LEAST_TERMS = 8
+#: Text of a range of ids, about: a quarter of a task.
+RANGE_BYTES = 16 << 20
 #: Band of document frequencies, as shares of the documents. The lower one bounds the lexicon:
 #: it has at most (mean distinct terms of a document) / LOW terms, at any size of the corpus.
 LOW, HIGH = 0.001, 0.2
 #: Terms of a corpus of few documents must be in so many.
 LEAST_DOCS = 2
-_SEEDS = mix64(np.arange(1, CHAINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix64(np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_POWERS = _powers(0xD1342543DE82EF95, 4096)
 
 
 def terms_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,52 +92,108 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray
     return np.sort(np.array([r["term"] for r in rows.select("term").collect()], np.int64).view(np.uint64))
 
 
-def hashes(terms: np.ndarray) -> np.ndarray:
-    """CHAINS 16-bit hashes of sorted distinct terms (at least one)."""
-    low = np.full(CHAINS, ~np.uint64(0))
-    for a in range(0, len(terms), 4096):
-        low = np.minimum(low, mix64(terms[a : a + 4096][None] ^ _SEEDS[:, None]).min(axis=1))
-    # the deepest subset that is not empty: values below the power of two above the least
-    for shift in (1, 2, 4, 8, 16, 32):
-        low = low | (low >> np.uint64(shift))
-    total = np.zeros(CHAINS, np.uint64)
-    inner = mix64(terms)
-    with np.errstate(over="ignore"):
-        for a in range(0, len(terms), 4096):
-            inside = mix64(terms[a : a + 4096][None] ^ _SEEDS[:, None]) <= low[:, None]
-            total += np.where(inside, inner[a : a + 4096][None], np.uint64(0)).sum(axis=1, dtype=np.uint64)
-    return (mix64(total) >> np.uint64(48)).astype(np.uint16)
+def _level_of(least: np.ndarray) -> np.ndarray:
+    """For each text the sparsest level at which a third of its subsets hold a term; `least` has the least hash of each subset's order, by text."""
+    n = len(least)
+    level = np.zeros(n, np.int64)
+    for depth in range(1, LEVELS):
+        enough = (least < np.uint64(1) << np.uint64(64 - depth)).sum(axis=1) >= -(-SUBSETS // 3)
+        level = np.where(enough, depth, level)  # the share that holds one only falls with the level
+    return level
 
 
-def fingerprint(text: str, known: np.ndarray) -> str:
-    """The hashes in hexadecimal, four digits each.
+def signatures(doc: np.ndarray, terms: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first level, hashes) of each text: hashes [text, KEPT, SUBSETS] of 32 bits, 0 where the subset holds no term; level -1 without terms.
 
-    A text without a term in the lexicon is fingerprinted by all its terms, one
-    without a word has "".
+    `doc` and `terms` are sorted. Subset s of level d is {term: hash_s(term) < 2**(64 - d)}: a share of 2**-d of the lexicon,
+    the same for every document. A subset's hash is one of the sorted sequence of the text's terms in it.
     """
-    raw, offsets = text_bytes(pa.array([text], pa.string()))
-    _, terms = terms_of(raw, offsets)
+    level, out = np.full(n, -1, np.int64), np.zeros((n, KEPT, SUBSETS), np.uint32)
     if not len(terms):
-        return ""
-    if len(known):
+        return level, out
+    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    has = doc[first]
+    least = np.empty((len(has), SUBSETS), np.uint64)
+    for s in range(SUBSETS):
+        least[:, s] = np.minimum.reduceat(mix64(terms ^ _SEEDS[s]), first)
+    level[has] = np.maximum(_level_of(least) - 1, 0)
+    with np.errstate(over="ignore"):
+        own_level = level[doc]
+        limit = np.where(own_level == 0, ~np.uint64(0), (np.uint64(1) << np.uint64(64 - np.maximum(own_level, 1)).astype(np.uint64)) - np.uint64(1))
+        inner = mix64(terms ^ np.uint64(0x5851F42D4C957F2D))
+        for s in range(SUBSETS):
+            order = mix64(terms ^ _SEEDS[s])
+            use = np.flatnonzero(order <= limit)
+            d, order, value = doc[use], order[use], inner[use]
+            for k in range(KEPT):
+                if k:  # half of the subset before
+                    deeper = order < np.uint64(1) << (np.uint64(64) - (level[d] + k).astype(np.uint64))
+                    d, order, value = d[deeper], order[deeper], value[deeper]
+                if not len(d):
+                    break
+                begin = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+                rank = np.arange(len(d)) - np.repeat(begin, np.diff(np.r_[begin, len(d)]))
+                whole = mix64(np.add.reduceat(value * _POWERS[rank % len(_POWERS)], begin)) >> np.uint64(32)
+                out[d[begin], k, s] = np.maximum(whole, np.uint64(1)).astype(np.uint32)
+    return level, out
+
+
+def of_texts(texts: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of texts by their terms in the lexicon; by all their terms where fewer than LEAST_TERMS are in it."""
+    n = len(texts)
+    doc, terms = terms_of(*text_bytes(texts))
+    if len(known) and len(terms):
         at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
-        inside = terms[known[at] == terms]
-        terms = inside if len(inside) else terms
-    return hashes(terms).byteswap().tobytes().hex()
+        inside = known[at] == terms
+        few = np.bincount(doc[inside], minlength=n) < LEAST_TERMS
+        use = inside | few[doc]
+        doc, terms = doc[use], terms[use]
+    return signatures(doc, terms, n)
+
+
+def likenesses(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Of the subsets that hold a term of either text, the share with equal hashes, at the sparsest level that both have and at
+    which a third of them hold one. Texts of too unlike size share no level: 0. Two texts without terms are alike."""
+    (la, ha), (lb, hb) = a, b
+    out = np.where((la < 0) & (lb < 0), 1.0, 0.0)
+    done = (la < 0) | (lb < 0)
+    rows = np.arange(len(la))
+    for depth in range(int(max(la.max(initial=-1), lb.max(initial=-1))) + KEPT - 1, -1, -1):
+        both = ~done & (la <= depth) & (depth < la + KEPT) & (lb <= depth) & (depth < lb + KEPT)
+        i = rows[both]
+        if not len(i):
+            continue
+        x, y = ha[i, depth - la[i]], hb[i, depth - lb[i]]
+        some = ((x | y) > 0).sum(axis=1)
+        enough = (some >= -(-SUBSETS // 3)) | (depth == np.maximum(la[i], lb[i]))  # the densest level they share
+        same = ((x == y) & (x > 0)).sum(axis=1)
+        out[i[enough]] = same[enough] / np.maximum(some[enough], 1)
+        done[i[enough]] = True
+    return out
+
+
+def written(level: np.ndarray, hashes: np.ndarray) -> list[str]:
+    """Fingerprints: two hexadecimal digits of the first level, then eight for each hash; "" without terms."""
+    data = hashes.astype(">u4").reshape(len(level), -1).view(np.uint8)
+    return [f"{d:02x}" + row.tobytes().hex() if d >= 0 else "" for d, row in zip(level.tolist(), data)]
+
+
+def fingerprint(text: str, known: np.ndarray) -> str:
+    return written(*of_texts(pa.array([text], pa.string()), known))[0]
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal hashes; two empty fingerprints are alike, an empty one and another are not."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    x, y = np.frombuffer(bytes.fromhex(a), np.uint16), np.frombuffer(bytes.fromhex(b), np.uint16)
-    return float((x == y).mean())
+    """As `likenesses`, of written fingerprints."""
+
+    def read(x: str):
+        hashes = np.frombuffer(bytes.fromhex(x[2:]), ">u4").astype(np.uint32) if x else np.zeros(KEPT * SUBSETS, np.uint32)
+        return np.array([int(x[:2], 16) if x else -1]), hashes.reshape(1, KEPT, SUBSETS)
+
+    return float(likenesses(read(a), read(b))[0])
 
 
 def fingerprints(docs: DataFrame, known: np.ndarray | None = None, **band) -> DataFrame:
-    """docs with a column `fingerprint`; null texts count as empty, a clashing column is replaced."""
+    """docs with a column `fingerprint`; null texts count as empty (""), a clashing column is replaced."""
     need(docs, "text")
     found = lexicon(docs, **band) if known is None else known
     columns = [c for c in docs.columns if c != "fingerprint"]
@@ -137,81 +202,87 @@ def fingerprints(docs: DataFrame, known: np.ndarray | None = None, **band) -> Da
     def each(batches):
         for batch in batches:
             for part in slices(batch):
-                own = [fingerprint(t or "", found) for t in part.column("text").to_pylist()]
+                own = written(*of_texts(part.column("text"), found))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(own, pa.string())], names=[*columns, "fingerprint"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "fingerprint"), "fingerprint string"])
     return docs.select(*columns).mapInArrow(each, schema)
 
 
-def _edited(batches, known: np.ndarray):
-    """Rows come sorted by range, then real rows before the one that follows the range; each is finished when the next is seen."""
-    before = None
-    done: list[tuple] = []
-
-    def finish(row, after):
-        text, cut = row[2], len(row[2]) // 4
-        edited = text[: len(text) - cut] + after[2][:cut]
-        own = fingerprint(edited, known) if edited != text else row[3]
-        return (row[1], len(text), hashlib.sha256(edited.encode()).hexdigest(), row[3], own, likeness(row[3], own), likeness(row[3], after[3]))
+_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
-    def flush():
-        columns = list(zip(*done))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
 
+def _edited(batches, known: np.ndarray):
+    """Rows come sorted by range and doc_id, the first row of the next range last as a guest; each is finished when the one behind it is seen."""
+    held: list[tuple] = []  # the row before, if it has a right to a next one
+    held_print = (np.zeros(0, np.int64), np.zeros((0, KEPT, SUBSETS), np.uint32))
     for batch in batches:
         for part in slices(batch):
-            for rng, guest, doc_id, text in zip(*[part.column(c).to_pylist() for c in ("rng", "guest", "doc_id", "text")]):
-                text = text or ""
-                if guest and (before is None or before[0] != rng):
-                    continue  # the range is done
-                row = (rng, doc_id, text, fingerprint(text, known))
-                if before is not None and before[0] == rng:
-                    done.append(finish(before, row))
-                before = None if guest else row
-            if done:
-                yield flush()
-                done.clear()
-
-
-_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+            texts = pa.compute.fill_null(part.column("text"), "")
+            own = of_texts(texts, known)
+            rows = held + list(zip(part.column("rng").to_pylist(), part.column("guest").to_pylist(), part.column("doc_id").to_pylist(), texts.to_pylist()))
+            prints = tuple(np.concatenate(x) for x in zip(held_print, own))
+            pairs = [i for i in range(len(rows) - 1) if not rows[i][1] and rows[i][0] == rows[i + 1][0]]
+            if pairs:
+                at = np.array(pairs)
+                edited = [rows[i][3][: len(rows[i][3]) - len(rows[i][3]) // 4] + rows[i + 1][3][: len(rows[i][3]) // 4] for i in pairs]
+                changed = of_texts(pa.array(edited, pa.string()), known)
+                mine, after = tuple(x[at] for x in prints), tuple(x[at + 1] for x in prints)
+                columns = [
+                    [rows[i][2] for i in pairs], [len(rows[i][3]) for i in pairs], [hashlib.sha256(e.encode()).hexdigest() for e in edited],
+                    written(*mine), written(*changed), likenesses(mine, changed), likenesses(mine, after),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS)], names=_NAMES)
+            held, held_print = ([rows[-1]], tuple(x[-1:] for x in prints)) if not rows[-1][1] else ([], tuple(x[:0] for x in prints))
+
+
+_NO_ID = -(1 << 63)
 
 
 def neighbours(docs: DataFrame, known: np.ndarray, ranges: int | None = None) -> DataFrame:
     """Fingerprints of each text, of its edited text and of the next document, by ascending doc_id (null first, equal ids by text).
 
-    Ids are cut into ranges of about equal numbers; a range's first document is
-    also sent to the range before, and the first of all to the last, so that one
-    shuffle of the texts brings each document to the one that follows it.
+    Ids are cut into ranges of about RANGE_BYTES of text, by quantiles of a
+    sample of ids; a range's first document is also sent to the range before,
+    and the first of all to the last, so that one shuffle of the texts brings
+    each document to the one that follows it. The driver holds three numbers
+    for each range.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    tasks = max(1, -(-(size["bytes"] or 0) // (4 * RANGE_BYTES)), 2 * spark.sparkContext.defaultParallelism)
     ranges = ranges or 4 * tasks
-    docs = docs.select("doc_id", "text")
-    cuts = docs.select(F.percentile_approx("doc_id", F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), 100 * ranges).alias("cuts")).first()["cuts"] if ranges > 1 else []
-    cuts = sorted(set(cuts or []))
-    step = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    number = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(step, lambda c: c <= F.col("doc_id")))).cast("int")
-    first = docs.select("doc_id", number.alias("rng")).groupBy("rng").agg(
-        F.min("doc_id").alias("low"), F.max(F.col("doc_id").isNull()).alias("has_null")
-    ).orderBy("rng").collect()  # a row for each range
-    guests = {}
-    for i, r in enumerate(first):
-        guests.setdefault(None if r["has_null"] else r["low"], first[i - 1]["rng"])
-    to = [F.when(F.col("doc_id").eqNullSafe(F.lit(low)), F.lit(host)) for low, host in guests.items()]
-    if len(to) > 64:
-        table = F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k in guests if k is not None]), F.array(*[F.lit(v) for k, v in guests.items() if k is not None]))
-        to = [F.when(F.col("doc_id").isNull(), F.lit(guests.get(None))).otherwise(F.try_element_at(table, F.col("doc_id")))]
-    host = F.coalesce(*to) if to else F.lit(None).cast("int")
-    stay = F.struct(number.alias("rng"), F.lit(False).alias("guest"))
-    visit = F.struct(host.cast("int").alias("rng"), F.lit(True).alias("guest"))
-    placed = docs.select("doc_id", "text", F.explode(F.filter(F.array(stay, visit), lambda x: x["rng"].isNotNull())).alias("p")).select("p.*", "doc_id", "text")
+    step = max(1, size["n"] // (32 * ranges))
+    ids = [r["doc_id"] for r in docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("doc_id").collect()]  # about 32 a range
+    cuts = np.unique(np.quantile(np.array(ids, np.int64), np.arange(1, ranges) / ranges, method="nearest")) if ids else np.zeros(0, np.int64)
+
+    @F.pandas_udf("int")
+    def range_of(doc_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, doc_id.to_numpy(), side="right").astype(np.int32))
+
+    lows = docs.select("doc_id", range_of("doc_id").alias("rng")).groupBy("rng").agg(F.min("doc_id").alias("low")).orderBy("rng").collect()  # a row for each range
+    low = np.array([r["low"] for r in lows], np.int64)
+    number = np.array([r["rng"] for r in lows], np.int32)
+    host = np.roll(number, 1)
+
+    @F.pandas_udf("int")
+    def visits(doc_id: pd.Series) -> pd.Series:
+        """The range that a document is a guest of, -1 for none."""
+        at = np.minimum(np.searchsorted(low, doc_id.to_numpy()), len(low) - 1)
+        return pd.Series(np.where(low[at] == doc_id.to_numpy(), host[at], -1).astype(np.int32))
+
+    stay = F.struct(F.col("own").alias("rng"), F.lit(False).alias("guest"))
+    visit = F.struct(F.col("host").alias("rng"), F.lit(True).alias("guest"))
+    placed = docs.select("doc_id", "text", range_of("doc_id").alias("own"), visits("doc_id").alias("host"))
+    placed = placed.select("doc_id", "text", F.explode(F.filter(F.array(stay, visit), lambda x: x["rng"] >= 0)).alias("p")).select("p.*", "doc_id", "text")
     small_batches(spark)
     return (
-        placed.repartition(tasks, "rng").sortWithinPartitions("rng", "guest", F.col("doc_id").asc_nulls_first(), "text")
+        placed.repartition(tasks, "rng").sortWithinPartitions("rng", "guest", "doc_id", "text")
         .mapInArrow(lambda batches: _edited(batches, known), "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+        .withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
     )
 
 
