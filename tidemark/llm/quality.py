@@ -1,9 +1,10 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-Learned filters of five bytes run over the whole text; their rectified outputs,
-and how often a byte equals the one k before it, are averaged over overlapping
-chunks. A hidden layer looks at each chunk, its outputs are max-pooled over all
-chunks of the text, and a logistic unit makes one probability of them.
+Learned filters of five bytes run over the whole text and are max-pooled over
+overlapping chunks: a chunk of plain prose sets many of them off, one of
+repeated words few, one of signs others. A hidden layer looks at each chunk, its
+outputs are max-pooled over all chunks of the text, and a logistic unit makes
+one probability of them. Bytes are the only input.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ from pyspark.sql import functions as F
 
 from .common import documents, need, slices, small_batches, text_bytes
 
-WIDTH, FILTERS, LAGS, HIDDEN = 5, 8, 24, 16
+WIDTH, FILTERS, HIDDEN = 5, 32, 16
 #: A chunk is two half chunks; the next one starts a half further on.
 HALF = 128
 PAD = 32
-#: Labelled texts that a fit takes at most, and the code points of each; longer ones are left out of the fit (not of scoring).
-SAMPLE_DOCS, SAMPLE_CHARS = 2000, 20_000
-EPOCHS, STEP, BATCH = 6, 0.006, 32
+#: Half chunks whose filter outputs are held at once.
+BLOCK = 512
+#: Labelled texts that a fit takes at most, and the code points of each; a longer one is fitted by PIECES stretches spread evenly over it.
+SAMPLE_DOCS, SAMPLE_CHARS, PIECES = 2000, 20_000, 40
+#: Steps of a fit, whatever the number of rows, their size and the rows of each.
+STEPS, STEP, BATCH = 400, 0.006, 32
 THRESHOLD = 0.3
 
 
@@ -40,11 +44,6 @@ def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, begin, length, doc
 
 
-def _positions(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.cumsum(length) - length
-    return np.arange(int(length.sum())) + np.repeat(begin - starts, length), starts
-
-
 class Network:
     """Parameters by name, in float32."""
 
@@ -52,45 +51,43 @@ class Network:
         rng = np.random.default_rng(seed)
         self.p = {
             "filters": rng.normal(0, 0.35, (WIDTH, 256, FILTERS)), "bias": np.zeros(FILTERS),
-            "hidden": rng.normal(0, 0.3, (FILTERS + LAGS, HIDDEN)), "hidden_bias": np.full(HIDDEN, 0.1),
+            "hidden": rng.normal(0, 0.3, (FILTERS, HIDDEN)), "hidden_bias": np.full(HIDDEN, 0.1),
             "out": rng.normal(0, 0.3, HIDDEN), "out_bias": np.zeros(1),
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
-        self.shift = np.zeros(FILTERS + LAGS, np.float32)
-        self.scale = np.ones(FILTERS + LAGS, np.float32)
+        self.shift = np.zeros(FILTERS, np.float32)
+        self.scale = np.ones(FILTERS, np.float32)
 
     def responses(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Rectified filter outputs at the positions."""
-        total = np.repeat(self.p["bias"][None], len(at), 0)
-        for j in range(WIDTH):
+        """Filter outputs at the positions."""
+        total = self.p["filters"][0].take(data[at], axis=0)
+        for j in range(1, WIDTH):
             total += self.p["filters"][j].take(data[at + j], axis=0)
-        return np.maximum(total, 0, out=total)
+        return total
 
     def chunks(self, raw: np.ndarray, offsets: np.ndarray):
-        """Vectors of all chunks, the document of each, and what the fit needs to go back."""
+        """Vectors of all chunks (the rectified greatest output of each filter), the document of each, and what the fit needs to go back."""
         data, begin, length, doc = padded(raw, offsets)
-        n = len(data) - PAD
-        bounds = np.column_stack([begin, begin + length]).ravel()  # sums between them; those of the gaps are left out
-        sums = np.empty((len(begin), FILTERS + LAGS), np.float32)
-        total = np.repeat(self.p["bias"][None], n, 0)
-        for j in range(WIDTH):
-            total += self.p["filters"][j].take(data[j : n + j], axis=0)
-        sums[:, :FILTERS] = np.add.reduceat(np.maximum(total, 0, out=total), bounds, axis=0)[::2]
-        for k in range(1, LAGS + 1):
-            same = np.zeros(n, np.uint8)
-            same[k:] = data[k:n] == data[: n - k]
-            sums[:, FILTERS + k - 1] = np.add.reduceat(same, bounds, dtype=np.uint8)[::2]
+        greatest = np.empty((len(begin), FILTERS), np.float32)
+        for a in range(0, len(begin), BLOCK):
+            own, size = begin[a : a + BLOCK], length[a : a + BLOCK]
+            low = int(own[0])
+            total = self.p["filters"][0].take(data[low : int(own[-1] + size[-1])], axis=0)
+            for j in range(1, WIDTH):
+                total += self.p["filters"][j].take(data[low + j : int(own[-1] + size[-1]) + j], axis=0)
+            bounds = np.column_stack([own, own + size]).ravel()[:-1] - low  # maxima between them; those of the gaps are left out
+            greatest[a : a + BLOCK] = np.maximum.reduceat(total, bounds, axis=0)[::2]
+        greatest = np.maximum(greatest + self.p["bias"], 0)
         follows = np.zeros(len(doc), bool)
         follows[:-1] = doc[1:] == doc[:-1]
         more = np.flatnonzero(follows) + 1
-        weight = length.astype(np.float32)
-        total, count = sums.copy(), weight.copy()
-        total[more - 1] += sums[more]
-        count[more - 1] += weight[more]
+        vectors, count = greatest.copy(), length.copy()
+        vectors[more - 1] = np.maximum(vectors[more - 1], greatest[more])
+        count[more - 1] += length[more]
         begins_doc = np.ones(len(doc), bool)
         begins_doc[1:] = doc[1:] != doc[:-1]
         use = np.flatnonzero(follows | begins_doc)  # the last half alone is part of the chunk before
-        return total[use] / count[use][:, None], doc[use], (data, begin[use], count[use].astype(np.int64))
+        return vectors[use], doc[use], (data, begin[use], count[use])
 
     def forward(self, vectors: np.ndarray, doc: np.ndarray):
         x = (vectors - self.shift) * self.scale
@@ -121,15 +118,14 @@ class Network:
         d_z = np.zeros((len(chosen), HIDDEN), np.float32)
         np.add.at(d_z, (where, u), d)
         g |= {"hidden": x[chosen].T @ d_z, "hidden_bias": d_z.sum(axis=0)}
-        d_vector = (d_z @ self.p["hidden"].T) * self.scale
-        d_mean = d_vector[:, :FILTERS] / count[chosen][:, None]
-        at, _ = _positions(begin[chosen], count[chosen])
-        act = self.responses(data, at)
-        d_act = np.where(act > 0, np.repeat(d_mean, count[chosen], axis=0), 0)
-        g["bias"] = d_act.sum(axis=0)
+        d_vector = np.where(vectors[chosen] > 0, (d_z @ self.p["hidden"].T) * self.scale, 0)
+        # each filter's gradient goes to the place in the chunk where its output is greatest
+        place = begin[chosen][:, None] + np.minimum(np.arange(2 * HALF)[None], count[chosen][:, None] - 1)
+        at = np.stack([p[self.responses(data, p).argmax(axis=0)] for p in place]) if len(place) else np.zeros((0, FILTERS), np.int64)
+        g["bias"] = d_vector.sum(axis=0)
         column = np.arange(FILTERS)
         g["filters"] = np.stack([
-            np.bincount((data[at + j][:, None] * FILTERS + column).ravel().astype(np.int64), d_act.ravel(), 256 * FILTERS).reshape(256, FILTERS)
+            np.bincount((data[at + j].astype(np.int64) * FILTERS + column).ravel(), d_vector.ravel(), 256 * FILTERS).reshape(256, FILTERS)
             for j in range(WIDTH)
         ])
         return g
@@ -145,7 +141,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> Network:
     if not texts:
         return net
     label = np.array(labels, np.float32)
-    sample = [_pack(texts[i : i + 50])for i in range(0, min(len(texts), 500), 50)]
+    sample = [_pack(texts[i : i + 50]) for i in range(0, min(len(texts), 500), 50)]
     seen = np.concatenate([net.chunks(*s)[0] for s in sample])
     net.shift, net.scale = seen.mean(axis=0), 1 / (seen.std(axis=0) + 1e-2)
     share = np.clip(label.mean(), 0.01, 0.99)
@@ -153,14 +149,16 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> Network:
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     rng = np.random.default_rng(seed)
-    t, steps = 0, max(1, EPOCHS * -(-len(texts) // BATCH))
-    for _ in range(EPOCHS):
+    t = 0
+    while t < STEPS:
         order = rng.permutation(len(texts))
         for a in range(0, len(order), BATCH):
+            if t == STEPS:
+                break
             own = order[a : a + BATCH]
             g = net.gradients(*_pack([texts[i] for i in own]), label[own])
             t += 1
-            rate = STEP * (1 - 0.95 * t / steps)
+            rate = STEP * (1 - 0.95 * t / STEPS)
             for k in net.p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 v[k] = 0.999 * v[k] + 0.001 * np.square(g[k])
@@ -176,18 +174,22 @@ def held_out(doc_id="doc_id"):
 def train(docs: DataFrame, labels: DataFrame, *, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Network:
     """Fit on at most `most` labelled documents outside the held-out fifth, chosen by a hash of doc_id.
 
-    Labels other than 0 and 1 and null texts are left out. Without any labelled
-    row the network is the initial one. Texts longer than `chars` are not fitted.
+    Labels other than 0 and 1, documents with both and null texts are left out.
+    Without any labelled row the network is the initial one. A text of more than
+    `chars` code points is fitted by PIECES stretches that lie evenly over it.
     """
     need(labels, "doc_id", "quality")
     chosen = (
-        labels.filter(~held_out() & F.col("quality").isin(0, 1)).select("doc_id", "quality")
-        .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(most)
+        labels.filter(~held_out() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+        .filter("quality = other").drop("other").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(most)
     )
+    n, size = F.length("text"), chars // PIECES
+    pieces = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.substring("text", (i * (n - size) / (PIECES - 1)).cast("int") + 1, F.lit(size))), "")
+    text = F.when(n > chars, pieces).otherwise(F.col("text"))
     rows = (
-        docs.select("doc_id", "text").filter(F.length("text") <= chars)
-        .join(F.broadcast(chosen), "doc_id")  # `most` rows
-        .orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id").limit(most).collect()
+        docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")  # `most` rows
+        .select("doc_id", text.alias("text"), "quality")
+        .orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id", "text").limit(most).collect()
     )
     return fit([r["text"] for r in rows], [r["quality"] for r in rows])
 
