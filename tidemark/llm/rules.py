@@ -1,12 +1,16 @@
 """Quality rules: fixed limits, then robust multivariate outliers of each language and source.
 
 Statistics of each text are transformed into a vector. For each (lang, source)
-the minimum-covariance-determinant estimate of centre and spread is found by
-concentration steps: distances to the estimate, the three quarters of the rows
-that are nearest, a new estimate from those. Each step is one grouped sum over
-the statistics, with the quantile taken from a histogram of distances, so that a
-group of any size is summed up before it is shuffled. Texts far from the centre
-by Mahalanobis distance are rejected.
+the minimum-covariance-determinant estimate of centre and spread is found as
+FAST-MCD does: on a bounded sample of the group's rows, many starts take two
+concentration steps, the best of them more until the determinant falls no
+further; groups larger than the sample go on from the best two over all their
+rows, and of these the one of least determinant stays. A step over all rows is
+one grouped sum, with the quantile of distances taken from a fine histogram, so
+that a group of any size is summed up before it is shuffled. A fixed matrix is
+added to each covariance (as in the regularised form of the estimate): on an
+axis where most rows are equal, small differences do not count. Texts far from
+the centre by Mahalanobis distance are rejected.
 """
 
 from __future__ import annotations
@@ -22,8 +26,13 @@ from .common import _powers, documents, mix64, need, saved, slices, small_batche
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 AXES = ["x0", "x1", "x2", "x3", "x4"]
 REPEAT_WINDOW = 8
-#: Share of rows that an estimate rests on, concentration steps, rows that a group needs for an estimate of its own.
-SHARE, STEPS, LEAST = 0.75, 6, 60
+#: Share of rows that an estimate rests on; rows of a group's sample, about; random starts, and how many of them go on;
+#: steps at most, and the fall of the logarithm of the determinant that ends them.
+SHARE, SAMPLE, STARTS, BEST, STEPS, ENOUGH = 0.75, 1500, 50, 5, 20, 1e-4
+#: Rows that a group of five axes needs (five for each axis); a smaller one is judged by its language, that by all rows.
+LEAST = 25
+#: Groups whose estimates are broadcast (300 bytes each); beyond, they are joined.
+MAX_BROADCAST_ROWS = 100_000
 #: Fixed values for five axes. Factor that makes the covariance of the nearest 3/4 that of all rows if these are normal:
 #: 0.75 / P(chi2 with 7 degrees <= q), q the 0.75 quantile of chi2 with 5 degrees. Limit: the 0.99999 quantile of chi2 with 5 degrees.
 CONSISTENCY, LIMIT = 1.41, 30.86
@@ -133,11 +142,61 @@ def _distance(mean: str = "mean", inverse: str = "inverse"):
     return total
 
 
+def covariance(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of the rows, made consistent, with the floor added."""
+    mean = x.mean(axis=0)
+    off = x - mean
+    return mean, off.T @ off / len(x) * CONSISTENCY + np.diag(np.square(FLOOR))
+
+
+def distances(x: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+    off = x - mean
+    return (off @ np.linalg.inv(cov) * off).sum(axis=1)
+
+
+def _concentrate(x: np.ndarray, mean: np.ndarray, cov: np.ndarray, steps: int):
+    """Estimates from the SHARE of rows that are nearest, again and again; the determinant never grows."""
+    h = -(-len(x) * 3 // 4)
+    last = np.linalg.slogdet(cov)[1]
+    for _ in range(steps):
+        mean, cov = covariance(x[np.argsort(distances(x, mean, cov), kind="stable")[:h]])
+        now = np.linalg.slogdet(cov)[1]
+        if abs(last - now) < 1e-9:
+            break
+        last = now
+    return mean, cov, float(last)
+
+
+def fast_mcd(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Estimates (mean, covariance, log determinant), least determinant first: from the medians and from random small subsets."""
+    x = x[np.lexsort(x.T[::-1])]  # whatever order the rows come in
+    rng = np.random.default_rng(len(x))
+    median = np.median(x, axis=0)
+    spread = 1.4826 * np.median(np.abs(x - median), axis=0)
+    starts = [(median, np.diag(np.square(spread) + np.square(FLOOR)))]
+    starts += [covariance(x[rng.choice(len(x), min(len(x), x.shape[1] + 1), replace=False)]) for _ in range(STARTS)]
+    first = sorted((_concentrate(x, *s, 2) for s in starts), key=lambda e: e[2])[:BEST]
+    return sorted((_concentrate(x, *e[:2], 100) for e in first), key=lambda e: e[2])
+
+
+_PARAMETERS = "grp string, try int, mean array<double>, inverse array<double>, logdet double, whole boolean"
+
+
+def _of_sample(df: pd.DataFrame) -> pd.DataFrame:
+    """A group's sample to its best estimates; one where the sample is the whole group."""
+    whole = len(df) == df["n"].iloc[0]
+    found = fast_mcd(df[AXES].to_numpy(np.float64))[: 1 if whole else 2]
+    return pd.DataFrame({
+        "grp": df["grp"].iloc[0], "try": range(len(found)), "mean": [e[0].tolist() for e in found], "inverse": [np.linalg.inv(e[1]).ravel().tolist() for e in found],
+        "logdet": [e[2] for e in found], "whole": whole,
+    })
+
+
 def _estimate(frames):
-    """Sums of each group to mean and inverse covariance, a batch of groups at a time."""
+    """Sums of each group to mean, inverse covariance and determinant, a batch of groups at a time."""
     p = len(AXES)
     for df in frames:
-        means, inverses = [], []
+        means, inverses, dets = [], [], []
         for row in df.itertuples(index=False):
             mean = np.array(row.sums) / row.n
             second = np.zeros((p, p))
@@ -146,70 +205,86 @@ def _estimate(frames):
             cov = (second - np.outer(mean, mean)) * CONSISTENCY + np.diag(np.square(FLOOR))
             means.append(mean.tolist())
             inverses.append(np.linalg.inv(cov).ravel().tolist())
-        yield pd.DataFrame({"grp": df["grp"], "mean": pd.Series(means, dtype=object), "inverse": pd.Series(inverses, dtype=object)})
-
+            dets.append(float(np.linalg.slogdet(cov)[1]))
+        yield pd.DataFrame({"grp": df["grp"], "try": df["try"], "mean": pd.Series(means, dtype=object), "inverse": pd.Series(inverses, dtype=object), "logdet": dets, "whole": False})
 
-_PARAMETERS = "grp string, mean array<double>, inverse array<double>"
 
-
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and, on the diagonal, squared median deviations with the floor."""
-    first = rows.groupBy("grp").agg(*[F.percentile_approx(x, 0.5).alias(f"m_{x}") for x in AXES])
-    spread = rows.join(first, "grp").groupBy("grp").agg(
-        *[F.first(f"m_{x}").alias(f"m_{x}") for x in AXES], *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5).alias(f"s_{x}") for x in AXES]
-    )
-    p = len(AXES)
-    diagonal = [1 / (F.pow(F.col(f"s_{x}") * 1.4826, 2) + f * f) for x, f in zip(AXES, FLOOR)]
-    inverse = F.array(*[diagonal[i] if i == j else F.lit(0.0) for i in range(p) for j in range(p)])
-    return spread.select("grp", F.array(*[F.col(f"m_{x}").cast("double") for x in AXES]).alias("mean"), inverse.alias("inverse"))
+def _wide(table: DataFrame) -> DataFrame:
+    """A table of groups, broadcast if it has at most MAX_BROADCAST_ROWS rows."""
+    return F.broadcast(table) if table.count() <= MAX_BROADCAST_ROWS else table
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """grp, mean, inverse: the estimate of each group of at least LEAST rows; rows have grp and AXES."""
-    now = saved(_start(rows), "rules-start")
+    """grp, mean, inverse: the estimate of least determinant of each group; rows have grp, u (uniform from 0 to 1) and AXES."""
+    sizes = saved(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "rules-sizes")
+    sample = rows.join(_wide(sizes), "grp").filter((F.col("n") <= SAMPLE) | (F.col("u") < SAMPLE / F.col("n")))
+    now = saved(sample.groupBy("grp").applyInPandas(_of_sample, _PARAMETERS), "rules-sample")
+    done = [now.filter("whole")]
     p = len(AXES)
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    for _ in range(STEPS):
-        # sixteenths of an octave: the nearest share of rows ends with a whole bin
-        near = rows.join(now, "grp").withColumn("bin", F.floor(F.log2(_distance() + 1e-6) * 16).cast("int")).drop("mean", "inverse")
-        bins = near.groupBy("grp", "bin").agg(
+    going = now.filter("not whole")
+    for step in range(STEPS):
+        if going.isEmpty():
+            break
+        # sixty-fourths of an octave: the nearest share of rows ends with a whole bin
+        near = rows.join(_wide(going), "grp").withColumn("bin", F.floor(F.log2(_distance() + 1e-6) * 64).cast("int"))
+        bins = near.groupBy("grp", "try", "bin").agg(
             F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"a{i}") for i, x in enumerate(AXES)],
             *[F.sum(F.col(AXES[i]) * F.col(AXES[j])).alias(f"b{i}_{j}") for i, j in pairs],
         )
-        whole, upto = Window.partitionBy("grp"), Window.partitionBy("grp").orderBy("bin")
+        whole, upto = Window.partitionBy("grp", "try"), Window.partitionBy("grp", "try").orderBy("bin")
         inner = bins.withColumn("all", F.sum("n").over(whole)).withColumn("before", F.sum("n").over(upto) - F.col("n")).filter(F.col("before") < SHARE * F.col("all"))
-        sums = inner.groupBy("grp").agg(
+        sums = inner.groupBy("grp", "try").agg(
             F.sum("n").alias("n"), F.array(*[F.sum(f"a{i}") for i in range(p)]).alias("sums"), F.array(*[F.sum(f"b{i}_{j}") for i, j in pairs]).alias("products")
         )
-        now = saved(sums.mapInPandas(_estimate, _PARAMETERS), "rules-step")
-    return now
+        after = saved(sums.mapInPandas(_estimate, _PARAMETERS), "rules-step")
+        falls = after.join(going.select("grp", "try", F.col("logdet").alias("was")), ["grp", "try"])
+        still = F.col("was") - F.col("logdet") > ENOUGH if step else F.lit(True)  # the first one came from the sample
+        falls = saved(falls.withColumn("still", still & F.lit(step < STEPS - 1)).drop("was"), "rules-falls")
+        done.append(falls.filter("not still").drop("still"))
+        going = falls.filter("still").drop("still")
+    every = done[0]
+    for d in done[1:]:
+        every = every.unionByName(d)
+    best = every.groupBy("grp").agg(F.min_by(F.struct("mean", "inverse"), F.struct("logdet", "try")).alias("e"))
+    return saved(best.select("grp", "e.mean", "e.inverse"), "rules-estimates")
 
 
 def judge(docs: DataFrame, *, limit: float = LIMIT, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
-    """`keep` columns, STATS, base_failed, distance and kept, a row per document.
+    """`keep` columns, STATS, base_failed, distance, judged_by and kept, a row per document.
 
     base_failed: under 20 words, or over 30 % of the words in repeated windows.
     Estimates come from documents that pass; null lang or source is a value of
-    its own. Groups of fewer than LEAST such rows share one estimate; if these
-    are fewer than LEAST too, distance is null and the verdict is to keep.
-    Null and empty texts fail. Repeated rows are rows of their own.
+    its own. A group of fewer than LEAST such rows is judged by the estimate of
+    its language, a language of fewer by that of all rows (judged_by: the JSON
+    array of what the estimate is of); if all rows are fewer, distance is null
+    and the verdict is to keep. Null and empty texts fail. Repeated rows are rows
+    of their own.
     """
     keep = tuple(dict.fromkeys([*keep, "lang", "source"]))
-    clash = {*STATS, *AXES, "grp", "base_failed", "kept", "distance", "mean", "inverse"} & set(docs.columns)
+    clash = {*STATS, *AXES, "grp", "base_failed", "kept", "distance", "judged_by", "mean", "inverse", "u"} & set(docs.columns)
     rows = saved(measure(docs.drop(*clash), tuple(c for c in keep if c not in clash)), "rules-stats")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    stored = [c for c in keep if c in rows.columns]
     rows = _transform(rows).withColumn("base_failed", failed)
-    name = F.to_json(F.array("lang", "source"))
-    sizes = saved(rows.filter(~F.col("base_failed")).groupBy(name.alias("name")).count(), "rules-groups")
-    own = sizes.filter(F.col("count") >= LEAST).select("name", F.col("name").alias("grp"))
-    rows = rows.withColumn("name", name).join(own, "name", "left").withColumn("grp", F.coalesce("grp", F.lit("rest"))).drop("name")
-    good = saved(rows.filter(~F.col("base_failed")).select("grp", *AXES), "rules-axes")
-    rest = sizes.filter(F.col("count") < LEAST).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()["n"]
-    if rest < LEAST:
-        good = good.filter(F.col("grp") != "rest")
-    out = rows.join(estimates(good), "grp", "left").withColumn("distance", _distance())
+    rows = rows.withColumns({"_own": F.to_json(F.array("lang", "source")), "_lang": F.to_json(F.array("lang"))})
+    sizes = saved(rows.filter(~F.col("base_failed")).groupBy("_own", "_lang").agg(F.count(F.lit(1)).alias("n")), "rules-groups")
+    of_lang = sizes.groupBy("_lang").agg(F.sum("n").alias("lang_n"), F.min("n").alias("least_n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.lit(0)).first()["n"]
+    rest = F.when(F.col("lang_n") >= LEAST, F.col("_lang")).when(F.lit(total >= LEAST), F.lit("[]"))
+    groups = sizes.join(of_lang, "_lang").withColumn("judged_by", F.when(F.col("n") >= LEAST, F.col("_own")).otherwise(rest))
+    to_all = bool(total >= LEAST) and not of_lang.filter(F.col("lang_n") < LEAST).isEmpty()
+    members = F.array(
+        F.when(F.col("n") >= LEAST, F.col("_own")), F.when((F.col("lang_n") >= LEAST) & (F.col("least_n") < LEAST), F.col("_lang")), F.when(F.lit(to_all), F.lit("[]"))
+    )
+    groups = saved(groups.select("_own", "judged_by", F.filter(members, lambda x: x.isNotNull()).alias("members")), "rules-names")
+    wide = _wide(groups)
+    uniform = F.pmod(F.xxhash64(*stored, *AXES), F.lit(1 << 30)) / float(1 << 30)
+    good = saved(rows.filter(~F.col("base_failed")).join(wide, "_own").select(F.explode("members").alias("grp"), uniform.alias("u"), *AXES), "rules-axes")
+    found = estimates(good).withColumnRenamed("grp", "judged_by")
+    out = rows.join(wide.drop("members"), "_own", "left").join(_wide(found), "judged_by", "left").withColumn("distance", _distance())
     verdict = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
-    return out.withColumn("kept", verdict).select(*[c for c in keep if c in out.columns], *STATS, "base_failed", "distance", "kept")
+    return out.withColumn("kept", verdict).select(*stored, *STATS, "base_failed", "distance", "judged_by", "kept")
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
