@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -235,12 +236,52 @@ def test_patterns_of_seeds_without_digits_and_spaced_numbers(spark):
 
 
 def test_random_tokens_are_found(spark):
+    """What ordinary strings look like comes from the corpus: a table of documents stands by."""
     rng = random.Random(5)
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    keys = ["".join(rng.choice(letters) for _ in range(48)) for _ in range(40)]
+    letters = {"base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "hex": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"}
+    keys = []
+    while len(keys) < 150:
+        own = letters[rng.choice(list(letters))]
+        key = "".join(rng.choice(own) for _ in range(rng.choice([32, 40, 48, 64])))
+        if re.search("[0-9]", key) and re.search("[A-Z]", key):
+            keys.append(key)
+    ordinary = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    words = [w for r in ordinary.limit(50).collect() for w in (r.text or "").split() if w.isascii() and w.isalpha()]
     plain = ["a1" * 24, "version1version1version1version1version1", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1"]
-    got = {r.doc_id: len(r.more_spans) for r in secrets.find(table(spark, [f"x {k} y" for k in keys] + plain)).collect()}
-    assert sum(got[i] for i in range(40)) >= 35 and not any(got[40 + i] for i in range(3))
+    while len(plain) < 150:
+        t = rng.choice("-_/").join(rng.choice(words) for _ in range(rng.randint(4, 9))) + str(rng.randint(1, 2030))
+        plain += [t] if len(t) >= 32 else []
+    made = spark.createDataFrame([(10_000 + i, f"see {t} here") for i, t in enumerate(keys + plain)], "doc_id bigint, text string")
+    got = {r.doc_id: len(r.more_spans) for r in secrets.find(ordinary.union(made)).collect()}
+    right, wrong = sum(got[10_000 + i] > 0 for i in range(150)), sum(got[10_150 + i] > 0 for i in range(len(plain)))
+    assert right >= 0.9 * 150 and right >= 0.9 * (right + wrong)
+
+
+def test_battery_against_scalar_formulas(spark):
+    """The three p-values of each token, computed one at a time with the error function."""
+    rng = random.Random(8)
+    alphabet = secrets._ALPHABETS["base64"][1]
+    made = ["".join(rng.choice(alphabet[:m]) for _ in range(n)) for n in (20, 33, 70) for m in (5, 40, 64) for _ in range(4)]
+
+    def tail(z):
+        return max(1e-12, 0.5 * math.erfc(z / math.sqrt(2)))
+
+    def statistic(token):
+        v, k = [alphabet.index(c) for c in token], 64
+        n = len(v)
+        chi2 = k / n * sum(c * c for c in Counter(v).values()) - n
+        uniform = tail((chi2 - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n)))
+        high = [x >= k / 2 for x in v]
+        pairs, runs = sum(high) * (n - sum(high)), 1 + sum(a != b for a, b in zip(high, high[1:]))
+        e = 2 * pairs / n + 1
+        run_p = min(1, 2 * tail(abs(runs - e) / math.sqrt(max((e - 1) * (e - 2) / (n - 1), 0.05)))) if pairs else 1e-12
+        m = sum(v) / n
+        serial = sum((a - m) * (b - m) for a, b in zip(v, v[1:])) / sum((x - m) ** 2 for x in v) * math.sqrt(n)
+        return -(math.log(uniform) + math.log(run_p) + math.log(min(1, 2 * tail(abs(serial)))))
+
+    rows = spark.createDataFrame([(t, [float(alphabet.index(c)) for c in t], 64) for t in made], "value string, code array<double>, symbols int")
+    got = {r.value: r.statistic for r in secrets.battery(rows).collect()}
+    assert all(abs(got[t] - statistic(t)) < 1e-3 * max(1, statistic(t)) or statistic(t) > 25 for t in made)
 
 
 def test_statistics(texts):

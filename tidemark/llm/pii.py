@@ -1,13 +1,15 @@
 """Personal data by bootstrapped contextual extraction, with DataFrame functions only.
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers: the
-seeds, whatever their characters. The two words of the text before the token
-that a seed or candidate begins in are its lexical pattern; candidates are
-tokens with a digit, number tokens joined by spaces and tokens like e-mail
-addresses. Patterns and values form a graph, scored in rounds: a pattern by the
-share of its values' scores, a value by the mean of its patterns', seeds staying
-at 1. Candidates that meet no base span but stand behind a pattern of high
-confidence are added.
+seeds, whatever their characters. A seed or candidate has two lexical patterns:
+the two words of the text before the token that it begins in, and the one word
+before it with its own shape (runs of digits and of letters as one sign each).
+Candidates are tokens with a digit, number tokens joined by spaces and tokens
+like e-mail addresses. Patterns and values form a graph, scored in rounds: a
+pattern by the share of its values' scores, a value by the mean of its
+patterns' of the better sort, seeds staying at 1. Candidates that meet no base span but stand
+behind a pattern of high confidence are added, without the punctuation behind
+them.
 """
 
 from __future__ import annotations
@@ -101,10 +103,21 @@ def _before(text: Column, start: Column, near: Column) -> Column:
     return F.lower(F.regexp_extract(ahead, rf"(?:^|[{_SPACE}])((?:{_WORD}{{1,40}}[{_SPACE}]+)?{_WORD}{{1,40}})[{_SPACE}]+{_WORD}*$", 1))
 
 
+def shape(value: Column) -> Column:
+    """Runs of digits as 9, runs of letters as a, other characters as they are."""
+    return F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]+", "9")
+
+
+def contexts(before: Column, value: Column) -> Column:
+    """The patterns of a value behind the words `before`: none where no word is."""
+    one = F.concat(F.lit("1 "), F.substring_index(before, " ", -1), F.lit(" "), shape(value))
+    return F.when(before == "", F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("2 "), before), one))
+
+
 def patterns(candidates: DataFrame) -> DataFrame:
-    """(before, kind) of the patterns of high confidence; candidates have before, value and kind (null but for seeds)."""
+    """(pattern, kind, confidence) of the patterns of high confidence; candidates have patterns, value and kind (null but for seeds)."""
     edges = saved(
-        candidates.filter("before <> ''").groupBy("before", "value")
+        candidates.select(F.explode("patterns").alias("pattern"), "value", "kind").groupBy("pattern", "value")
         .agg(F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind")),
         "pii-edges",
     )
@@ -113,15 +126,17 @@ def patterns(candidates: DataFrame) -> DataFrame:
     for i in range(ROUNDS):
         # one task's sums go out for each pattern or token, however many rows it has
         of_pattern = saved(
-            scored.groupBy("before").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("confidence"), F.count(F.when(seed, 1)).alias("seeds"), F.mode("kind", True).alias("kind")),
+            scored.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("confidence"), F.count(F.when(seed, 1)).alias("seeds"), F.mode("kind", True).alias("kind")),
             "pii-patterns",
         )
         if i == ROUNDS - 1:
             break
-        joined = edges.join(of_pattern.select("before", "confidence"), "before")
-        tokens = joined.groupBy("value").agg((F.sum(F.col("n") * F.col("confidence")) / F.sum("n")).alias("mean"))
+        joined = edges.join(of_pattern.select("pattern", "confidence"), "pattern")
+        # the mean of each sort of pattern; the better one counts
+        tokens = joined.groupBy("value", F.substring("pattern", 1, 1).alias("sort")).agg((F.sum(F.col("n") * F.col("confidence")) / F.sum("n")).alias("mean"))
+        tokens = tokens.groupBy("value").agg(F.max("mean").alias("mean"))
         scored = edges.join(tokens, "value").withColumn("score", F.when(seed, 1.0).otherwise(F.col("mean"))).drop("mean")
-    return of_pattern.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= SEEDS)).select("before", "kind")
+    return of_pattern.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= SEEDS)).select("pattern", "kind", "confidence")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -161,13 +176,18 @@ def find(docs: DataFrame) -> DataFrame:
         "pii-found",
     )
     tokens = rows.select("doc_id", "_t", F.explode("tokens").alias("s")).select("doc_id", "_t", "s.*")
-    good = patterns(tokens.select("before", "value", "kind"))
+    words = F.regexp_replace("before", rf"[{_SPACE}]+", " ")
+    # a token's own end punctuation is none of its value
+    bare = F.when(F.col("kind").isNull(), F.regexp_replace("value", r"[.,;:!?\"'\])}>]+$", "")).otherwise(F.col("value"))
+    tokens = tokens.withColumn("value", bare).withColumn("patterns", contexts(words, F.col("value")))
+    good = patterns(tokens)
     like_email = F.rlike("value", F.lit(f"^(?:{LIKE_EMAIL})$"))
     # where the pattern's kind holds no spaces, a run is its first token
     whole = F.when(F.col("kind").isin(*SPACED) | like_email, F.col("value")).otherwise(F.substring_index("value", " ", 1))
     enough = ((F.col("kind") == "email") & like_email) | (F.length(_digits(whole)) >= DIGITS)
+    behind = tokens.filter(F.col("kind").isNull()).drop("kind", "before").withColumn("pattern", F.explode("patterns")).drop("patterns")
     more = (
-        tokens.filter(F.col("kind").isNull()).drop("kind").join(good, "before")
+        behind.join(good, "pattern").groupBy("doc_id", "_t", "start", "value").agg(F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
         .filter(enough).withColumn("end", F.col("start") + F.length(whole))
         .groupBy(F.col("doc_id").alias("_id"), F.col("_t").alias("_u"))
         .agg(F.collect_set(F.struct("kind", "start", "end")).alias("more_spans"))
