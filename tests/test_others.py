@@ -17,18 +17,18 @@ def test_cell_features(spark):
     rows = [(D(2000 + y, m, 1), c, 170.0 + i, -40.0, m + 1.0 * y + 10.0 * i) for i, c in enumerate(("a", "b")) for y in (0, 1) for m in range(1, 13)]
     out = {r.cell_id: r for r in cells.features(spark.createDataFrame(rows, "date date, cell_id string, longitude double, latitude double, sst_c double")).collect()}
     a = out["a"]
-    assert (a.observation_count, a.mean_sst_c, a.jan_mean_sst_c, a.dec_mean_sst_c, a.summer_mean_sst_c, a.winter_mean_sst_c, a.seasonal_amplitude_c) == (24, 7.0, 1.5, 12.5, 5.5, 7.5, 11.0)
-    assert a.warmest_month == "dec" and a.coldest_month == "jan" and math.isclose(a.deseasonalized_sd_c, math.sqrt(6 / 23)) and math.isclose(a.interannual_sd_c, math.sqrt(0.5))
-    shapes = [a[f"{m}_shape_c"] for m in cells.MONTHS]
+    assert (a.observation_count, a.mean_sst_c, a.mean_jan_sst_c, a.mean_dec_sst_c, a.summer_mean_sst_c, a.winter_mean_sst_c, a.seasonal_amplitude_c) == (24, 7.0, 1.5, 12.5, 5.5, 7.5, 11.0)
+    assert a.warmest_month == "dec" and a.coldest_month == "jan" and math.isclose(a.deseasonalized_daily_sd_sst_c, math.sqrt(6 / 23)) and math.isclose(a.annual_mean_sd_sst_c, math.sqrt(0.5))
+    shapes = [a[f"seasonal_shape_{m}_c"] for m in cells.MONTHS]
     assert shapes[0] == -5.5 and shapes[-1] == 5.5 and abs(sum(shapes)) < 1e-9
 
 
 def test_trends(spark):
     rows = [(c, 170.0, -40.0, y, 15 + s * (y - 1991), 365) for c, s in (("up", 0.02), ("down", -0.01), ("flat", 0.0)) for y in range(1991, 2021)]
     got = {r.cell_id: r for r in cells.trends(spark.createDataFrame(rows, "cell_id string, longitude double, latitude double, year int, annual_mean_sst_c double, observation_count int"), 1991, 2020).collect()}
-    assert math.isclose(got["up"].warming_rate_c_per_year, 0.02, rel_tol=1e-9) and math.isclose(got["down"].warming_rate_c_per_decade, -0.1, rel_tol=1e-9)
-    assert math.isclose(got["up"].r_squared, 1.0, rel_tol=1e-9) and got["up"].p_value < 1e-9 and math.isclose(got["up"].fitted_change_c, 0.58, rel_tol=1e-9)
-    assert (got["flat"].p_value, got["flat"].r_squared) == (1.0, 0.0) and got["up"].year_count == 30 and got["up"].observation_count == 10950
+    assert math.isclose(got["up"].trend_c_per_year, 0.02, rel_tol=1e-9) and math.isclose(got["down"].trend_c_per_decade, -0.1, rel_tol=1e-9)
+    assert math.isclose(got["up"].trend_r_squared, 1.0, rel_tol=1e-9) and got["up"].trend_p_value < 1e-9 and math.isclose(got["up"].estimated_change_over_period_c, 0.58, rel_tol=1e-9)
+    assert (got["flat"].trend_p_value, got["flat"].trend_r_squared) == (1.0, 0.0) and got["up"].year_count == 30 and got["up"].observation_count == 10950
 
 
 def test_projection(spark):
@@ -37,7 +37,7 @@ def test_projection(spark):
     out = projection.project(df)
     ahead = out.filter("observed_or_projected = 'projected'").orderBy("month_date").collect()
     assert out.count() == 168 and len(out.columns) == 15 and ahead[0].month_date == D(2022, 1, 1) and ahead[-1].month_date == D(2031, 12, 1)
-    assert math.isclose(ahead[0].warming_rate_c_per_decade, 10 * ahead[0].warming_rate_c_per_year) and all(r.p10_sst_c <= r.p90_sst_c for r in ahead)
+    assert math.isclose(ahead[0].trend_c_per_decade, 10 * ahead[0].trend_c_per_year) and all(r.p10_sst_c <= r.p90_sst_c for r in ahead)
     fit = projection.gls(df, base=(2018, 2021)).collect()
     assert len(fit) == 120 and all(r.lower_sst_c < r.predicted_sst_c < r.upper_sst_c for r in fit)
 
@@ -99,8 +99,7 @@ def test_projection_against_another_series(spark):
     a, f = geo.A, geo.FLATTENING
     e2 = f * (2 - f)
     for lon, lat in ((173.0, -41.0), (174.5, -36.5), (171.0, -45.0)):
-        e, n = geo.nztm(F.lit(lon), F.lit(lat))
-        got = spark.range(1).select(e.alias("e"), n.alias("n")).first()
+        got = geo.with_nztm(spark.createDataFrame([(lon, lat)], "lon double, lat double"), "lon", "lat", "e", "n").first()
         p, w = math.radians(lat), math.radians(lon - 173)
         m = a * ((1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256) * p - 3 / 8 * (e2 + e2**2 / 4 + 15 * e2**3 / 128) * math.sin(2 * p) + 15 / 256 * (e2**2 + 3 * e2**3 / 4) * math.sin(4 * p) - 35 * e2**3 / 3072 * math.sin(6 * p))
         nu = a / math.sqrt(1 - e2 * math.sin(p) ** 2)
@@ -195,7 +194,7 @@ def test_stream_keeps_open_days(spark, tmp_path):
 
     sf = "/root/testdata/sf0.001"
     got = queries.QUERIES["stream_region_daily"](spark, sf)
-    assert cut(got) == cut(proxy.daily(spark, sf)) and got.count() == proxy.daily(spark, sf).count()
+    assert cut(got) == cut(series.rounded(proxy.daily(spark, sf))) and got.count() == proxy.daily(spark, sf).count()
     start = dt.datetime(2026, 1, 1)
     rows = [(start + dt.timedelta(hours=7 * i), i % 2, float(i)) for i in range(200)]
     df = spark.createDataFrame(rows, "time timestamp, region_id int, sst double").coalesce(1)

@@ -48,7 +48,7 @@ def test_anomalies_over_eight_days(spark):
     assert [r.above_p90 for r in out] == [False, False, True, True, False, True, True, True]
     assert out[0].rolling_7d_anomaly_c == 1.0 and math.isclose(out[7].rolling_7d_anomaly_c, sum(m - 19 for m in means[1:]) / 7)
     assert [r.warming_rate_7d_c for r in out] == [None] * 7 + [4.0]
-    assert out[0].status == "Hot" and out[7].status == "Extreme"
+    assert out[0].status_label == "Hot" and out[7].status_label == "Extreme"
 
 
 def test_labels(spark):
@@ -70,7 +70,7 @@ def test_heat_event(spark):
     out = series.heat_events(event_rows(spark, [0.5, 1.0, 0.7, 0.2, 2.2, -1.0, -1.0, -1.0])).collect()
     assert len(out) == 1
     e = out[0]
-    assert (e.start_date, e.end_date, e.duration_days, e.peak_date, e.max_exceedance_c, e.severity, e.is_active) == (D(2026, 1, 1), D(2026, 1, 5), 5, D(2026, 1, 5), 2.2, "Extreme", False)
+    assert (e.start_date, e.end_date, e.duration_days, e.peak_date, e.max_exceedance_p90_c, e.severity_class, e.is_active) == (D(2026, 1, 1), D(2026, 1, 5), 5, D(2026, 1, 5), 2.2, "Extreme", False)
     assert e.event_id == str(uuid.uuid5(uuid.NAMESPACE_URL, "warm_event|region_id=1|start_date=2026-01-01"))
 
 

@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import stats
+from ..functions import geo, stats
 
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 PLACE = ("cell_id", "longitude", "latitude")
+#: The features' names and their order.
+FEATURES = [
+    "observation_count", "mean_sst_c", "raw_sst_sd_c", "minimum_sst_c", "maximum_sst_c", *[f"mean_{m}_sst_c" for m in MONTHS],
+    "summer_mean_sst_c", "winter_mean_sst_c", "seasonal_amplitude_c", "warmest_month", "coldest_month", *[f"seasonal_shape_{m}_c" for m in MONTHS],
+    "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c",
+]
+#: The serving view's names and their order.
+SUMMARY = [
+    "cell_id", "longitude", "latitude", "cell_size_degrees", "grid_version", "geom_wkt", "baseline_start_year", "baseline_end_year", "year_count", "trend_observation_count",
+    "historical_observation_count", "mean_sst_c", "minimum_sst_c", "maximum_sst_c", "summer_mean_sst_c", "winter_mean_sst_c", "seasonal_amplitude_c", "warmest_month", "coldest_month",
+    "raw_sst_sd_c", "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c", "trend_c_per_year", "trend_c_per_decade", "trend_standard_error_c_per_year",
+    "trend_standard_error_c_per_decade", "trend_p_value", "trend_r_squared", "estimated_change_over_period_c",
+]
 
 
 def extract(grid: DataFrame, domain: DataFrame) -> DataFrame:
@@ -28,13 +41,13 @@ def absent_coordinates(grid: DataFrame, domain: DataFrame) -> DataFrame:
 def monthly_pivot(cells: DataFrame) -> DataFrame:
     """Mean of each month as a column; null where a month has no row."""
     month = F.month("date")
-    return cells.groupBy("cell_id").agg(*[F.avg(F.when(month == i + 1, F.col("sst_c"))).alias(f"{m}_mean_sst_c") for i, m in enumerate(MONTHS)])
+    return cells.groupBy("cell_id").agg(*[F.avg(F.when(month == i + 1, F.col("sst_c"))).alias(f"mean_{m}_sst_c") for i, m in enumerate(MONTHS)])
 
 
 def _mean_of(names: list[str]) -> Column:
-    total = F.col(f"{names[0]}_mean_sst_c")
+    total = F.col(f"mean_{names[0]}_sst_c")
     for n in names[1:]:
-        total = total + F.col(f"{n}_mean_sst_c")
+        total = total + F.col(f"mean_{n}_sst_c")
     return total / len(names)
 
 
@@ -46,20 +59,20 @@ def features(cells: DataFrame) -> DataFrame:
     """
     base = monthly_pivot(cells).join(
         cells.groupBy(*PLACE).agg(
-            F.avg("sst_c").alias("mean_sst_c"), F.stddev_samp("sst_c").alias("sd_sst_c"), F.min("sst_c").alias("min_sst_c"),
-            F.max("sst_c").alias("max_sst_c"), F.count("sst_c").alias("observation_count"),
+            F.avg("sst_c").alias("mean_sst_c"), F.stddev_samp("sst_c").alias("raw_sst_sd_c"), F.min("sst_c").alias("minimum_sst_c"),
+            F.max("sst_c").alias("maximum_sst_c"), F.count("sst_c").alias("observation_count"),
         ),
         "cell_id",
     )
-    months = F.array(*[F.col(f"{m}_mean_sst_c") for m in MONTHS])
+    months = F.array(*[F.col(f"mean_{m}_sst_c") for m in MONTHS])
     names = F.array(*[F.lit(m) for m in MONTHS])
     first = lambda x: F.element_at(names, F.array_position(months, x).cast("int"))
     out = base.withColumns({
         "summer_mean_sst_c": _mean_of(["dec", "jan", "feb"]), "winter_mean_sst_c": _mean_of(["jun", "jul", "aug"]),
         "seasonal_amplitude_c": F.array_max(months) - F.array_min(months), "warmest_month": first(F.array_max(months)), "coldest_month": first(F.array_min(months)),
     })
-    out = out.withColumns({f"{m}_shape_c": F.col(f"{m}_mean_sst_c") - _mean_of(MONTHS) for m in MONTHS})
-    return out.join(deseasonalized_sd(cells), "cell_id").join(interannual_sd(cells), "cell_id")
+    out = out.withColumns({f"seasonal_shape_{m}_c": F.col(f"mean_{m}_sst_c") - _mean_of(MONTHS) for m in MONTHS})
+    return out.join(deseasonalized_sd(cells), "cell_id").join(interannual_sd(cells), "cell_id").select(*PLACE, *FEATURES)
 
 
 def deseasonalized_sd(cells: DataFrame) -> DataFrame:
@@ -69,12 +82,12 @@ def deseasonalized_sd(cells: DataFrame) -> DataFrame:
     about each month's mean add up over the months.
     """
     by_month = cells.groupBy("cell_id", F.month("date").alias("month")).agg(F.count("sst_c").alias("n"), F.var_pop("sst_c").alias("v"))
-    return by_month.groupBy("cell_id").agg(F.sqrt(F.try_divide(F.sum(F.col("n") * F.col("v")), F.sum("n") - 1)).alias("deseasonalized_sd_c"))
+    return by_month.groupBy("cell_id").agg(F.sqrt(F.try_divide(F.sum(F.col("n") * F.col("v")), F.sum("n") - 1)).alias("deseasonalized_daily_sd_sst_c"))
 
 
 def interannual_sd(cells: DataFrame) -> DataFrame:
     yearly = cells.groupBy("cell_id", F.year("date").alias("year")).agg(F.avg("sst_c").alias("m"))
-    return yearly.groupBy("cell_id").agg(F.stddev_samp("m").alias("interannual_sd_c"))
+    return yearly.groupBy("cell_id").agg(F.stddev_samp("m").alias("annual_mean_sd_sst_c"))
 
 
 def deseasonalize(cells: DataFrame) -> DataFrame:
@@ -102,13 +115,13 @@ def trends(annual: DataFrame, start: int, end: int) -> DataFrame:
     flat = F.col("syy") <= 0
     r2 = F.when(flat, 0.0).otherwise(F.least(F.col("r2"), F.lit(1.0)))
     se = F.sqrt(F.try_divide((1 - r2) * F.col("syy"), F.col("sxx") * df))
-    sums = sums.withColumns({"r_squared": r2, "slope_standard_error_c_per_year": se})
-    t = F.try_divide(F.col("slope"), F.col("slope_standard_error_c_per_year"))
-    p = F.when(flat, 1.0).when(F.col("slope_standard_error_c_per_year") == 0, 0.0).otherwise(stats.t_two_sided(t, df))
+    sums = sums.withColumns({"trend_r_squared": r2, "trend_standard_error_c_per_year": se})
+    t = F.try_divide(F.col("slope"), F.col("trend_standard_error_c_per_year"))
+    p = F.when(flat, 1.0).when(F.col("trend_standard_error_c_per_year") == 0, 0.0).otherwise(stats.t_two_sided(t, df))
     return sums.select(
-        *PLACE, F.col("slope").alias("warming_rate_c_per_year"), (F.col("slope") * 10).alias("warming_rate_c_per_decade"),
-        "slope_standard_error_c_per_year", p.alias("p_value"), "r_squared", F.lit(start).alias("start_year"), F.lit(end).alias("end_year"),
-        "year_count", "observation_count", (F.col("slope") * (end - start)).alias("fitted_change_c"),
+        *PLACE, F.lit(start).alias("baseline_start_year"), F.lit(end).alias("baseline_end_year"), "year_count", "observation_count",
+        F.col("slope").alias("trend_c_per_year"), (F.col("slope") * 10).alias("trend_c_per_decade"), "trend_standard_error_c_per_year",
+        p.alias("trend_p_value"), "trend_r_squared", (F.col("slope") * (end - start)).alias("estimated_change_over_period_c"),
     )
 
 
@@ -116,15 +129,18 @@ def manifest(cells: DataFrame) -> DataFrame:
     return cells.groupBy(F.year("date").alias("year")).agg(
         F.countDistinct("date").alias("files_processed"), F.countDistinct("cell_id").alias("cell_count"), F.count(F.lit(1)).alias("row_count"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-    ).withColumn("status", F.lit("complete"))
+    ).withColumns({"status": F.lit("complete"), "output_file": F.concat(F.lit("cells_"), F.col("year").cast("string"), F.lit(".parquet"))})
 
 
-def summary(places: DataFrame, feature_rows: DataFrame, trend_rows: DataFrame) -> DataFrame:
-    """Serving view: cells with features and trends, standard error by decade."""
-    f = feature_rows.drop("longitude", "latitude").withColumnRenamed("observation_count", "daily_observation_count")
+def summary(places: DataFrame, feature_rows: DataFrame, trend_rows: DataFrame, *, size: float = 0.25, version: str = "v1") -> DataFrame:
+    """Serving view: cells of a grid with their square, features and trends, standard error by decade."""
+    f = feature_rows.drop("longitude", "latitude").withColumnRenamed("observation_count", "historical_observation_count")
     t = trend_rows.drop("longitude", "latitude").withColumnRenamed("observation_count", "trend_observation_count")
-    out = places.join(f, "cell_id").join(t, "cell_id")
-    return out.withColumn("slope_standard_error_c_per_decade", F.col("slope_standard_error_c_per_year") * 10)
+    out = places.select(*PLACE).join(f, "cell_id").join(t, "cell_id").withColumns({
+        "cell_size_degrees": F.lit(size), "grid_version": F.lit(version), "geom_wkt": geo.square_wkt(F.col("longitude"), F.col("latitude"), size),
+        "trend_standard_error_c_per_decade": F.col("trend_standard_error_c_per_year") * 10,
+    })
+    return out.select(*SUMMARY)
 
 
 def agreement(left: DataFrame, right: DataFrame, tolerance: float = 1e-9) -> DataFrame:

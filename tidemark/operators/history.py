@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,8 +22,8 @@ def standardise(df: DataFrame, source: str, priority: int, columns: Sequence[str
 
 
 def keep_highest(df: DataFrame, key: Sequence[str] = KEY, priority: str = "source_priority") -> DataFrame:
-    """One row for each key, that of the highest priority."""
-    best = Window.partitionBy(*key).orderBy(F.col(priority).desc())
+    """One row for each key, that of the highest priority; of equal ones the greatest by the other columns, in their order."""
+    best = Window.partitionBy(*key).orderBy(F.col(priority).desc(), *[F.col(c).desc() for c in df.columns if c not in (*key, priority)])
     return df.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
@@ -90,6 +91,14 @@ def next_window(df: DataFrame, today: str, lag: int = 18) -> DataFrame:
     return df.agg(start.alias("start_date"), end.alias("end_date"), (start <= end).alias("has_work"))
 
 
+def request_window(today: str, first: int = 21, last: int = 1) -> tuple[datetime.date, datetime.date]:
+    """The days that a preliminary update asks for where none are named: `first` to `last` days before today."""
+    day = datetime.date.fromisoformat(today)
+    if first < last:
+        raise ValueError("the window starts after its end")
+    return day - datetime.timedelta(first), day - datetime.timedelta(last)
+
+
 def calendar_of(df: DataFrame, column: str = "date") -> DataFrame:
     """Every day from the first to the last of df."""
     ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b"))

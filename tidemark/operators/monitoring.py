@@ -71,11 +71,11 @@ def stage_diagnostics(anomalies: DataFrame, events: DataFrame) -> DataFrame:
     n = lambda c: F.count(F.when(c, 1))
     a = anomalies.agg(
         F.count(F.lit(1)).alias("rows"), n(F.col("clim_mean_sst_c").isNull()).alias("without_climatology"), n(F.col("above_p90")).alias("above_p90"),
-        *[n(F.col("status") == s).alias(f"status_{s.lower()}") for s in ("Unknown", "Normal", "Watch", "Hot", "Extreme")],
+        *[n(F.col("status_label") == s).alias(f"status_{s.lower()}") for s in ("Unknown", "Normal", "Watch", "Hot", "Extreme")],
     )
     e = events.agg(
         F.count(F.lit(1)).alias("events"), n(F.col("is_active")).alias("active_events"), F.max("duration_days").alias("longest_days"),
-        *[n(F.col("severity") == s).alias(f"severity_{s.lower()}") for s in ("Weak", "Moderate", "Severe", "Extreme")],
+        *[n(F.col("severity_class") == s).alias(f"severity_{s.lower()}") for s in ("Weak", "Moderate", "Severe", "Extreme")],
     )
     return a.join(F.broadcast(e))  # one row
 
@@ -85,7 +85,7 @@ def grid_summary(audit: DataFrame) -> DataFrame:
     land, inside, ocean = F.col("is_land"), F.col("included_in_coastal_domain"), F.col("oisst_ocean_cell")
     return audit.agg(
         F.count(F.lit(1)).alias("total_cells"), n(land).alias("land_cells"), n(inside).alias("included_cells"), n(ocean).alias("native_ocean_cells"),
-        n(~land & ~ocean).alias("masked_out_cells"), n(~land & F.col("distance_to_land_km").isNull()).alias("offshore_cells"),
+        n(~land & ~ocean).alias("masked_out_cells"), n(~land & ~inside).alias("offshore_cells"),
     )
 
 
@@ -93,16 +93,26 @@ def value_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
 
 
-STEP_KEYS = ["step", "rows", "duration", "k", "error"]
+#: What the view reads from an event's JSON, and the keys of which one makes an event part of it.
+STEP_TEXT = ["step_name", "target_table", "output_file", "load_mode"]
+STEP_NUMBERS = ["rows_created", "rows_loaded", "row_count", "column_count", "region_count"]
+STEP_DATES = ["date_min", "date_max"]
+STEP_OBJECTS = ["status_label_counts", "data_product_counts", "is_provisional_counts"]
+STEP_KEYS = ["rows_created", "rows_loaded", "row_count", "target_table", "output_file"]
 
 
 def step_metrics(runs: DataFrame, log: DataFrame, keys: Sequence[str] = STEP_KEYS) -> DataFrame:
-    """Run log events with their run: those at level ERROR or whose JSON has one of the keys, even with a null value."""
+    """Run log events with their run: those at level ERROR or whose JSON has one of the keys, even with a null value.
+
+    Text, numbers and dates of the JSON (an empty text is null), sub-objects as JSON, and all of it as raw_extra.
+    """
     x = F.col("extra")
     has = F.arrays_overlap(F.coalesce(F.json_object_keys(x), F.array().cast("array<string>")), F.array(*[F.lit(k) for k in keys]))
     kept = log.filter(x.isNotNull() & ((F.col("level") == "ERROR") | has))
     value = lambda k: F.get_json_object(x, f"$.{k}")
-    return kept.join(runs, "run_id").withColumns({"step_value": F.nullif(value("k"), F.lit("")).try_cast("bigint")})
+    some = lambda k: F.nullif(value(k), F.lit(""))
+    fields = {k: value(k) for k in STEP_TEXT + STEP_OBJECTS} | {k: some(k).try_cast("bigint") for k in STEP_NUMBERS} | {k: some(k).try_cast("date") for k in STEP_DATES}
+    return kept.join(runs, "run_id").withColumns({k: fields[k] for k in STEP_TEXT + STEP_NUMBERS + STEP_DATES + STEP_OBJECTS} | {"raw_extra": x})
 
 
 def run_log_latest(log: DataFrame) -> DataFrame:
@@ -122,7 +132,7 @@ def enrich(df: DataFrame, names: DataFrame, key: str = "region_id", labels: Sequ
     wanted = [c for c in labels if c not in df.columns]
     if not wanted:
         return df
-    right = names.select(key, *wanted).dropDuplicates([key])
+    right = names.groupBy(key).agg(F.min(F.struct(*wanted)).alias("_labels")).select(key, "_labels.*")  # of several, the least
     found = df.join(right.withColumn("_known", F.lit(True)), key, "left")
     bad = F.raise_error(F.concat(F.lit("no labels for "), F.col(key).cast("string")))
     return found.filter(F.when(F.col("_known").isNull(), bad.cast("boolean")).otherwise(True)).drop("_known")

@@ -51,7 +51,8 @@ def project(
     baseline's first year on (on all months if these are fewer than 36). The
     band is the line and season with the tenth and ninetieth percentile of the
     month's residuals, or of all where a month has fewer than five. Warming is
-    against the mean of the last twelve months. All regions are done at once.
+    against the mean of the last twelve months; of an observed month, the median
+    is the observation. All regions are done at once.
     """
     region = Window.partitionBy("region_id")
     in_base = F.col("year").between(*base)
@@ -71,25 +72,24 @@ def project(
     recency = Window.partitionBy("region_id").orderBy(F.col("month_date").desc())
     last = df.withColumn("r", F.row_number().over(recency)).filter("r <= 12").groupBy("region_id").agg(F.avg("mean_sst_c").alias("last12"))
 
-    pieces = {"warming_rate_c_per_year": F.col("slope"), "warming_rate_c_per_decade": F.col("slope") * 10}
-    null = F.lit(None).cast("double")
+    null, slopes = F.lit(None).cast("double"), [F.col("slope").alias("trend_c_per_year"), (F.col("slope") * 10).alias("trend_c_per_decade")]
+    own = F.coalesce(F.col("n") >= LEAST_RESIDUALS, F.lit(False))
     observed = df.select(
-        "region_id", "month_date", "year", "month", F.lit("observed").alias("observed_or_projected"), "mean_sst_c", F.col("trend").alias("median_sst_c"),
-        null.alias("p10_sst_c"), null.alias("p90_sst_c"), F.col("anomaly").alias("anomaly_c"), F.lit(0.0).alias("warming_c"),
-        F.lit(model).alias("model"), F.lit("observed").alias("scenario"), *[c.alias(k) for k, c in pieces.items()],
+        "region_id", "month_date", "year", "month", F.lit("observed").alias("observed_or_projected"), F.lit("observed").alias("scenario"), F.lit(model).alias("model_id"),
+        "mean_sst_c", F.col("mean_sst_c").alias("median_sst_c"), null.alias("p10_sst_c"), null.alias("p90_sst_c"), F.col("clim").alias("monthly_climatology_sst_c"), *slopes,
+        F.lit(0.0).alias("warming_from_last_observed_c"),
     )
     ahead_rows = (
         future_months(series, ahead).withColumns({"year": F.year("month_date"), "month": F.month("month_date"), "x": calendar.decimal_year(F.col("month_date"))})
         .join(clim, ["region_id", "month"], "left").join(line, "region_id").join(of_month, ["region_id", "month"], "left").join(of_all, "region_id").join(last, "region_id")
         .withColumn("trend", F.col("clim") + F.col("intercept") + F.col("slope") * F.col("x"))
     )
-    own = F.coalesce(F.col("n") >= LEAST_RESIDUALS, F.lit(False))
     projected = ahead_rows.select(
-        "region_id", "month_date", "year", "month", F.lit("projected").alias("observed_or_projected"), null.alias("mean_sst_c"), F.col("trend").alias("median_sst_c"),
+        "region_id", "month_date", "year", "month", F.lit("projected").alias("observed_or_projected"), F.lit(scenario).alias("scenario"),
+        F.lit("OISST_seasonal_trend_residual").alias("model_id"), null.alias("mean_sst_c"), F.col("trend").alias("median_sst_c"),
         (F.col("trend") + F.when(own, F.col("m10")).otherwise(F.col("a10"))).alias("p10_sst_c"),
         (F.col("trend") + F.when(own, F.col("m90")).otherwise(F.col("a90"))).alias("p90_sst_c"),
-        (F.col("trend") - F.col("clim")).alias("anomaly_c"), (F.col("trend") - F.col("last12")).alias("warming_c"),
-        F.lit("OISST_seasonal_trend_residual").alias("model"), F.lit(scenario).alias("scenario"), *[c.alias(k) for k, c in pieces.items()],
+        F.col("clim").alias("monthly_climatology_sst_c"), *slopes, (F.col("trend") - F.col("last12")).alias("warming_from_last_observed_c"),
     )
     return observed.unionByName(projected)
 

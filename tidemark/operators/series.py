@@ -94,13 +94,20 @@ def with_anomalies(df: DataFrame, key: str = "region_id") -> DataFrame:
         "rolling_7d_anomaly_c": F.avg("anomaly_c").over(by.rowsBetween(-6, 0)),
         "rolling_30d_anomaly_c": F.avg("anomaly_c").over(by.rowsBetween(-29, 0)),
         "warming_rate_7d_c": F.col("mean_sst_c") - F.lag("mean_sst_c", 7).over(by),
-    }).withColumn("status", labels.status(F.round("anomaly_c", 9)))  # noise of a sum does not decide at a limit
+    }).withColumn("status_label", labels.status(F.round("anomaly_c", 9)))  # noise of a sum does not decide at a limit
 
 
+#: Names and order of the table of anomalies.
 ANOMALY_COLUMNS = [
-    "date", "region_id", "region_code", "region_name", "mean_sst_c", "min_sst_c", "max_sst_c", "cell_count", "day_of_year", "clim_mean_sst_c",
-    "clim_p90_sst_c", "sample_size", "anomaly_c", "above_p90", "rolling_7d_anomaly_c", "rolling_30d_anomaly_c", "warming_rate_7d_c", "status",
+    "date", "region_id", "region_code", "region_name", "day_of_year", "mean_sst_c", "cell_count", "min_sst_c", "max_sst_c", "clim_mean_sst_c",
+    "clim_p90_sst_c", "sample_size", "anomaly_c", "rolling_7d_anomaly_c", "rolling_30d_anomaly_c", "warming_rate_7d_c", "above_p90", "status_label",
 ]
+#: Names and order of the table of events after the entity, and the type of all of them.
+EVENT_COLUMNS = [
+    "event_type", "severity_class", "start_date", "end_date", "duration_days", "max_anomaly_c", "mean_anomaly_c", "max_exceedance_p90_c", "mean_exceedance_p90_c",
+    "peak_date", "is_active", "threshold_c", "min_duration_days",
+]
+EVENT_TYPE = "warm_event"
 
 
 def anomalies(history: DataFrame, clim: DataFrame) -> DataFrame:
@@ -140,14 +147,14 @@ def heat_events(rows: DataFrame, *, least_days: int = 5, threshold_c: float = 0.
         F.min("date").alias("start_date"), F.max("date").alias("end_date"), F.count(F.lit(1)).alias("duration_days"),
         F.max("anomaly_c").alias("max_anomaly_c"), F.avg("anomaly_c").alias("mean_anomaly_c"),
         F.max("exceedance_c").alias("max_exceedance_c"), F.avg("exceedance_c").alias("mean_exceedance_c"),
-        F.min_by(F.struct("date", "mean_sst_c", "anomaly_c"), F.struct((-F.col("exceedance_c")).alias("e"), "date")).alias("peak"),
+        F.min_by("date", F.struct((-F.col("exceedance_c")).alias("e"), "date")).alias("peak_date"),
     ).filter(F.col("duration_days") >= least_days)
+    to = lambda c, name: F.round(F.round(c, 9), digits).alias(name)
     return runs.join(F.broadcast(latest)).select(  # one row
-        labels.event_id(F.col(entity[0]), F.col("start_date")).alias("event_id"), *entity, "start_date", "end_date", "duration_days",
-        F.col("peak.date").alias("peak_date"), F.col("peak.mean_sst_c").alias("peak_sst_c"), F.round(F.round("max_anomaly_c", 9), digits).alias("max_anomaly_c"),
-        F.round(F.round("mean_anomaly_c", 9), digits).alias("mean_anomaly_c"), F.round(F.round("max_exceedance_c", 9), digits).alias("max_exceedance_c"),
-        F.round(F.round("mean_exceedance_c", 9), digits).alias("mean_exceedance_c"), labels.severity(F.col("max_exceedance_c")).alias("severity"),
-        (F.col("end_date") == F.col("latest")).alias("is_active"), F.lit(threshold_c).alias("threshold_c"), F.lit(least_days).alias("min_duration_days"),
+        labels.event_id(F.col(entity[0]), F.col("start_date")).alias("event_id"), *entity, F.lit(EVENT_TYPE).alias("event_type"),
+        labels.severity(F.col("max_exceedance_c")).alias("severity_class"), "start_date", "end_date", "duration_days",
+        to("max_anomaly_c", "max_anomaly_c"), to("mean_anomaly_c", "mean_anomaly_c"), to("max_exceedance_c", "max_exceedance_p90_c"), to("mean_exceedance_c", "mean_exceedance_p90_c"),
+        "peak_date", (F.col("end_date") == F.col("latest")).alias("is_active"), F.lit(threshold_c).alias("threshold_c"), F.lit(least_days).alias("min_duration_days"),
     )
 
 

@@ -47,22 +47,31 @@ def _on_edge(px: Column, py: Column) -> Column:
     return (F.abs(cross) < 1e-12) & inside
 
 
+#: Height of the bands of y in which places and edges meet, in degrees.
+BAND = 0.125
+
+
+def _tested(places: DataFrame, edge_rows: DataFrame, key: str) -> DataFrame:
+    """Places (_px, _py) and polygons with an edge in their band of y: _odd (the even-odd rule) and _on (a place on an edge)."""
+    bands = F.sequence(F.floor(F.least("y", "y2") / BAND).cast("long"), F.floor(F.greatest("y", "y2") / BAND).cast("long"))
+    by_band = edge_rows.select(key, "x", "y", "x2", "y2", F.explode(bands).alias("_band"))
+    met = places.withColumn("_band", F.floor(F.col("_py") / BAND).cast("long")).join(by_band, "_band")
+    # edges wholly west of a place are neither crossed by its ray to the east nor touched
+    met = met.filter(F.greatest("x", "x2") >= F.col("_px"))
+    return met.groupBy("_px", "_py", key).agg(
+        (F.count(F.when(_crosses(F.col("_px"), F.col("_py")), 1)) % 2 == 1).alias("_odd"), F.max(_on_edge(F.col("_px"), F.col("_py"))).alias("_on")
+    )
+
+
 def assign(points: DataFrame, edge_rows: DataFrame, key: str = "polygon", lon: str = "lon", lat: str = "lat") -> DataFrame:
     """Left join of points to the polygons that hold them, strictly inside by the even-odd rule.
 
     A point in two polygons gives two rows, in none one with null. Each place is
-    tested once, however many rows it has, and only against edges of polygons
-    whose band of y it lies in: places and polygons meet on whole degrees of y.
+    tested once, however many rows it has, and only against edges in its band of
+    y that do not end west of it.
     """
     places = points.select(F.col(lon).alias("_px"), F.col(lat).alias("_py")).distinct().filter("_px is not null and _py is not null")
-    degrees = F.sequence(F.floor(F.least("y", "y2")).cast("long"), F.floor(F.greatest("y", "y2")).cast("long"))
-    by_degree = edge_rows.select(key, "x", "y", "x2", "y2", F.explode(degrees).alias("_band"))
-    hits = (
-        places.withColumn("_band", F.floor("_py").cast("long")).join(by_degree, "_band")
-        .groupBy("_px", "_py", key)
-        .agg(F.count(F.when(_crosses(F.col("_px"), F.col("_py")), 1)).alias("_n"), F.max(_on_edge(F.col("_px"), F.col("_py"))).alias("_on"))
-        .filter("_n % 2 = 1 and not _on").select("_px", "_py", key)
-    )
+    hits = _tested(places, edge_rows, key).filter("_odd and not _on").select("_px", "_py", key)
     return points.join(hits, (F.col(lon) == F.col("_px")) & (F.col(lat) == F.col("_py")), "left").drop("_px", "_py")
 
 
@@ -81,11 +90,9 @@ def overlap(points: DataFrame, edge_rows: DataFrame, key: str = "polygon", lon:
 
 def projected(rows: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Coordinates in metres in place of degrees."""
-    out = {}
-    for a, b in pairs:
-        e, n = geo.nztm(F.col(a), F.col(b))
-        out |= {a: e, b: n}
-    return rows.withColumns(out)
+    for x, y in pairs:
+        rows = geo.with_nztm(rows, x, y, x, y)
+    return rows
 
 
 def segment_distance(px: Column, py: Column) -> Column:
@@ -109,8 +116,8 @@ def distances(cells: DataFrame, land: DataFrame, max_km: float, *, beyond: bool
     that have met none so near go on to wider squares.
     """
     e = projected(land.select("polygon", "x", "y", "x2", "y2"), [("x", "y"), ("x2", "y2")])
-    px, py = geo.nztm(F.col("longitude"), F.col("latitude"))
-    found = cells.select("cell_id", px.alias("_px"), py.alias("_py"), F.lit(None).cast("double").alias("_km")).distinct()
+    found = geo.with_nztm(cells.select("cell_id", "longitude", "latitude"), "longitude", "latitude", "_px", "_py")
+    found = found.select("cell_id", "_px", "_py", F.lit(None).cast("double").alias("_km")).distinct()
     for i in range(ROUNDS if beyond else 1):
         side = max_km * WIDER**i * 1000
         reach = lambda a, b: F.sequence(F.floor(F.least(a, b) / side).cast("long") - 1, F.floor(F.greatest(a, b) / side).cast("long") + 1)  # noqa: E731, B023
@@ -124,11 +131,10 @@ def distances(cells: DataFrame, land: DataFrame, max_km: float, *, beyond: bool
         met = F.min(segment_distance(F.col("_px"), F.col("_py"))) / 1000
         found = at.join(near, ["_gx", "_gy"], "left").groupBy("cell_id", "_px", "_py").agg(F.coalesce(F.min("_km"), F.when(met <= side / 1000, met)).alias("_km"))
     found = found.groupBy("cell_id").agg(F.min("_km").alias("_km"))
-    inside = assign(cells.select("cell_id", "longitude", "latitude"), land, lon="longitude", lat="latitude").groupBy("cell_id").agg(F.max(F.col("polygon").isNotNull()).alias("is_land"))
-    out = cells.join(inside, "cell_id", "left").join(found, "cell_id", "left")
-    on_edge = F.coalesce(F.col("_km") == 0, F.lit(False))
-    land_flag = F.coalesce("is_land", F.lit(False)) | on_edge
-    return out.withColumn("is_land", land_flag).withColumn("distance_to_land_km", F.when(F.col("is_land"), 0.0).otherwise(F.col("_km"))).drop("_km")
+    places = cells.select("cell_id", F.col("longitude").alias("_px"), F.col("latitude").alias("_py"))
+    inside = places.join(_tested(places.select("_px", "_py").distinct(), land, "polygon"), ["_px", "_py"]).groupBy("cell_id").agg(F.max(F.col("_odd") | F.col("_on")).alias("is_land"))
+    out = cells.join(inside, "cell_id", "left").join(found, "cell_id", "left").withColumn("is_land", F.coalesce("is_land", F.lit(False)))  # an edge is land
+    return out.withColumn("distance_to_land_km", F.when(F.col("is_land"), 0.0).otherwise(F.col("_km"))).drop("_km")
 
 
 def classify(cells: DataFrame, land: DataFrame, max_km: float = 75.0, *, beyond: bool = False) -> DataFrame:
@@ -177,18 +183,52 @@ def mainland(edge_rows: DataFrame, max_km: float = 80.0, anchors: int = 3, key:
 
 
 def invalid(edge_rows: DataFrame, key: str = "polygon") -> DataFrame:
-    """Polygons with the number of pairs of edges that properly cross."""
-    e = edge_rows.select(key, "n", "x", "y", "x2", "y2")
-    o = edge_rows.select(key, F.col("n").alias("m"), F.col("x").alias("a"), F.col("y").alias("b"), F.col("x2").alias("c"), F.col("y2").alias("d"))
+    """Polygons with the number of pairs of edges that properly cross.
+
+    Edges of a polygon meet in squares, of which its bounding box has about as
+    many as it has edges.
+    """
+    low = [F.min(F.least(a, b)).alias(f"_{a}0") for a, b in (("x", "x2"), ("y", "y2"))]
+    wide = F.greatest(F.max(F.greatest("x", "x2")) - F.min(F.least("x", "x2")), F.max(F.greatest("y", "y2")) - F.min(F.least("y", "y2")))
+    boxes = edge_rows.groupBy(key).agg(*low, F.greatest(wide / F.sqrt(F.count(F.lit(1))), F.lit(1e-9)).alias("_side"))
+    span = lambda a, b: F.sequence(F.floor((F.least(a, b) - F.col(f"_{a}0")) / F.col("_side")).cast("long"), F.floor((F.greatest(a, b) - F.col(f"_{a}0")) / F.col("_side")).cast("long"))
+    put = edge_rows.select(key, "n", "x", "y", "x2", "y2").join(boxes, key).withColumn("_gx", F.explode(span("x", "x2"))).withColumn("_gy", F.explode(span("y", "y2")))
+    e = put.select(key, "_gx", "_gy", "n", "x", "y", "x2", "y2")
+    o = put.select(key, "_gx", "_gy", F.col("n").alias("m"), F.col("x").alias("a"), F.col("y").alias("b"), F.col("x2").alias("c"), F.col("y2").alias("d"))
     side_of = lambda p, q, r, s, t, u: (F.col(r) - F.col(p)) * (F.col(u) - F.col(q)) - (F.col(s) - F.col(q)) * (F.col(t) - F.col(p))
     cross = (side_of("x", "y", "x2", "y2", "a", "b") * side_of("x", "y", "x2", "y2", "c", "d") < 0) & (side_of("a", "b", "c", "d", "x", "y") * side_of("a", "b", "c", "d", "x2", "y2") < 0)
-    return e.join(o, key).filter((F.col("n") < F.col("m")) & cross).groupBy(key).agg(F.count(F.lit(1)).alias("crossings"))
+    pairs = e.join(o, [key, "_gx", "_gy"]).filter((F.col("n") < F.col("m")) & cross).select(key, "n", "m").distinct()
+    return pairs.groupBy(key).agg(F.count(F.lit(1)).alias("crossings"))
+
+
+def in_extent(edge_rows: DataFrame, west: float, east: float, south: float, north: float, key: str = "polygon", *, least: int = 0) -> DataFrame:
+    """Polygons that meet the extent: an edge does, or the polygon holds a corner of it. Fewer than `least` of them are an error."""
+    if west >= east or south >= north:
+        raise ValueError("the extent is empty")
+    x, y, x2, y2 = (F.col(c) for c in ("x", "y", "x2", "y2"))
+    boxes_meet = (F.least(x, x2) <= east) & (F.greatest(x, x2) >= west) & (F.least(y, y2) <= north) & (F.greatest(y, y2) >= south)
+    side = [(x2 - x) * (F.lit(b) - y) - (y2 - y) * (F.lit(a) - x) for a in (west, east) for b in (south, north)]  # of the corners to the edge's line
+    touches = boxes_meet & ~((F.greatest(*side) < 0) | (F.least(*side) > 0))
+    holds = F.count(F.when(_crosses(F.lit(west), F.lit(south)), 1)) % 2 == 1
+    out = edge_rows.groupBy(key).agg(F.max(touches).alias("_t"), holds.alias("_h")).filter("_t or _h").select(key)
+    if least and out.limit(least).count() < least:
+        raise ValueError(f"fewer than {least} polygons meet the extent")
+    return out
 
 
-def in_extent(edge_rows: DataFrame, west: float, east: float, south: float, north: float, key: str = "polygon") -> DataFrame:
-    """Polygons whose bounding box meets the extent."""
-    box = edge_rows.groupBy(key).agg(F.min("x").alias("w"), F.max("x").alias("e"), F.min("y").alias("s"), F.max("y").alias("n"))
-    return box.filter((F.col("w") <= east) & (F.col("e") >= west) & (F.col("s") <= north) & (F.col("n") >= south)).select(key)
+def load_mainland(polygons: DataFrame, extent: tuple[float, float, float, float], names: list[str], terms: list[str], *, max_km: float = 80.0, anchors: int = 3, key: str = "polygon") -> DataFrame:
+    """Polygons (key, ring, name columns) that meet the extent, hold none of the terms in their names and lie near the largest ones.
+
+    No polygon in the extent, fewer than `anchors` after the names, and none kept are errors.
+    """
+    near = in_extent(edges(polygons, key), *extent, key=key, least=1)
+    named = text_exclusion(polygons.join(near, key), names, terms, "excluded").filter("exclusion_reason is null").drop("exclusion_reason")
+    if named.limit(anchors).count() < anchors:
+        raise ValueError(f"fewer than {anchors} polygons are left")
+    kept = mainland(edges(named, key), max_km, anchors, key).filter("kept").select(key)
+    if kept.isEmpty():
+        raise ValueError("no polygon is kept")
+    return named.join(kept, key)
 
 
 def ocean_mask(cells: DataFrame, mask: DataFrame) -> DataFrame:

@@ -205,7 +205,7 @@ def publication(features_: DataFrame, trends: DataFrame, size: float) -> DataFra
     )
     return suite(
         duplicates(features_, ["cell_id"], "duplicate_features"), duplicates(trends, ["cell_id"], "duplicate_trends"),
-        conditions(features_, {"unfinite_mean": _unfinite("mean_sst_c")}), conditions(trends, {"unfinite_trend": _unfinite("warming_rate_c_per_year")}),
+        conditions(features_, {"unfinite_mean": _unfinite("mean_sst_c")}), conditions(trends, {"unfinite_trend": _unfinite("trend_c_per_year")}),
         amount(history.key_difference(features_, trends, ["cell_id"]), "cell_sets_differ"),
         conditions(both, {"coordinates_differ": (F.abs(F.col("longitude") - F.col("_x")) > 1e-10) | (F.abs(F.col("latitude") - F.col("_y")) > 1e-10), "counts_differ": F.col("n") != F.col("m")}),
         conditions(features_.limit(1), {"bad_cell_size": F.lit(size <= 0)}),
@@ -222,7 +222,7 @@ def constraints(trends: DataFrame, features_: DataFrame, daily: DataFrame, regio
             "warmest_month": ~F.col("warmest_month").isin(MONTHS), "coldest_month": ~F.col("coldest_month").isin(MONTHS),
         }),
         conditions(trends, {
-            "year_order": F.col("start_year") > F.col("end_year"), "p_value_range": ~F.col("p_value").between(0, 1), "r_squared_range": ~F.col("r_squared").between(0, 1),
+            "year_order": F.col("baseline_start_year") > F.col("baseline_end_year"), "p_value_range": ~F.col("trend_p_value").between(0, 1), "r_squared_range": ~F.col("trend_r_squared").between(0, 1),
         }),
         amount(trends.join(features_, "cell_id", "left_anti"), "unknown_cell"),
     )

@@ -38,7 +38,7 @@ def _anomalies(name: str, source: str) -> str:
     SELECT date, region_id, region_code, region_name, mean_sst_c, min_sst_c, max_sst_c, cell_count, day_of_year, clim_mean_sst_c, clim_p90_sst_c, sample_size,
         anomaly_c, above_p90,
         avg(anomaly_c) OVER (w ROWS 6 PRECEDING) AS rolling_7d_anomaly_c, avg(anomaly_c) OVER (w ROWS 29 PRECEDING) AS rolling_30d_anomaly_c,
-        mean_sst_c - lag(mean_sst_c, 7) OVER w AS warming_rate_7d_c, {STATUS.format('round(anomaly_c, 9)')} AS status
+        mean_sst_c - lag(mean_sst_c, 7) OVER w AS warming_rate_7d_c, {STATUS.format('round(anomaly_c, 9)')} AS status_label
     FROM {name}_a WINDOW w AS (PARTITION BY region_id ORDER BY date)
 )"""
 
@@ -54,16 +54,16 @@ def _events(name: str, source: str) -> str:
 ), {name}_g AS (
     SELECT region_id, region_code, region_name, run_id, min(date) AS start_date, max(date) AS end_date, count(*) AS duration_days, max(anomaly_c) AS max_anomaly_c,
         avg(anomaly_c) AS mean_anomaly_c, max(exceedance_c) AS max_exceedance_c, avg(exceedance_c) AS mean_exceedance_c,
-        first(date ORDER BY exceedance_c DESC, date) AS peak_date, first(mean_sst_c ORDER BY exceedance_c DESC, date) AS peak_sst_c
+        first(date ORDER BY exceedance_c DESC, date) AS peak_date
     FROM {name}_r WHERE above_p90 GROUP BY ALL HAVING count(*) >= 5
 ), {name}_h AS (
     SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('warm_event|region_id=' || region_id || '|start_date=' || start_date)) AS h FROM {name}_g
 ), {name} AS (
     SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', strpos('0123456789abcdef', substr(h, 17, 1)) % 4 + CASE WHEN strpos('0123456789abcdef', substr(h, 17, 1)) % 4 = 0 THEN 4 ELSE 0 END, 1)
             || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS event_id,
-        region_id, region_code, region_name, start_date, end_date, duration_days, peak_date, peak_sst_c, round(round(max_anomaly_c, 9), 4) AS max_anomaly_c,
-        round(round(mean_anomaly_c, 9), 4) AS mean_anomaly_c, round(round(max_exceedance_c, 9), 4) AS max_exceedance_c, round(round(mean_exceedance_c, 9), 4) AS mean_exceedance_c,
-        {SEVERITY.format('max_exceedance_c')} AS severity, end_date = (SELECT max(date) FROM {source}) AS is_active, 0.0 AS threshold_c, 5 AS min_duration_days
+        region_id, region_code, region_name, 'warm_event' AS event_type, {SEVERITY.format('max_exceedance_c')} AS severity_class, start_date, end_date, duration_days, peak_date, round(round(max_anomaly_c, 9), 4) AS max_anomaly_c,
+        round(round(mean_anomaly_c, 9), 4) AS mean_anomaly_c, round(round(max_exceedance_c, 9), 4) AS max_exceedance_p90_c, round(round(mean_exceedance_c, 9), 4) AS mean_exceedance_p90_c,
+        end_date = (SELECT max(date) FROM {source}) AS is_active, 0.0 AS threshold_c, 5 AS min_duration_days
     FROM {name}_h
 )"""
 
@@ -109,7 +109,7 @@ def _projected_edges(source: str) -> str:
 
 
 _MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-_ALL = [f"{m}_mean_sst_c" for m in _MONTHS]
+_ALL = [f"mean_{m}_sst_c" for m in _MONTHS]
 _SUM = " + ".join(_ALL)
 
 TABLES = f"""
@@ -154,20 +154,20 @@ WITH points AS (
 ), annual AS (
     SELECT * FROM annual_all WHERE year BETWEEN {proxy.YEARS[0]} AND {proxy.YEARS[1]}
 ), pivoted AS (
-    SELECT cell_id, {', '.join(f'avg(sst_c) FILTER (WHERE month(date) = {i + 1}) AS {m}_mean_sst_c' for i, m in enumerate(_MONTHS))} FROM cells GROUP BY cell_id
+    SELECT cell_id, {', '.join(f'avg(sst_c) FILTER (WHERE month(date) = {i + 1}) AS mean_{m}_sst_c' for i, m in enumerate(_MONTHS))} FROM cells GROUP BY cell_id
 ), residuals AS (
     SELECT *, avg(sst_c) OVER (PARTITION BY cell_id, month(date)) AS month_mean_c, sst_c - avg(sst_c) OVER (PARTITION BY cell_id, month(date)) AS residual_c FROM cells
 ), features AS (
-    SELECT p.*, b.* EXCLUDE (cell_id), (dec_mean_sst_c + jan_mean_sst_c + feb_mean_sst_c) / 3 AS summer_mean_sst_c, (jun_mean_sst_c + jul_mean_sst_c + aug_mean_sst_c) / 3 AS winter_mean_sst_c,
+    SELECT p.*, b.* EXCLUDE (cell_id), (mean_dec_sst_c + mean_jan_sst_c + mean_feb_sst_c) / 3 AS summer_mean_sst_c, (mean_jun_sst_c + mean_jul_sst_c + mean_aug_sst_c) / 3 AS winter_mean_sst_c,
         greatest({', '.join(_ALL)}) - least({', '.join(_ALL)}) AS seasonal_amplitude_c,
         {str(_MONTHS)}[list_position([{', '.join(_ALL)}], greatest({', '.join(_ALL)}))] AS warmest_month,
         {str(_MONTHS)}[list_position([{', '.join(_ALL)}], least({', '.join(_ALL)}))] AS coldest_month,
-        {', '.join(f'{m}_mean_sst_c - ({_SUM}) / 12 AS {m}_shape_c' for m in _MONTHS)}, d.deseasonalized_sd_c, i.interannual_sd_c
+        {', '.join(f'mean_{m}_sst_c - ({_SUM}) / 12 AS seasonal_shape_{m}_c' for m in _MONTHS)}, d.deseasonalized_daily_sd_sst_c, i.annual_mean_sd_sst_c
     FROM pivoted p JOIN (
-        SELECT cell_id, longitude, latitude, avg(sst_c) AS mean_sst_c, stddev_samp(sst_c) AS sd_sst_c, min(sst_c) AS min_sst_c, max(sst_c) AS max_sst_c, count(sst_c) AS observation_count
+        SELECT cell_id, longitude, latitude, avg(sst_c) AS mean_sst_c, stddev_samp(sst_c) AS raw_sst_sd_c, min(sst_c) AS minimum_sst_c, max(sst_c) AS maximum_sst_c, count(sst_c) AS observation_count
         FROM cells GROUP BY ALL
-    ) b USING (cell_id) JOIN (SELECT cell_id, stddev_samp(residual_c) AS deseasonalized_sd_c FROM residuals GROUP BY ALL) d USING (cell_id)
-    JOIN (SELECT cell_id, stddev_samp(annual_mean_sst_c) AS interannual_sd_c FROM annual_all GROUP BY ALL) i USING (cell_id)
+    ) b USING (cell_id) JOIN (SELECT cell_id, stddev_samp(residual_c) AS deseasonalized_daily_sd_sst_c FROM residuals GROUP BY ALL) d USING (cell_id)
+    JOIN (SELECT cell_id, stddev_samp(annual_mean_sst_c) AS annual_mean_sd_sst_c FROM annual_all GROUP BY ALL) i USING (cell_id)
 ), fits AS (
     SELECT cell_id, longitude, latitude, regr_slope(annual_mean_sst_c, year) AS slope, regr_r2(annual_mean_sst_c, year) AS r2, regr_sxx(annual_mean_sst_c, year) AS sxx,
         regr_syy(annual_mean_sst_c, year) AS syy, count(*) AS n, sum(observation_count)::BIGINT AS observation_count
@@ -180,9 +180,9 @@ WITH points AS (
         * exp(lgamma((v + 1) / 2.0) - lgamma(v / 2.0)) / sqrt(v * pi()) AS half
     FROM tests, range(2001) r(i) GROUP BY cell_id, slope, se, v
 ), trends AS (
-    SELECT cell_id, longitude, latitude, slope AS warming_rate_c_per_year, slope * 10 AS warming_rate_c_per_decade, se AS slope_standard_error_c_per_year,
-        1 - 2 * half AS p_value, r2 AS r_squared, {proxy.YEARS[0]} AS start_year, {proxy.YEARS[1]} AS end_year, n AS year_count, observation_count,
-        slope * {proxy.YEARS[1] - proxy.YEARS[0]} AS fitted_change_c
+    SELECT cell_id, longitude, latitude, slope AS trend_c_per_year, slope * 10 AS trend_c_per_decade, se AS trend_standard_error_c_per_year,
+        1 - 2 * half AS trend_p_value, r2 AS trend_r_squared, {proxy.YEARS[0]} AS baseline_start_year, {proxy.YEARS[1]} AS baseline_end_year, n AS year_count, observation_count,
+        slope * {proxy.YEARS[1] - proxy.YEARS[0]} AS estimated_change_over_period_c
     FROM tests JOIN tail USING (cell_id)
 ), monthly AS (
     SELECT region_id, date_trunc('month', date)::DATE AS month_date, avg(mean_sst_c) AS mean_sst_c, year(any_value(date))::INT AS year, month(any_value(date))::INT AS month
@@ -201,7 +201,7 @@ WITH points AS (
 ), land_edges AS ({_projected_edges('land')}
 ), land_inside AS ({_inside('places', 'land')}
 ), classified AS (
-    SELECT cell_id, longitude, latitude, is_land, CASE WHEN is_land THEN 0.0 WHEN km <= 75 THEN km END AS distance_to_land_km, NOT is_land AND km <= 75 AS included_in_coastal_domain
+    SELECT cell_id, longitude, latitude, is_land, CASE WHEN is_land THEN 0.0 ELSE km END AS distance_to_land_km, NOT is_land AND km <= 75 AS included_in_coastal_domain
     FROM (
         SELECT printf('oisst_%.3f_%.3f', lon, lat) AS cell_id, lon AS longitude, lat AS latitude, (lon, lat) IN (SELECT (lon, lat) FROM land_inside) AS is_land,
             min({_segment('pe', 'pn')}) / 1000 AS km

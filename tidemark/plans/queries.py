@@ -42,10 +42,9 @@ S = oracle.sql
 AN = series.ANOMALY_COLUMNS
 AN_D = ("mean_sst_c", "min_sst_c", "max_sst_c", "clim_mean_sst_c", "clim_p90_sst_c", "anomaly_c", "rolling_7d_anomaly_c", "rolling_30d_anomaly_c", "warming_rate_7d_c")
 EV = [
-    "event_id", "region_id", "region_code", "region_name", "start_date", "end_date", "duration_days", "peak_date", "peak_sst_c", "max_anomaly_c", "mean_anomaly_c",
-    "max_exceedance_c", "mean_exceedance_c", "severity", "is_active", "threshold_c", "min_duration_days",
+    "event_id", "region_id", "region_code", "region_name", *series.EVENT_COLUMNS,
 ]
-EV_D = ("peak_sst_c", "max_anomaly_c", "mean_anomaly_c", "max_exceedance_c", "mean_exceedance_c")
+EV_D = ("max_anomaly_c", "mean_anomaly_c", "max_exceedance_p90_c", "mean_exceedance_p90_c")
 DAY_D = ("mean_sst_c", "min_sst_c", "max_sst_c")
 PROD = ["data_product", "is_provisional"]
 
@@ -117,12 +116,21 @@ def publish_counts(spark, sf):
     return monitoring.union([target.read(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n in target.current()["tables"]])
 
 
-@query("cell_geojson")
+@query("cell_geojson", S("SELECT cell_id, longitude - 0.125 AS w, latitude - 0.125 AS s, longitude + 0.125 AS e, latitude + 0.125 AS n, 5 AS corners FROM grid_cells"))
 def cell_geojson(spark, sf):
     c = proxy.grid_cells(spark, sf)
     at = lambda dx, dy: F.struct((F.col("longitude") + dx).alias("x"), (F.col("latitude") + dy).alias("y"))
     ring = F.array(*[at(x, y) for x, y in ((-0.125, -0.125), (0.125, -0.125), (0.125, 0.125), (-0.125, 0.125), (-0.125, -0.125))])
-    return files.geojson(c.select("cell_id", ring.alias("ring")))
+    text = files.geojson(c.select("cell_id", ring.alias("ring")))
+    name = text.columns[-1]
+    point = "array<array<array<double>>>"
+    shape = F.from_json(name, f"type string, geometry struct<type:string,coordinates:{point}>, properties struct<cell_id:string>")
+    rows = text.select(shape.alias("f")).filter("f.type = 'Feature' and f.geometry.type = 'Polygon'")
+    ring = F.get(F.col("f.geometry.coordinates"), 0)
+    edge = lambda i, pick: pick(F.transform(ring, lambda p: F.get(p, i)))
+    return rows.select(
+        "f.properties.cell_id", edge(0, F.array_min).alias("w"), edge(1, F.array_min).alias("s"), edge(0, F.array_max).alias("e"), edge(1, F.array_max).alias("n"), F.size(ring).alias("corners")
+    )
 
 
 # --- projections, filters
@@ -261,19 +269,38 @@ def coordinate_agreement(spark, sf):
     return cells.agreement(places, moved)
 
 
-_SUMMARY = ["cell_id", "longitude", "latitude", "mean_sst_c", "seasonal_amplitude_c", "warmest_month", "coldest_month", "daily_observation_count", "warming_rate_c_per_decade", "slope_standard_error_c_per_decade", "p_value", "r_squared", "trend_observation_count"]
+_SUMMARY_D = ("longitude", "latitude", *[c for c in cells.SUMMARY if c.endswith(("_c", "_per_year", "_per_decade", "_p_value", "_r_squared"))])
+_SQUARE = "printf('POLYGON((%.6f %.6f, %.6f %.6f, %.6f %.6f, %.6f %.6f, %.6f %.6f))', longitude - 0.125, latitude - 0.125, longitude + 0.125, latitude - 0.125, longitude + 0.125, latitude + 0.125, longitude - 0.125, latitude + 0.125, longitude - 0.125, latitude - 0.125)"
+_SUMMARY_SQL = f"(SELECT f.* EXCLUDE (observation_count), f.observation_count AS historical_observation_count, t.* EXCLUDE (cell_id, longitude, latitude, observation_count), t.observation_count AS trend_observation_count, 0.25::DOUBLE AS cell_size_degrees, 'v1' AS grid_version, {_SQUARE.replace('longitude', 'f.longitude').replace('latitude', 'f.latitude')} AS geom_wkt, trend_standard_error_c_per_year * 10 AS trend_standard_error_c_per_decade FROM features f JOIN trends t USING (cell_id))"
 
 
-@query("cell_summary_view", S("SELECT f.cell_id, round(f.longitude, 6) AS longitude, round(f.latitude, 6) AS latitude, round(mean_sst_c, 6) AS mean_sst_c, round(seasonal_amplitude_c, 6) AS seasonal_amplitude_c, warmest_month, coldest_month, f.observation_count AS daily_observation_count, round(warming_rate_c_per_decade, 6) AS warming_rate_c_per_decade, round(slope_standard_error_c_per_year * 10, 6) AS slope_standard_error_c_per_decade, round(p_value, 6) AS p_value, round(r_squared, 6) AS r_squared, t.observation_count AS trend_observation_count FROM features f JOIN trends t USING (cell_id)"))
+@query("cell_summary_view", oracle.rounded(_SUMMARY_SQL, cells.SUMMARY, doubles=_SUMMARY_D))
 def cell_summary_view(spark, sf):
     c = proxy.cells(spark, sf)
     places = c.select("cell_id", "longitude", "latitude").distinct()
-    return D6(cells.summary(places, cells.features(c), cells.trends(proxy.annual(spark, sf), *proxy.YEARS)).select(*_SUMMARY))
+    out = D6(cells.summary(places, cells.features(c), cells.trends(proxy.annual(spark, sf), *proxy.YEARS)))
+    return out
 
 
-@query("step_metrics_view", S("SELECT event_id, run_id, pipeline_name, level, (extra ->> '$.k')::BIGINT AS step_value FROM log JOIN runs USING (run_id) WHERE extra IS NOT NULL AND (level = 'ERROR' OR list_contains(json_keys(extra), 'k'))"))
+#: The JSON of the events has one key, k; here it also stands under the names that the view reads.
+_EXTRA = "CASE WHEN extra IS NOT NULL THEN json_object('k', extra ->> '$.k', 'step_name', status, 'rows_loaded', CASE WHEN event_id % 3 = 0 THEN '' ELSE extra ->> '$.k' END, 'date_min', strftime(ts, '%Y-%m-%d'), 'status_label_counts', json_object('Hot', event_id % 5)) END"
+_STEP = ["event_id", "run_id", "pipeline_name", "level", *monitoring.STEP_TEXT, *monitoring.STEP_NUMBERS, *monitoring.STEP_DATES, *monitoring.STEP_OBJECTS]
+
+
+@query("step_metrics_view", S(
+    "SELECT event_id, run_id, pipeline_name, level, " + ", ".join(
+        [f"x ->> '$.{k}' AS {k}" for k in monitoring.STEP_TEXT] + [f"try_cast(nullif(x ->> '$.{k}', '') AS BIGINT) AS {k}" for k in monitoring.STEP_NUMBERS]
+        + [f"try_cast(nullif(x ->> '$.{k}', '') AS DATE) AS {k}" for k in monitoring.STEP_DATES] + [f"(x -> '$.{k}')::VARCHAR AS {k}" for k in monitoring.STEP_OBJECTS]
+    ) + f" FROM (SELECT *, {_EXTRA} AS x FROM log) JOIN runs USING (run_id) WHERE x IS NOT NULL"
+))
 def step_metrics_view(spark, sf):
-    return monitoring.step_metrics(proxy.runs(spark, sf), proxy.log(spark, sf)).select("event_id", "run_id", "pipeline_name", "level", "step_value")
+    k = F.get_json_object("extra", "$.k")
+    fields = F.struct(
+        k.alias("k"), F.col("status").alias("step_name"), F.when(F.col("event_id") % 3 == 0, "").otherwise(k).alias("rows_loaded"), F.date_format("ts", "yyyy-MM-dd").alias("date_min"),
+        F.struct((F.col("event_id") % 5).alias("Hot")).alias("status_label_counts"),
+    )
+    log = proxy.log(spark, sf).withColumn("extra", F.when(F.col("extra").isNotNull(), F.to_json(fields, {"ignoreNullFields": "false"})))
+    return monitoring.step_metrics(proxy.runs(spark, sf), log).select(*_STEP)
 
 
 @query("distance_to_land", S("SELECT cell_id, is_land, round(distance_to_land_km, 4) AS distance_to_land_km FROM classified"))
@@ -304,7 +331,7 @@ def monthly_history(spark, sf):
     return out.withColumns({c: F.col(c) + F.lit(0.0) for c in ("sin_month", "cos_month")})
 
 
-_F = ["cell_id", "longitude", "latitude", "mean_sst_c", "sd_sst_c", "min_sst_c", "max_sst_c", "observation_count", "summer_mean_sst_c", "winter_mean_sst_c", "seasonal_amplitude_c", "warmest_month", "coldest_month", *[f"{m}_mean_sst_c" for m in cells.MONTHS], *[f"{m}_shape_c" for m in cells.MONTHS], "deseasonalized_sd_c", "interannual_sd_c"]
+_F = [*cells.PLACE, *cells.FEATURES]
 _FD = tuple(c for c in _F if c.endswith("_c") or c in ("longitude", "latitude"))
 
 
@@ -313,17 +340,17 @@ def cell_features(spark, sf):
     return D6(cells.features(proxy.cells(spark, sf)).select(*_F))
 
 
-@query("cell_monthly_pivot", oracle.rounded("pivoted", ["cell_id", *[f"{m}_mean_sst_c" for m in cells.MONTHS]], doubles=_FD))
+@query("cell_monthly_pivot", oracle.rounded("pivoted", ["cell_id", *[f"mean_{m}_sst_c" for m in cells.MONTHS]], doubles=_FD))
 def cell_monthly_pivot(spark, sf):
     return D6(cells.monthly_pivot(proxy.cells(spark, sf)))
 
 
-@query("deseasonalized_sd", oracle.rounded("features", ["cell_id", "deseasonalized_sd_c"], doubles=_FD))
+@query("deseasonalized_sd", oracle.rounded("features", ["cell_id", "deseasonalized_daily_sd_sst_c"], doubles=_FD))
 def deseasonalized_sd(spark, sf):
     return D6(cells.deseasonalized_sd(proxy.cells(spark, sf)))
 
 
-@query("interannual_sd", oracle.rounded("features", ["cell_id", "interannual_sd_c"], doubles=_FD))
+@query("interannual_sd", oracle.rounded("features", ["cell_id", "annual_mean_sd_sst_c"], doubles=_FD))
 def interannual_sd(spark, sf):
     return D6(cells.interannual_sd(proxy.cells(spark, sf)))
 
@@ -333,8 +360,8 @@ def annual_cell_means(spark, sf):
     return D6(cells.annual_means(proxy.cells(spark, sf)))
 
 
-_T = ["cell_id", "longitude", "latitude", "warming_rate_c_per_year", "warming_rate_c_per_decade", "slope_standard_error_c_per_year", "p_value", "r_squared", "start_year", "end_year", "year_count", "observation_count", "fitted_change_c"]
-_TD = ("warming_rate_c_per_year", "warming_rate_c_per_decade", "slope_standard_error_c_per_year", "p_value", "r_squared", "fitted_change_c")
+_T = ["cell_id", "longitude", "latitude", "trend_c_per_year", "trend_c_per_decade", "trend_standard_error_c_per_year", "trend_p_value", "trend_r_squared", "baseline_start_year", "baseline_end_year", "year_count", "observation_count", "estimated_change_over_period_c"]
+_TD = ("trend_c_per_year", "trend_c_per_decade", "trend_standard_error_c_per_year", "trend_p_value", "trend_r_squared", "estimated_change_over_period_c")
 
 
 @query("warming_trends", oracle.rounded("trends", _T, doubles=_TD))
@@ -342,9 +369,9 @@ def warming_trends(spark, sf):
     return D6(cells.trends(proxy.annual(spark, sf), *proxy.YEARS))
 
 
-@query("trend_significance", oracle.rounded("trends", ["cell_id", "slope_standard_error_c_per_year", "p_value"], doubles=_TD))
+@query("trend_significance", oracle.rounded("trends", ["cell_id", "trend_standard_error_c_per_year", "trend_p_value"], doubles=_TD))
 def trend_significance(spark, sf):
-    return D6(cells.trends(proxy.annual(spark, sf), *proxy.YEARS).select("cell_id", "slope_standard_error_c_per_year", "p_value"))
+    return D6(cells.trends(proxy.annual(spark, sf), *proxy.YEARS).select("cell_id", "trend_standard_error_c_per_year", "trend_p_value"))
 
 
 @query("heat_events", oracle.rounded("heat", EV, 4, doubles=EV_D))
@@ -357,14 +384,14 @@ def dashboard_measures(spark, sf):
     return D6(monitoring.dashboard(proxy.anomalies(spark, sf), proxy.events(spark, sf), proxy.monitoring(spark, sf)))
 
 
-@query("latest_status", S("SELECT date, region_id, round(anomaly_c, 6) AS anomaly_c, round(rolling_30d_anomaly_c, 6) AS rolling_30d_anomaly_c, status FROM anomalies WHERE date = (SELECT max(date) FROM anomalies)"))
+@query("latest_status", S("SELECT date, region_id, round(anomaly_c, 6) AS anomaly_c, round(rolling_30d_anomaly_c, 6) AS rolling_30d_anomaly_c, status_label FROM anomalies WHERE date = (SELECT max(date) FROM anomalies)"))
 def latest_status(spark, sf):
-    return D6(monitoring.latest_status(proxy.anomalies(spark, sf), ["date", "region_id", "anomaly_c", "rolling_30d_anomaly_c", "status"]))
+    return D6(monitoring.latest_status(proxy.anomalies(spark, sf), ["date", "region_id", "anomaly_c", "rolling_30d_anomaly_c", "status_label"]))
 
 
-@query("output_metrics", S("SELECT 'anomalies' AS table_name, count(*) AS row_count, 18 AS column_count, count(DISTINCT region_id) AS entity_count, min(date) AS first_date, max(date) AS last_date, (SELECT '{' || string_agg('\"' || status || '\":' || n, ',' ORDER BY status) || '}' FROM (SELECT status, count(*) AS n FROM anomalies GROUP BY ALL)) AS status_counts FROM anomalies"))
+@query("output_metrics", S("SELECT 'anomalies' AS table_name, count(*) AS row_count, 18 AS column_count, count(DISTINCT region_id) AS entity_count, min(date) AS first_date, max(date) AS last_date, (SELECT '{' || string_agg('\"' || status_label || '\":' || n, ',' ORDER BY status_label) || '}' FROM (SELECT status_label, count(*) AS n FROM anomalies GROUP BY ALL)) AS status_label_counts FROM anomalies"))
 def output_metrics(spark, sf):
-    return monitoring.metrics(proxy.anomalies(spark, sf), "anomalies", ["status"])
+    return monitoring.metrics(proxy.anomalies(spark, sf), "anomalies", ["status_label"])
 
 
 @query("table_metrics", S("SELECT 'daily' AS table_name, count(*) AS row_count, min(date) AS first_date, max(date) AS last_date FROM daily UNION ALL SELECT 'events', count(*), min(start_date), max(start_date) FROM heat UNION ALL SELECT 'monthly', count(*), min(month_date), max(month_date) FROM monthly"))
@@ -383,7 +410,7 @@ def count_reconciliation(spark, sf):
     return monitoring.reconcile({"clim": proxy.climatology(spark, sf), "daily": proxy.daily(spark, sf)}, expected)
 
 
-@query("extraction_manifest", S("SELECT year(date)::INT AS year, count(DISTINCT date) AS files_processed, count(DISTINCT cell_id) AS cell_count, count(*) AS row_count, min(date) AS first_date, max(date) AS last_date, 'complete' AS status FROM cells GROUP BY year(date)"))
+@query("extraction_manifest", S("SELECT year(date)::INT AS year, count(DISTINCT date) AS files_processed, count(DISTINCT cell_id) AS cell_count, count(*) AS row_count, min(date) AS first_date, max(date) AS last_date, 'complete' AS status, 'cells_' || year(date) || '.parquet' AS output_file FROM cells GROUP BY year(date)"))
 def extraction_manifest(spark, sf):
     return cells.manifest(proxy.cells(spark, sf))
 
@@ -392,7 +419,7 @@ def _audit(spark, sf):
     return spatial.ocean_mask(spatial.classify(proxy.grid_cells(spark, sf), proxy.edges(spark, proxy.LAND_RINGS)), proxy.grid(spark, sf))
 
 
-@query("grid_summary", S("SELECT count(*) AS total_cells, count(*) FILTER (WHERE is_land) AS land_cells, count(*) FILTER (WHERE included_in_coastal_domain AND oisst_ocean_cell) AS included_cells, count(*) FILTER (WHERE oisst_ocean_cell) AS native_ocean_cells, count(*) FILTER (WHERE NOT is_land AND NOT oisst_ocean_cell) AS masked_out_cells, count(*) FILTER (WHERE NOT is_land AND distance_to_land_km IS NULL) AS offshore_cells FROM masked"))
+@query("grid_summary", S("SELECT count(*) AS total_cells, count(*) FILTER (WHERE is_land) AS land_cells, count(*) FILTER (WHERE included_in_coastal_domain AND oisst_ocean_cell) AS included_cells, count(*) FILTER (WHERE oisst_ocean_cell) AS native_ocean_cells, count(*) FILTER (WHERE NOT is_land AND NOT oisst_ocean_cell) AS masked_out_cells, count(*) FILTER (WHERE NOT is_land AND NOT (included_in_coastal_domain AND oisst_ocean_cell)) AS offshore_cells FROM masked"))
 def grid_summary(spark, sf):
     return monitoring.grid_summary(_audit(spark, sf))
 
@@ -402,7 +429,7 @@ def value_ranges(spark, sf):
     return D6(monitoring.value_ranges(cells.features(proxy.cells(spark, sf)), ["mean_sst_c", "seasonal_amplitude_c"]))
 
 
-@query("stage_diagnostics", S("SELECT * FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE clim_mean_sst_c IS NULL) AS without_climatology, count(*) FILTER (WHERE above_p90) AS above_p90, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS status_{s.lower()}" for s in ("Unknown", "Normal", "Watch", "Hot", "Extreme")) + " FROM anomalies), (SELECT count(*) AS events, count(*) FILTER (WHERE is_active) AS active_events, max(duration_days) AS longest_days, " + ", ".join(f"count(*) FILTER (WHERE severity = '{s}') AS severity_{s.lower()}" for s in ("Weak", "Moderate", "Severe", "Extreme")) + " FROM heat)"))
+@query("stage_diagnostics", S("SELECT * FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE clim_mean_sst_c IS NULL) AS without_climatology, count(*) FILTER (WHERE above_p90) AS above_p90, " + ", ".join(f"count(*) FILTER (WHERE status_label = '{s}') AS status_{s.lower()}" for s in ("Unknown", "Normal", "Watch", "Hot", "Extreme")) + " FROM anomalies), (SELECT count(*) AS events, count(*) FILTER (WHERE is_active) AS active_events, max(duration_days) AS longest_days, " + ", ".join(f"count(*) FILTER (WHERE severity_class = '{s}') AS severity_{s.lower()}" for s in ("Weak", "Moderate", "Severe", "Extreme")) + " FROM heat)"))
 def stage_diagnostics(spark, sf):
     return monitoring.stage_diagnostics(proxy.anomalies(spark, sf), proxy.events(spark, sf))
 
@@ -477,7 +504,7 @@ def prelim_event_input(spark, sf):
     return D6(earlier.unionByName(proxy.preliminary_anomalies(spark, sf).drop(*PROD)).select(*AN))
 
 
-_HOLES = "(SELECT DISTINCT o_orderdate::DATE AS date FROM orders WHERE o_orderkey % 40 = 0)"
+_HOLES = "(SELECT DISTINCT o_orderdate::DATE AS date FROM orders)"
 
 
 @query("missing_dates", S(f"SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))::DATE AS date FROM {_HOLES} EXCEPT SELECT date FROM {_HOLES}"))
@@ -556,10 +583,10 @@ def download_manifest(spark, sf):
 
 
 # --- spatial
-@query("project_nztm", S(f"SELECT lon, lat, round({oracle.nztm('lon', 'lat')[0]}, 1) AS easting, round({oracle.nztm('lon', 'lat')[1]}, 1) AS northing FROM places WHERE lon BETWEEN 170 AND 176"))
+@query("project_nztm", S(f"SELECT lon, lat, round({oracle.nztm('lon', 'lat')[0]}, 1) AS easting, round({oracle.nztm('lon', 'lat')[1]}, 1) AS northing FROM places"))
 def project_nztm(spark, sf):
-    e, n = geo.nztm(F.col("lon"), F.col("lat"))
-    return proxy.points(spark, sf).select("lon", "lat").distinct().select("lon", "lat", F.round(e, 1).alias("easting"), F.round(n, 1).alias("northing"))
+    out = geo.with_nztm(proxy.points(spark, sf).select("lon", "lat").distinct(), "lon", "lat", "easting", "northing")
+    return out.select("lon", "lat", F.round("easting", 1).alias("easting"), F.round("northing", 1).alias("northing"))
 
 
 @query("classify_cells", S("SELECT cell_id, is_land, round(distance_to_land_km, 4) AS distance_to_land_km, included_in_coastal_domain FROM classified"))
@@ -629,11 +656,11 @@ _P = f"""
     FROM pf JOIN pc ON pf.region_id = pc.region_id AND month(pf.month_date) = pc.month JOIN pl ON pl.region_id = pf.region_id JOIN pm ON pm.region_id = pf.region_id AND pm.month = pc.month
         JOIN pa ON pa.region_id = pf.region_id JOIN p12 ON p12.region_id = pf.region_id
 )
-SELECT region_id, month_date, year, month, 'observed' AS observed_or_projected, round(mean_sst_c, 5) AS mean_sst_c, round(trend, 5) AS median_sst_c, NULL::DOUBLE AS p10_sst_c, NULL::DOUBLE AS p90_sst_c,
-    round(mean_sst_c - clim, 5) AS anomaly_c, 0.0::DOUBLE AS warming_c, 'NOAA_OISST' AS model, 'observed' AS scenario, round(slope, 5) AS warming_rate_c_per_year, round(slope * 10, 5) AS warming_rate_c_per_decade
+SELECT region_id, month_date, year, month, 'observed' AS observed_or_projected, 'observed' AS scenario, 'NOAA_OISST' AS model_id, round(mean_sst_c, 5) AS mean_sst_c, round(mean_sst_c, 5) AS median_sst_c,
+    NULL::DOUBLE AS p10_sst_c, NULL::DOUBLE AS p90_sst_c, round(clim, 5) AS monthly_climatology_sst_c, round(slope, 5) AS trend_c_per_year, round(slope * 10, 5) AS trend_c_per_decade, 0.0::DOUBLE AS warming_from_last_observed_c
 FROM pr UNION ALL
-SELECT region_id, month_date, year, month, 'projected', NULL, round(trend, 5), round(trend + q10, 5), round(trend + q90, 5), round(trend - clim, 5), round(trend - last12, 5),
-    'OISST_seasonal_trend_residual', 'local_trend', round(slope, 5), round(slope * 10, 5) FROM pp
+SELECT region_id, month_date, year, month, 'projected', 'local_trend', 'OISST_seasonal_trend_residual', NULL, round(trend, 5), round(trend + q10, 5), round(trend + q90, 5), round(clim, 5), round(slope, 5), round(slope * 10, 5),
+    round(trend - last12, 5) FROM pp
 """
 
 
@@ -711,9 +738,67 @@ def daily_pipeline(spark, sf):
     }, work_dir(spark))
 
 
-@query("prepare_for_load", S("SELECT date, region_id::BIGINT AS region_id, round(anomaly_c, 6) AS anomaly_c, above_p90, status FROM anomalies"))
+@query("final_refresh", oracle.rounded("heat", EV, 4, doubles=EV_D))
+def final_refresh(spark, sf):
+    """Final rows to anomalies, events and a publication; the events that readers then see."""
+    daily, clim = proxy.daily(spark, sf), proxy.climatology(spark, sf)
+    rows = series.anomalies(daily, clim)
+    target = files.Publication(spark, work_dir(spark))
+    target.publish(files.publication_plan(final={"region_daily_anomalies": rows, "heat_events": series.heat_events(rows)}))
+    return D6(target.read("heat_events"), 4)
+
+
+_BRANCH = f"""
+SELECT cell_id, longitude, latitude, {_SQUARE} AS geom_wkt, count(*) AS historical_observation_count, round(avg(sst_c), 6) AS mean_sst_c, round(min(sst_c), 6) AS minimum_sst_c, round(max(sst_c), 6) AS maximum_sst_c
+FROM (SELECT p.date, m.cell_id, m.longitude, m.latitude, avg(p.sst) AS sst_c FROM points p JOIN masked m ON p.lon = m.longitude AND p.lat = m.latitude WHERE m.included_in_coastal_domain AND m.oisst_ocean_cell GROUP BY ALL)
+GROUP BY ALL"""
+
+
+@query("cell_branch", S(_BRANCH))
+def cell_branch(spark, sf):
+    """Grid, land, ocean mask, extraction, features: the published table of cells that readers then see."""
+    domain = _audit(spark, sf).filter("included_in_coastal_domain").select("cell_id", "longitude", "latitude")
+    days = proxy.points(spark, sf).groupBy("lon", "lat", F.to_date("time").alias("time")).agg(F.avg("sst").alias("sst"))
+    target = files.Publication(spark, work_dir(spark))
+    target.publish(files.publication_plan(final={"cells": domain, "cell_sst": cells.extract(days, domain)}))
+    seen = target.read("cell_sst").groupBy("cell_id").agg(
+        F.count("sst_c").alias("historical_observation_count"), F.avg("sst_c").alias("mean_sst_c"), F.min("sst_c").alias("minimum_sst_c"), F.max("sst_c").alias("maximum_sst_c")
+    )
+    out = target.read("cells").join(seen, "cell_id").withColumn("geom_wkt", geo.square_wkt(F.col("longitude"), F.col("latitude"), 0.25))
+    return D6(out.select("cell_id", "longitude", "latitude", "geom_wkt", "historical_observation_count", "mean_sst_c", "minimum_sst_c", "maximum_sst_c"))
+
+
+@query("load_modes", S("SELECT 'append' AS mode, 2 * count(*) AS rows FROM daily UNION ALL SELECT 'backup', count(*) FROM daily UNION ALL SELECT 'replace', count(*) FROM clim"))
+def load_modes(spark, sf):
+    """A table replaced, appended to, backed up and replaced again."""
+    path = f"{work_dir(spark)}/table"
+    daily = proxy.daily(spark, sf).select("region_id")
+    files.load_table(daily, path, "replace")
+    count = lambda at, name: spark.read.parquet(at).agg(F.lit(name).alias("mode"), F.count(F.lit(1)).alias("rows"))
+    kept = files.backup(spark, path, "19990101T000000")
+    other = f"{path}-appended"
+    files.load_table(daily, other, "fail")
+    files.load_table(daily, other, "append")
+    files.load_table(proxy.climatology(spark, sf).select("region_id"), path, "replace")
+    return monitoring.union([count(other, "append"), count(kept, "backup"), count(path, "replace")])
+
+
+@query("sink_csv", S("SELECT region_id, date, round(mean_sst_c, 6) AS mean_sst_c FROM daily"))
+def sink_csv(spark, sf):
+    path = work_dir(spark)
+    files.write_csv(D6(proxy.daily(spark, sf).select("region_id", "date", "mean_sst_c")), path, order_by=["region_id", "date"])
+    return spark.read.schema("region_id int, date date, mean_sst_c double").option("header", True).csv(path)
+
+
+@query("default_window", S(f"SELECT date, region_id FROM daily WHERE date BETWEEN DATE '2001-11-01' - 21 AND DATE '2001-11-01' - 1"))
+def default_window(spark, sf):
+    first, last = history.request_window("2001-11-01")
+    return series.period(proxy.daily(spark, sf), str(first), str(last)).select("date", "region_id")
+
+
+@query("prepare_for_load", S("SELECT date, region_id::BIGINT AS region_id, round(anomaly_c, 6) AS anomaly_c, above_p90, status_label FROM anomalies"))
 def prepare_for_load(spark, sf):
-    chosen = series.conform(proxy.anomalies(spark, sf), ["date", "region_id", "anomaly_c", "above_p90", "status"])
+    chosen = series.conform(proxy.anomalies(spark, sf), ["date", "region_id", "anomaly_c", "above_p90", "status_label"])
     return D6(series.unique(series.normalize(chosen, dates=["date"], integers=["region_id"], flags=["above_p90"]), ["region_id", "date"]))
 
 
@@ -832,11 +917,11 @@ def validate_annual_means(spark, sf):
 
 @query("validate_features", oracle.checks([
     ("duplicate_keys", "0"), ("null_input", "0"), ("moved_cells", "0"), ("cells_without_all_months", "SELECT count(*) FROM (SELECT cell_id FROM cells GROUP BY cell_id HAVING count(DISTINCT month(date)) < 12)"),
-    *[(f"unfinite_{c}", _NULLS.format("features", f"{c} IS NULL")) for c in ("mean_sst_c", "deseasonalized_sd_c", "interannual_sd_c")],
+    *[(f"unfinite_{c}", _NULLS.format("features", f"{c} IS NULL")) for c in ("mean_sst_c", "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c")],
 ]))
 def validate_features(spark, sf):
     c = proxy.cells(spark, sf)
-    return validate.features(c, cells.features(c), ["mean_sst_c", "deseasonalized_sd_c", "interannual_sd_c"])
+    return validate.features(c, cells.features(c), ["mean_sst_c", "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c"])
 
 
 @query("validate_publication", oracle.checks([
@@ -889,18 +974,18 @@ def _stream(spark, df) -> DataFrame:
     return spark.readStream.schema(df.schema).parquet(path)
 
 
-@query("stream_region_daily")
+@query("stream_region_daily", S("SELECT date, region_id, round(avg(sst), 6) AS mean_sst_c, count(sst) AS cell_count, min(sst) AS min_sst_c, max(sst) AS max_sst_c FROM points GROUP BY ALL"))
 def stream_region_daily(spark, sf):
     """All days of the bounded input, those of the last 18 days too, which the watermark leaves open."""
     target = work_dir(spark)
     out = incremental.region_daily(_stream(spark, proxy.points(spark, sf)))
     incremental.keep_daily(out, target, f"{target}-state").awaitTermination()
-    return incremental.kept_daily(spark, target, out.schema)
+    return D6(incremental.kept_daily(spark, target, out.schema))
 
 
-@query("stream_append_missing")
+@query("stream_append_missing", oracle.rounded("daily", history.DAILY, doubles=DAY_D))
 def stream_append_missing(spark, sf):
     target = work_dir(spark)
     proxy.final(spark, sf).write.parquet(target)
     incremental.append_missing(_stream(spark, proxy.daily(spark, sf)), target, f"{target}-state").awaitTermination()
-    return spark.read.parquet(target)
+    return D6(spark.read.parquet(target).select(*history.DAILY))

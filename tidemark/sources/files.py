@@ -30,6 +30,30 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def load_table(df: DataFrame, path: str, mode: str = "replace") -> None:
+    """Write a table by one of the loaders' modes: replace, append, or fail where the table is there."""
+    modes = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
+    if mode not in modes:
+        raise ValueError(f"mode must be one of {', '.join(modes)}")
+    df.write.mode(modes[mode]).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()).exists(at)
+
+
+def backup(spark: SparkSession, path: str, stamp: str) -> str | None:
+    """Copy a table to backups/<its name>_<stamp> beside it before it is overwritten; None where there is no table."""
+    if not _exists(spark, path):
+        return None
+    folder, _, name = path.rstrip("/").rpartition("/")
+    target = f"{folder}/backups/{name}_{stamp}"
+    spark.read.parquet(path).write.parquet(target)
+    return target
+
+
 def write_csv(df: DataFrame, path: str, *, order_by: Sequence[str] = (), single: bool = False) -> None:
     """CSV with header; `single` puts a table that is known to be small into one file."""
     out = df.coalesce(1) if single else df
