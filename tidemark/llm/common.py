@@ -69,6 +69,12 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def task_bytes(spark: SparkSession) -> int:
+    """Bytes that the session gives a task of a file: the size that tasks of a shuffle of texts are made for too."""
+    number, unit = re.fullmatch(r"(\d+)([a-z]*)", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return max(1, int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit.removesuffix("b")])
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has about `most` bytes of text; a longer text is a part of its own."""
     if batch.num_rows == 0:

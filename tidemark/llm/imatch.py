@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import _powers, documents, mix64, need, slices, small_batches, text_bytes, words
+from .common import _powers, documents, mix64, need, slices, small_batches, task_bytes, text_bytes, words
 
 #: Random subsets of each share of the lexicon, shares (1, 1/2, ... 2**(1 - LEVELS)), and how many of them a fingerprint has.
 SUBSETS, LEVELS, KEPT = 32, 24, 3
 #: A text with fewer terms in the lexicon is fingerprinted by all its terms.
 LEAST_TERMS = 8
-#: Text of a range of ids, about: a quarter of a task.
-RANGE_BYTES = 16 << 20
+#: Ranges of ids that a task gets, about; a task gets as much text as the session reads of a file at once (spark.sql.files.maxPartitionBytes).
+TASK_RANGES = 4
 #: Band of document frequencies, as shares of the documents. The lower one bounds the lexicon:
 #: it has at most (mean distinct terms of a document) / LOW terms, at any size of the corpus.
 LOW, HIGH = 0.001, 0.2
@@ -243,7 +243,7 @@ _NO_ID = -(1 << 63)
 def neighbours(docs: DataFrame, known: np.ndarray, ranges: int | None = None) -> DataFrame:
     """Fingerprints of each text, of its edited text and of the next document, by ascending doc_id (null first, equal ids by text).
 
-    Ids are cut into ranges of about RANGE_BYTES of text, by quantiles of a
+    Ids are cut into ranges of a quarter of a task's text, by quantiles of a
     sample of ids; a range's first document is also sent to the range before,
     and the first of all to the last, so that one shuffle of the texts brings
     each document to the one that follows it. The driver holds three numbers
@@ -253,8 +253,8 @@ def neighbours(docs: DataFrame, known: np.ndarray, ranges: int | None = None) ->
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    tasks = max(1, -(-(size["bytes"] or 0) // (4 * RANGE_BYTES)), 2 * spark.sparkContext.defaultParallelism)
-    ranges = ranges or 4 * tasks
+    tasks = max(1, -(-(size["bytes"] or 0) // task_bytes(spark)), 2 * spark.sparkContext.defaultParallelism)
+    ranges = ranges or TASK_RANGES * tasks
     step = max(1, size["n"] // (32 * ranges))
     ids = [r["doc_id"] for r in docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("doc_id").collect()]  # about 32 a range
     cuts = np.unique(np.quantile(np.array(ids, np.int64), np.arange(1, ranges) / ranges, method="nearest")) if ids else np.zeros(0, np.int64)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, need, saved, word_count
+from .common import documents, need, saved, task_bytes, word_count
 
 #: What the driver may be sent and may broadcast, in rows of the block table.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -155,7 +155,7 @@ def mix(
     upto = np.cumsum(split_tree(np.array([counts[r] for r in names], np.int64), shards, seed), axis=0) if names else np.zeros((shards, 0))
     owners = spark.createDataFrame([(int(r), [int(x) for x in upto[:, i]]) for i, r in enumerate(names)], "rank int, upto array<long>")
     owned = saved(
-        units.join(F.broadcast(owners), "rank")  # one row per source
+        units.join(F.broadcast(owners) if len(names) * shards <= MAX_BROADCAST_ROWS else owners, "rank")  # a row of `shards` numbers for each source
         .select("rank", "pass", "block", "cut", F.size(F.filter("upto", lambda x: x <= F.col("at"))).alias("shard")),
         "mix-shards",
     )
@@ -180,8 +180,14 @@ def mix(
     )
 
 
-def mixed(docs: DataFrame, *, shards: int = 64, **options) -> DataFrame:
-    """The mix itself: the columns of docs, a row for each time that a document is taken, shard by shard and shuffled within each."""
+def mixed(docs: DataFrame, *, shards: int | None = None, **options) -> DataFrame:
+    """The mix itself: the columns of docs, a row for each time that a document is taken, shard by shard and shuffled within each.
+
+    Without `shards`, there are as many as give each about the text that the
+    session reads of a file at once, 8 at least.
+    """
+    if shards is None:
+        shards = max(8, -(-(docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // task_bytes(docs.sparkSession)))
     clash = {"size", "source_size", "target", "draws", "taken", "blocks"} & set(docs.columns)
     inner = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
     rows = mix(inner, shards=shards, keep=tuple(inner.columns), **options)

@@ -4,8 +4,8 @@ Statistics of each text are transformed into a vector. For each (lang, source)
 the minimum-covariance-determinant estimate of centre and spread is found as
 FAST-MCD does: on a bounded sample of the group's rows, many starts take two
 concentration steps, the best of them more until the determinant falls no
-further; groups larger than the sample go on from the best two over all their
-rows, and of these the one of least determinant stays. A step over all rows is
+further; each group goes on from the best two over all its rows, and of these
+estimates the one of least determinant stays. A step over all rows is
 one grouped sum, with the quantile of distances taken from a fine histogram, so
 that a group of any size is summed up before it is shuffled. A fixed matrix is
 added to each covariance (as in the regularised form of the estimate): on an
@@ -183,9 +183,9 @@ _PARAMETERS = "grp string, try int, mean array<double>, inverse array<double>, l
 
 
 def _of_sample(df: pd.DataFrame) -> pd.DataFrame:
-    """A group's sample to its best estimates; one where the sample is the whole group."""
+    """A group's sample to its two best estimates; whole: the sample is the group."""
     whole = len(df) == df["n"].iloc[0]
-    found = fast_mcd(df[AXES].to_numpy(np.float64))[: 1 if whole else 2]
+    found = fast_mcd(df[AXES].to_numpy(np.float64))[:2]
     return pd.DataFrame({
         "grp": df["grp"].iloc[0], "try": range(len(found)), "mean": [e[0].tolist() for e in found], "inverse": [np.linalg.inv(e[1]).ravel().tolist() for e in found],
         "logdet": [e[2] for e in found], "whole": whole,
@@ -222,7 +222,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     done = [now.filter("whole")]
     p = len(AXES)
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    going = now.filter("not whole")
+    going = now  # every group alike: an estimate of a whole group has nowhere to fall
     for step in range(STEPS):
         if going.isEmpty():
             break
