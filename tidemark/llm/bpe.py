@@ -29,7 +29,7 @@ from .common import _powers, documents, mix64, need, saved, slices, small_batche
 #: Bytes that the rolling hash sees, and bits that are 0 at a cut: chunks of 512 bytes on average.
 ROLL, CUT_BITS = 32, 9
 #: Entries of a task's memory of words and of chunks; beyond, it starts anew.
-MAX_WORDS, MAX_CHUNKS = 400_000, 30_000
+MAX_WORDS, MAX_CHUNKS = 250_000, 12_000
 #: Chunks that are encoded for the whole corpus at most.
 MAX_SHARED = 8192
 _BASE = 0xD1342543DE82EF95
@@ -174,7 +174,10 @@ class ChunkEncoder:
 
         use = np.flatnonzero(joint | (chosen[first] if len(first) else False))
         sizes = (stop - start)[use]
-        data = raw[np.repeat(start[use] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+        wanted = np.zeros(len(raw) + 1, np.int8)  # words don't meet, so that their bytes are a mask
+        wanted[start[use]] += 1
+        wanted[stop[use]] -= 1
+        data = raw[np.cumsum(wanted[:-1], dtype=np.int8).astype(bool)]
         found = _strings(data, sizes, pa.large_string()).dictionary_encode()
         n, ids, names = self._of_words(found.dictionary.cast(pa.string()))
         word = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -208,14 +211,14 @@ class ChunkEncoder:
 def _encoded(batches, path: str, shared: dict | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.Array, pa.Array]]:
     encoder = ChunkEncoder(path, shared)
     for batch in batches:
-        for part in slices(batch, most=4 << 20):
+        for part in slices(batch):
             yield part, *encoder.encode(*text_bytes(part.column("text")))
 
 
 def _counted(batches):
     """(chunk, n, doc_id): hashes of chunks, how many a slice holds and the least document with one."""
     for batch in batches:
-        for part in slices(batch, most=4 << 20):
+        for part in slices(batch):
             raw, offsets = text_bytes(part.column("text"))
             sums = run, back = _sums(raw)
             begin, end, doc = chunks(raw, offsets, sums)
@@ -245,7 +248,7 @@ def shared_chunks(docs: DataFrame, tokenizer: str | None = None, most: int = MAX
     def encode_once(batches):
         encoder = ChunkEncoder(path)
         for batch in batches:
-            for part in slices(batch, most=4 << 20):
+            for part in slices(batch):
                 raw, offsets = text_bytes(part.column("text"))
                 run, back = _sums(raw)
                 begin, end, _ = chunks(raw, offsets, (run, back))
