@@ -31,7 +31,7 @@ from .common import discard, documents, mix64, need, saved, shingles, slices, sm
 #: Nodes that share a shingle and are all paired at once; beyond, pairs come in rounds.
 SMALL_RUN = 8
 #: Nodes of such a shingle that one task sees at a time, about.
-RUN_BLOCK = 256
+RUN_BLOCK = 1024
 #: Bytes of the bitmaps that rounds carry with each posting.
 SHORT = 64
 #: Partners of a node that one trie takes.
