@@ -282,7 +282,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     length_base = dict(zip(lengths.tolist(), first[at].tolist()))
     ranks = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = by_task.select("length", "task", F.coalesce(F.sum("n").over(ranks), F.lit(0)).alias("before"))  # a row for each task and length
-    rows = cut.join(before, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("before")).alias("rank"))
+    rows = cut.join(before.hint("merge"), ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("before")).alias("rank"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def place(batches) -> Iterator[pa.RecordBatch]:
