@@ -1,13 +1,16 @@
 """Tests of whitening, packing and the conversation trie against brute force."""
 
+import hashlib
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidemark.llm import packing, whitening
+from tidemark.llm import convtrie, packing, whitening
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, n string, component string"
 
@@ -148,3 +151,83 @@ def test_pack(spark, tokenizer):
 def test_pack_edges(spark, tokenizer):
     assert checked(spark, [], tokenizer, 8) == 0
     assert checked(spark, [(None, None)] * 20, tokenizer, 8) == 3
+
+
+def plain_trie(rows, branch):
+    """By brute force, of (conv_id, turn, role, text)."""
+    convs = {}
+    for c, t, r, x in rows:
+        if c is not None:
+            convs.setdefault(c, []).append(((t is not None, t or 0), r or "", x or ""))
+    convs = {c: [(r, x) for _, r, x in sorted(v)] for c, v in convs.items()}
+    paths = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4 if branch else 0
+        base = c - int(math.fmod(c, 20))
+        paths[c] = tuple(convs.get(base, [])[:h] + own[h:])
+    members = {}
+    for c, p in paths.items():
+        for d in range(len(p) + 1):
+            members.setdefault(p[:d], []).append(c)
+    below = {k: [m for m in members if m[: len(k)] == k] for k in members}
+    leaf = {k for k in members if len(below[k]) == 1}
+    words = lambda k: len(re.findall(r"[^\x20\x09-\x0D]+", k[-1][1])) if k else 0
+    out = []
+    for k, cs in members.items():
+        ends = ",".join(map(str, sorted(c for c in cs if len(paths[c]) == len(k))))
+        tokens = sum((len(members[m]) - 1) * words(m) for m in below[k])
+        kids = sum(len(m) == len(k) + 1 for m in below[k])
+        out.append((min(cs), len(k), min(members[k[:-1]]) if k else None, len(cs), kids, sum(m in leaf for m in below[k]), tokens, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string, depth string, words int, d1 string"
+
+
+def trie_rows(spark, rows, branch, parts=3):
+    df = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], CONVERSATIONS).repartition(parts)
+    return sorted(map(tuple, convtrie.prefix_trie(df, branch).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def talk():
+    rng = random.Random(6)
+    rows = []
+    for c in [*range(90), -3, -20, -25, 1000, 1003, 2007]:
+        for t in range(rng.randint(1, 7)):
+            rows.append((c, rng.choice((t, t, None)), rng.choice(("user", "a", None)), rng.choice(("one two", "x", "", None, " \n", "three word text"))))
+    rows += [(c, t, "user", f"shared {t}") for c in range(200, 240) for t in range(5)] + rows[:9]
+    return rows + [(None, 1, "user", "lost"), (None, None, None, None)]
+
+
+@pytest.mark.parametrize("branch", [False, True])
+def test_trie(spark, talk, branch, monkeypatch):
+    assert trie_rows(spark, talk, branch) == plain_trie(talk, branch)
+
+
+def test_trie_of_long_conversations(spark, monkeypatch):
+    """One conversation holds most rows: tasks share its turns, and shards its blocks."""
+    monkeypatch.setattr(convtrie, "SPAN", 8)
+    rng = random.Random(8)
+    rows = [(c, t, "user", rng.choice(("p", "q r")) if t > 20 else "same words") for c in (20, 21, 22, 40) for t in range(90 if c < 40 else 37)]
+    rows += [(60, t, "user", "same words") for t in range(30)] + [(61, 0, "user", "same words")]
+    for branch in (False, True):
+        assert trie_rows(spark, rows, branch, 6) == plain_trie(rows, branch)
+
+
+def test_trie_edges(spark):
+    for branch in (False, True):
+        assert trie_rows(spark, [], branch) == []
+        assert trie_rows(spark, [(None, 1, "a", "b")], branch) == []
+        one = [(7, None, None, None)] * 3
+        assert trie_rows(spark, one, branch) == plain_trie(one, branch)
+
+
+def test_slots_are_minimal_and_verified():
+    keys = np.random.default_rng(3).integers(0, 2**63, (50_000, 2), dtype=np.uint64)
+    table = convtrie.SlotTable(keys)
+    assert sorted(table.slots(keys).tolist()) == list(range(len(keys)))
+    assert (table.slots(keys ^ np.uint64(1 << 40)) == -1).all() and (table.keys[table.slots(keys)] == keys).all()
+    assert len(convtrie.SlotTable(keys[:0]).slots(keys[:5])) == 5
+    with pytest.raises(ValueError):
+        convtrie.SlotTable(np.concatenate([keys[:3], keys[:1]]))
