@@ -25,10 +25,19 @@ SUMMARY = [
 
 
 def extract(grid: DataFrame, domain: DataFrame) -> DataFrame:
-    """Values of the domain's cells, matched by coordinates to three places; a missing value is an error when read."""
+    """Values of the domain's cells, matched by coordinates to three places.
+
+    A domain cell whose coordinates the grid lacks is an error at once, with how
+    many there are and up to ten of them; so is a missing value when it is read.
+    """
+    absent = absent_coordinates(grid, domain).select(*PLACE)
+    examples = absent.orderBy("cell_id").limit(10).collect()
+    if examples:
+        raise ValueError(f"{absent.count()} domain coordinates are absent from the grid, such as {[tuple(r) for r in examples]}")
     at = domain.select("cell_id", F.round("longitude", 3).alias("_lon"), F.round("latitude", 3).alias("_lat"), "longitude", "latitude")
     found = grid.withColumns({"_lon": F.round("lon", 3), "_lat": F.round("lat", 3)}).join(at, ["_lon", "_lat"])
-    value = F.when(F.col("sst").isNull() | F.isnan("sst"), F.raise_error(F.lit("missing SST in a domain cell")).cast("double")).otherwise(F.col("sst"))
+    where = F.concat(F.lit("missing SST in domain cell "), F.col("cell_id"), F.lit(" on "), F.to_date("time").cast("string"))
+    value = F.when(F.col("sst").isNull() | F.isnan("sst"), F.raise_error(where).cast("double")).otherwise(F.col("sst"))
     return found.select(F.to_date("time").alias("date"), "cell_id", "longitude", "latitude", value.alias("sst_c"))
 
 

@@ -152,13 +152,14 @@ def monitoring(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def cell_year(df: DataFrame, domain: DataFrame, year: int) -> DataFrame:
+    other = conditions(df, {"other_year": F.coalesce(F.year("date") != year, F.lit(True))})
     own = df.filter(F.year("date") == year)
     shape = own.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("date").alias("d"), F.countDistinct("cell_id").alias("c"))
     uneven = own.groupBy("date").agg(F.countDistinct("cell_id").alias("c")).agg(F.max("c").alias("most"), F.count(F.lit(1)).alias("_"), F.min("c").alias("least"))
     days = 366 if year % 4 == 0 and (year % 100 or year % 400 == 0) else 365
     agree = own.select("cell_id", "longitude", "latitude").distinct().join(domain.select("cell_id", F.col("longitude").alias("_x"), F.col("latitude").alias("_y")), "cell_id")
     return suite(
-        empty(own), conditions(own, {"null_or_unfinite": _unfinite("sst_c"), "null_keys": _null("date", "cell_id")}), duplicates(own, ["date", "cell_id"], "duplicate_keys"),
+        empty(own), other, conditions(own, {"null_or_unfinite": _unfinite("sst_c"), "null_keys": _null("date", "cell_id")}), duplicates(own, ["date", "cell_id"], "duplicate_keys"),
         amount(history.key_difference(domain, own, ["cell_id"]), "cell_set_differs"),
         conditions(agree, {"coordinates_differ": (F.abs(F.col("longitude") - F.col("_x")) > 1e-9) | (F.abs(F.col("latitude") - F.col("_y")) > 1e-9)}),
         _rows(shape.select((F.lit(days) - F.col("d")).alias("days_missing"), (F.col("d") * F.col("c") - F.col("n")).alias("row_product_differs"))),
@@ -171,11 +172,12 @@ def _one_place(df: DataFrame) -> DataFrame:
 
 
 def trend_input(df: DataFrame, year: int) -> DataFrame:
+    other = conditions(df, {"other_year": F.coalesce(F.year("date") != year, F.lit(True))})
     own = df.filter(F.year("date") == year)
     days = 366 if year % 4 == 0 and (year % 100 or year % 400 == 0) else 365
     short = own.groupBy("cell_id").agg(F.countDistinct("date").alias("d")).filter(F.col("d") < days)
     return suite(
-        empty(own), duplicates(own, ["date", "cell_id"], "duplicate_keys"), conditions(own, {"null_or_unfinite": _unfinite("sst_c")}),
+        empty(own), other, duplicates(own, ["date", "cell_id"], "duplicate_keys"), conditions(own, {"null_or_unfinite": _unfinite("sst_c")}),
         _one_place(own), amount(short, "cells_without_all_days"),
     )
 

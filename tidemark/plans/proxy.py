@@ -7,7 +7,7 @@ sums do not depend on their order; a warm spell is added on some days.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cells as cell_ops
@@ -141,15 +141,49 @@ def edges(spark: SparkSession, rings: dict) -> DataFrame:
     return spark.createDataFrame(rows, "polygon int, n int, x double, y double, x2 double, y2 double")
 
 
-def boxes(spark: SparkSession, sf: str) -> DataFrame:
-    """A ring round the points of each supplier: polygons that come from the tables; every tenth crosses itself."""
-    box = lineitem(spark, sf).withColumns({"lon": 160.125 + 0.25 * (F.col("l_partkey") % 88), "lat": -52.875 + 0.25 * (F.col("l_suppkey") % 80)}).groupBy("l_suppkey").agg(
+def _boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return lineitem(spark, sf).withColumns({"lon": 160.125 + 0.25 * (F.col("l_partkey") % 88), "lat": -52.875 + 0.25 * (F.col("l_suppkey") % 80)}).groupBy("l_suppkey").agg(
         (F.min("lon") - 0.05).alias("w"), (F.max("lon") + 0.05).alias("e"), (F.min("lat") - 0.05).alias("s"), (F.max("lat") + 0.05).alias("n")
     )
-    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    plain = F.array(at("w", "s"), at("e", "s"), at("e", "n"), at("w", "n"), at("w", "s"))
-    crossed = F.array(at("w", "s"), at("e", "n"), at("e", "s"), at("w", "n"), at("w", "s"))
-    return box.select(F.col("l_suppkey").cast("int").alias("polygon"), F.when(F.col("l_suppkey") % 10 == 0, crossed).otherwise(plain).alias("ring"))
+
+
+def _ring(*points) -> Column:
+    """A ring of points (x, y) whose coordinates are columns."""
+    return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in points])
+
+
+def boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """A ring round the points of each supplier: polygons that come from the tables; every tenth crosses itself."""
+    w, e, s, n = (F.col(c) for c in "wesn")
+    plain, crossed = _ring((w, s), (e, s), (e, n), (w, n), (w, s)), _ring((w, s), (e, n), (e, s), (w, n), (w, s))
+    return _boxes(spark, sf).select(F.col("l_suppkey").cast("int").alias("polygon"), F.when(F.col("l_suppkey") % 10 == 0, crossed).otherwise(plain).alias("ring"))
+
+
+def ringed(spark: SparkSession, sf: str, *, faults: bool = False) -> DataFrame:
+    """Polygons with `rings` round the points of each supplier: of every third the middle is a hole, every fourth has a second part to the north.
+
+    With `faults`, suppliers by their last digit: 0 crosses itself, 1 is not
+    closed, 2 touches itself, 3 has edges that overlap, 4 has a hole outside, 5
+    has two places only.
+    """
+    w, e, s, n = (F.col(c) for c in "wesn")
+    a, b, mid = w + (e - w) / 3, w + (e - w) / 3 * 2, (s + n) / 2
+    box = lambda x0, x1, y0, y1: _ring((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    row = lambda part, ring, points: F.struct(F.lit(part).alias("part"), F.lit(ring).alias("ring"), points.alias("points"))
+    k, none = F.col("l_suppkey"), F.array().cast("array<struct<part:int,ring:int,points:array<struct<x:double,y:double>>>>")
+    hole = F.when(k % 3 == 0, F.array(row(0, 1, box(a, b, s + 0.01, n - 0.01)))).otherwise(none)
+    second = F.when(k % 4 == 0, F.array(row(1, 0, box(w, e, s + 0.25, n + 0.25)))).otherwise(none)
+    rings = F.concat(F.array(row(0, 0, box(w, e, s, n))), hole, second)
+    if faults:
+        shell = lambda *points: F.array(row(0, 0, _ring(*points)))
+        digit = k % 10
+        rings = (
+            F.when(digit == 0, shell((w, s), (e, n), (e, s), (w, n), (w, s))).when(digit == 1, shell((w, s), (e, s), (e, n), (w, n)))
+            .when(digit == 2, shell((w, s), (a, s), (a, mid), (b, s), (e, s), (e, n), (a, mid), (w, n), (w, s)))
+            .when(digit == 3, shell((w, s), (e, s), (e, n), (e + 1, n), (a, n), (w, n), (w, s)))
+            .when(digit == 4, F.array(row(0, 0, box(w, e, s, n)), row(0, 1, box(w, e, s + 1, n + 1)))).when(digit == 5, shell((w, s), (e, n), (w, s))).otherwise(rings)
+        )
+    return _boxes(spark, sf).select(F.col("l_suppkey").cast("int").alias("polygon"), rings.alias("rings"))
 
 
 def log(spark: SparkSession, sf: str) -> DataFrame:

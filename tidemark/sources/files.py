@@ -87,30 +87,98 @@ def file_date_mismatches(df: DataFrame, name: str = "file_name", time: str = "ti
 
 
 def write_geojson(df: DataFrame, path: str, ring: str = "ring") -> None:
-    """One Feature a line; `ring` is an array of struct<x, y>, the other columns are properties."""
+    """One Feature a line; see `geojson`."""
     geojson(df, ring).write.mode("overwrite").text(path)
 
 
 def geojson(df: DataFrame, ring: str = "ring") -> DataFrame:
-    properties = [c for c in df.columns if c != ring]
-    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates"))
-    return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), shape.alias("geometry"))).alias("value"))
+    """Features as text: Polygon or, of several parts, MultiPolygon of `rings` (or of one shell in `ring`); the other columns are properties."""
+    from ..operators.spatial import with_rings
 
+    df = with_rings(df, ring)
+    parts = F.array_distinct(F.transform("rings", lambda r: r["part"]))
+    points = lambda r: F.transform(r["points"], lambda p: F.array(p["x"], p["y"]))
+    shape = F.transform(parts, lambda k: F.transform(F.filter("rings", lambda r: r["part"] == k), points))
+    properties = F.struct(*[c for c in df.columns if c not in ("rings", ring)])
+    feature = lambda kind, at: F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), F.struct(F.lit(kind).alias("type"), at.alias("coordinates")).alias("geometry")))
+    return df.select(F.when(F.size(parts) == 1, feature("Polygon", F.get(shape, 0))).otherwise(feature("MultiPolygon", shape)).alias("value"))
 
-def read_geojson(spark: SparkSession, path: str, properties: str, *, collection: bool = True) -> DataFrame:
-    """Single-ring polygons as properties and `ring`. `properties` is their schema, such as "region_id int, region_name string".
+
+def geojson_points(df: DataFrame, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
+    """Features of points; all columns are properties."""
+    shape = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
+    return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*df.columns).alias("properties"), shape.alias("geometry"))).alias("value"))
+
+
+def distance_label(km: float) -> str:
+    """A distance as part of a file name: 75 or 62p5."""
+    return f"{km:g}".replace(".", "p")
+
+
+def write_land_previews(land: DataFrame, folder: str) -> dict[str, str]:
+    """The land of `spatial.split_land`, kept and excluded, as GeoJSON; no file of excluded land where there is none. Returns the paths."""
+    paths = {"retained_land_geojson": f"{folder}/retained_mainland_land.geojson"}
+    write_geojson(land.filter("exclusion_reason is null").drop("exclusion_reason"), paths["retained_land_geojson"])
+    excluded = land.filter("exclusion_reason is not null")
+    if not excluded.isEmpty():
+        paths["excluded_remote_land_geojson"] = f"{folder}/excluded_remote_islands.geojson"
+        write_geojson(excluded, paths["excluded_remote_land_geojson"])
+    return paths
+
+
+def write_domain(cells: DataFrame, folder: str, max_km: float, size: float = 0.25) -> dict[str, str]:
+    """The audit of a classified grid as CSV, its centres as points and the included cells as squares. Returns the paths."""
+    paths = {
+        "audit_csv": f"{folder}/coastal_grid_audit.csv", "all_points_geojson": f"{folder}/all_candidate_grid_centres.geojson",
+        "included_cells_geojson": f"{folder}/candidate_coastal_cells_{distance_label(max_km)}km.geojson",
+    }
+    audit = ["cell_id", "longitude", "latitude", "is_land", "distance_to_land_km", *[c for c in ("oisst_coordinate_exists", "oisst_ocean_cell") if c in cells.columns], "included_in_coastal_domain"]
+    write_csv(cells.select(*audit), paths["audit_csv"], order_by=["latitude", "longitude"])
+    geojson_points(cells).write.mode("overwrite").text(paths["all_points_geojson"])
+    at = lambda x, y: F.struct((F.col("longitude") + x * size / 2).alias("x"), (F.col("latitude") + y * size / 2).alias("y"))
+    square = F.array(*[at(x, y) for x, y in ((1, -1), (1, 1), (-1, 1), (-1, -1), (1, -1))])
+    write_geojson(cells.filter("included_in_coastal_domain").withColumn("ring", square), paths["included_cells_geojson"])
+    return paths
+
+
+#: Names of longitude and latitude in degrees of WGS84.
+WGS84 = ("urn:ogc:def:crs:OGC:1.3:CRS84", "urn:ogc:def:crs:EPSG::4326", "EPSG:4326", "OGC:CRS84")
+
+
+def read_geojson(spark: SparkSession, path: str, properties: str, *, collection: bool = True, require_crs: bool = False) -> DataFrame:
+    """Polygons and MultiPolygons as properties, `ring` (their first shell) and `rings`. `properties` is their schema, such as "region_id int, region_name string".
 
     A collection is one JSON object; otherwise each line is a Feature. Without a
-    stated system the coordinates are WGS84 degrees.
+    stated system the coordinates are WGS84 degrees, or with `require_crs` that
+    is an error, as any other system is. A property that no feature has, and
+    other geometries, are errors; a null geometry has no rings.
     """
-    feature = f"type string, properties struct<{', '.join(p.strip().replace(' ', ':', 1) for p in properties.split(','))}>, geometry struct<type:string,coordinates:array<array<array<double>>>>"
+    feature = f"type string, properties struct<{', '.join(p.strip().replace(' ', ':', 1) for p in properties.split(','))}>, geometry struct<type:string,coordinates:string>"
+    stated = None
     if collection:
         kind = feature.replace("type string, properties ", "type:string,properties:").replace(", geometry ", ",geometry:")
-        df = spark.read.schema(f"features array<struct<{kind}>>").option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
+        df = spark.read.schema(f"crs struct<properties:struct<name:string>>, features array<struct<{kind}>>").option("multiLine", True).json(path)
+        stated = df.select("crs.properties.name").first()
+        df = df.select(F.explode("features").alias("f")).select("f.*")
     else:
         df = spark.read.schema(feature).json(path)
-    ring = F.transform(F.get(F.col("geometry.coordinates"), 0), lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y")))
-    return df.select("properties.*", ring.alias("ring"))
+    name = stated[0] if stated else None
+    if name is None and require_crs:
+        raise ValueError("the file states no coordinate system")
+    if name is not None and name not in WGS84:
+        raise ValueError(f"coordinates in {name}; degrees of WGS84 are needed")
+    fields = [f.name for f in df.schema["properties"].dataType.fields]
+    have = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(f"properties.{f}").alias(f) for f in fields]).first()
+    missing = [f for f in fields if have["_n"] and not have[f]]
+    if missing:
+        raise ValueError(f"no feature has the properties {', '.join(missing)}")
+    kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
+    many = F.when(kind == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>"))).when(kind == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>"))
+    many = many.when(kind.isNull(), F.array().cast("array<array<array<array<double>>>>")).otherwise(F.raise_error(F.concat(F.lit("no polygon: "), kind)).cast("array<array<array<array<double>>>>"))
+    point = lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
+    ring = lambda part: lambda r, j: F.struct(part.alias("part"), j.alias("ring"), F.transform(r, point).alias("points"))
+    rings = F.flatten(F.transform(many, lambda shape, i: F.transform(shape, ring(i))))
+    return df.select("properties.*", rings.alias("rings")).select(*fields, F.get("rings", 0)["points"].alias("ring"), "rings")
 
 
 def download_manifest(dates: DataFrame, base: str = "https://example.invalid/avhrr/", prefix: str = "oisst-avhrr-v02r01.") -> DataFrame:
