@@ -42,13 +42,14 @@ def test_duplicate_climatology_is_an_error(spark):
 
 def test_anomalies_over_eight_days(spark):
     means = [20.0, 20.5, 21.0, 21.5, 22.0, 22.5, 23.0, 24.0]
-    p90 = [20.0, 22.0, 20.0, 20.0, 22.0, 22.0, 22.0, 22.0]
+    p90 = [20.0, 20.0, 20.0, 22.0, 22.0, 22.0, 22.0, 22.0]
     rows = [(d, 1, m, 19.0, p) for d, m, p in zip(days(D(2026, 1, 1), 8), means, p90)]
     out = series.with_anomalies(spark.createDataFrame(rows, "date date, region_id int, mean_sst_c double, clim_mean_sst_c double, clim_p90_sst_c double")).orderBy("date").collect()
-    assert [r.above_p90 for r in out] == [False, False, True, True, False, True, True, True]
+    assert [r.above_p90 for r in out] == [False, True, True, False, False, True, True, True]
     assert out[0].rolling_7d_anomaly_c == 1.0 and math.isclose(out[7].rolling_7d_anomaly_c, sum(m - 19 for m in means[1:]) / 7)
     assert [r.warming_rate_7d_c for r in out] == [None] * 7 + [4.0]
-    assert out[0].status_label == "Hot" and out[7].status_label == "Extreme"
+    assert [r.anomaly_c for r in out] == [1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0] and out[6].rolling_7d_anomaly_c == 2.5
+    assert [r.status_label for r in out] == ["Hot"] + ["Extreme"] * 7
 
 
 def test_labels(spark):

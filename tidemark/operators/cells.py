@@ -47,10 +47,15 @@ def absent_coordinates(grid: DataFrame, domain: DataFrame) -> DataFrame:
     return domain.withColumns({"_lon": F.round("longitude", 3), "_lat": F.round("latitude", 3)}).join(have, ["_lon", "_lat"], "left_anti").drop("_lon", "_lat")
 
 
-def monthly_pivot(cells: DataFrame) -> DataFrame:
-    """Mean of each month as a column; null where a month has no row."""
+def monthly_pivot(cells: DataFrame, *, complete: bool = True) -> DataFrame:
+    """Mean of each month as a column. A cell without rows in a month is an error when read, or null there if not `complete`."""
     month = F.month("date")
-    return cells.groupBy("cell_id").agg(*[F.avg(F.when(month == i + 1, F.col("sst_c"))).alias(f"mean_{m}_sst_c") for i, m in enumerate(MONTHS)])
+    names = [f"mean_{m}_sst_c" for m in MONTHS]
+    out = cells.groupBy("cell_id").agg(*[F.avg(F.when(month == i + 1, F.col("sst_c"))).alias(n) for i, n in enumerate(names)])
+    if not complete:
+        return out
+    lacks = lambda n, m: F.raise_error(F.concat(F.lit("no rows of cell "), F.col("cell_id"), F.lit(f" in {m}"))).cast("double")
+    return out.withColumns({n: F.when(F.col(n).isNull(), lacks(n, m)).otherwise(F.col(n)) for n, m in zip(names, MONTHS)})
 
 
 def _mean_of(names: list[str]) -> Column:

@@ -83,8 +83,8 @@ def cells(edge_rows: DataFrame, key: str = "polygon") -> DataFrame:
         crowded = put.join(found.filter(many), cell)
         if crowded.isEmpty():
             break
-        rows = crowded.select(key, "x", "y", "x2", "y2", (F.col("p") - 2).alias("p"), (F.col("cx") * _SPLIT).alias("i0"), (F.col("cy") * _SPLIT).alias("j0"), F.col("odd").alias("odd0"))
-    return done
+        rows = crowded.select(key, "x", "y", "x2", "y2", (F.col("p") - 2).alias("p"), (F.col("cx") * _SPLIT).alias("i0"), (F.col("cy") * _SPLIT).alias("j0"), F.col("odd").alias("odd0")).persist()  # a round reads what the last one left
+    return done.persist()
 
 
 def tested(places: DataFrame, cover: DataFrame, key: str = "polygon") -> DataFrame:

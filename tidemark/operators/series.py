@@ -45,11 +45,14 @@ def bbox(df: DataFrame, west: float, east: float, south: float, north: float, va
     return df.filter(F.col("lon").between(west, east) & F.col("lat").between(south, north) & F.col(value).isNotNull())
 
 
-def period(df: DataFrame, start: str | None = None, end: str | None = None, column: str = "date") -> DataFrame:
-    """Both bounds included and optional."""
+def period(df: DataFrame, start: str | None = None, end: str | None = None, column: str = "date", *, required: bool = False) -> DataFrame:
+    """Both bounds included and optional; no row left is an error if `required`."""
     if start:
         df = df.filter(F.col(column) >= F.lit(start).cast("date"))
-    return df.filter(F.col(column) <= F.lit(end).cast("date")) if end else df
+    df = df.filter(F.col(column) <= F.lit(end).cast("date")) if end else df
+    if required and df.isEmpty():
+        raise ValueError(f"no rows from {start or 'the first day'} to {end or 'the last day'}")
+    return df
 
 
 def no_leap(df: DataFrame) -> DataFrame:

@@ -5,12 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import history
 
 
+#: Columns that anomalies, events and products of either must have.
+ANOMALY = [
+    "date", "region_id", "region_code", "region_name", "day_of_year", "mean_sst_c", "cell_count", "min_sst_c", "max_sst_c", "clim_mean_sst_c", "clim_p90_sst_c", "sample_size", "anomaly_c",
+    "rolling_7d_anomaly_c", "rolling_30d_anomaly_c", "warming_rate_7d_c", "above_p90", "status_label",
+]
+EVENT = ["event_id", "region_id", "region_code", "region_name", "start_date", "end_date", "peak_date", "duration_days"]
+PRODUCT = ["data_product", "is_provisional"]
+
+
 class ValidationError(ValueError):
     """A suite has failing checks."""
 
@@ -67,6 +76,33 @@ def preview(df: DataFrame, key: Sequence[str], n: int = 10) -> DataFrame:
     return df.groupBy(*key).count().filter("count > 1").orderBy(*key).limit(n)
 
 
+def examples(df: DataFrame, checks: Mapping[str, Column], key: Sequence[str], n: int = 10) -> DataFrame:
+    """For each check with failing rows, the first n of them by key: check_name, examples (array of the key as text).
+
+    One pass over df; each task keeps n rows of a check before they meet.
+    """
+    names = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in checks.items()]))
+    text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key])
+    rows = df.select(*[F.col(k) for k in key], text.alias("_text"), F.explode(names).alias("check_name"))
+    first = F.row_number().over(Window.partitionBy("check_name").orderBy(*key))
+    rows = rows.withColumn("_nth", first).filter(F.col("_nth") <= n)
+    return rows.groupBy("check_name").agg(F.transform(F.sort_array(F.collect_list(F.struct("_nth", "_text"))), lambda r: r["_text"]).alias("examples"))
+
+
+def with_examples(df: DataFrame, checks: Mapping[str, Column], key: Sequence[str], n: int = 10) -> DataFrame:
+    """`conditions` with up to n keys of failing rows for each check."""
+    none = F.array().cast("array<string>")
+    return conditions(df, checks).join(examples(df, checks, key, n), "check_name", "left").withColumn("examples", F.coalesce("examples", none))
+
+
+def duplicate_examples(df: DataFrame, key: Sequence[str], name: str, n: int = 10) -> DataFrame:
+    """`duplicates` with up to n keys."""
+    twice = df.groupBy(*key).count().filter("count > 1")
+    text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key])
+    first = twice.orderBy(*key).limit(n).select(*key, text.alias("_text")).agg(F.transform(F.sort_array(F.collect_list(F.struct(*key, "_text"))), lambda r: r["_text"]).alias("examples"))
+    return amount(twice, name).join(F.broadcast(first))  # one row
+
+
 def _null(*names: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
 
@@ -128,13 +164,18 @@ def events(df: DataFrame, rows: DataFrame) -> DataFrame:
 def preliminary(daily: DataFrame, anomaly: DataFrame, event: DataFrame, entities: int = 6) -> DataFrame:
     product = lambda p: {f"{p}_product": F.coalesce(F.col("data_product") != "preliminary", F.lit(True)), f"{p}_not_provisional": ~F.coalesce("is_provisional", F.lit(False))}
     last = anomaly.groupBy("date").agg(F.countDistinct("region_id").alias("r")).agg(F.max_by("r", "date").alias("r"))
+    columns = {"sst": [*history.DAILY, *PRODUCT], "anomaly": [*ANOMALY, *PRODUCT], "event": [*EVENT, *PRODUCT]}
     return suite(
-        missing_columns(daily, history.DAILY, "sst_columns"), empty(daily, "sst_empty"), empty(anomaly, "anomalies_empty"),
+        *[missing_columns(df, columns[p], f"{p}_columns") for p, df in (("sst", daily), ("anomaly", anomaly), ("event", event))], empty(daily, "sst_empty"), empty(anomaly, "anomalies_empty"),
         duplicates(daily, ["date", "region_id"], "sst_duplicates"), duplicates(anomaly, ["date", "region_id"], "anomaly_duplicates"),
         differs(daily, F.countDistinct("region_id"), entities, "sst_regions"), conditions(daily, product("sst")), conditions(anomaly, product("anomaly")),
         amount(history.key_difference(daily, anomaly, ["region_id", "date"]), "key_sets_differ"),
         _rows(last.select(F.greatest(F.lit(entities) - F.coalesce("r", F.lit(0)), F.lit(0)).alias("latest_day_incomplete"))),
-        conditions(event, {"event_start_after_end": F.col("start_date") > F.col("end_date"), "event_bad_duration": F.col("duration_days") <= 0}),
+        duplicates(event, ["event_id"], "duplicate_event_id"),
+        conditions(event, {
+            "event_start_after_end": F.col("start_date") > F.col("end_date"), "event_bad_duration": F.col("duration_days") <= 0,
+            "event_peak_outside": ~F.col("peak_date").between(F.col("start_date"), F.col("end_date")), **product("event"),
+        }),
     )
 
 
@@ -142,7 +183,7 @@ def monitoring(actual: DataFrame, expected: DataFrame) -> DataFrame:
     problems = history.compare_products(expected, actual)
     n = lambda k: F.count(F.when(F.col("problem") == k, 1)).alias(f"{k}_rows")
     return suite(
-        empty(actual), duplicates(actual, ["region_id", "date"], "duplicate_keys"),
+        missing_columns(actual, [*ANOMALY, *PRODUCT]), empty(actual), duplicates(actual, ["region_id", "date"], "duplicate_keys"),
         conditions(actual, {
             "unknown_product": ~F.coalesce(F.col("data_product").isin("final", "preliminary"), F.lit(False)),
             "flag_inconsistent": (F.col("data_product") == "preliminary") != F.col("is_provisional"),
@@ -218,6 +259,8 @@ def constraints(trends: DataFrame, features_: DataFrame, daily: DataFrame, regio
     from .cells import MONTHS
 
     return suite(
+        conditions(daily, {f"null_daily_{c}": F.col(c).isNull() for c in ("date", "region_id", "mean_sst_c")}), conditions(features_, {f"null_feature_{c}": F.col(c).isNull() for c in ("cell_id", "longitude", "latitude", "mean_sst_c")}),
+        conditions(trends, {f"null_trend_{c}": F.col(c).isNull() for c in ("cell_id", "trend_c_per_year", "baseline_start_year", "baseline_end_year")}),
         amount(daily.join(regions, "region_id", "left_anti"), "unknown_region"),
         conditions(features_, {
             "longitude_range": ~F.col("longitude").between(-180, 360), "latitude_range": ~F.col("latitude").between(-90, 90),

@@ -7,7 +7,7 @@ sums do not depend on their order; a warm spell is added on some days.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cells as cell_ops
@@ -43,8 +43,22 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return series.daily_aggregate(series.prepare_points(points(spark, sf))).select(*history.DAILY)
 
 
-def climatology(spark: SparkSession, sf: str) -> DataFrame:
-    return series.climatology(series.period(series.no_leap(daily(spark, sf)), *BASELINE))
+def repaired(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rows with every region on every day: a day without a row takes the last one before it, or the first after it."""
+    rows = daily(spark, sf)
+    first, last = rows.agg(F.min("date"), F.max("date")).first()
+    regions = rows.select("region_id", "region_code", "region_name").distinct()
+    every = regions.withColumn("date", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    kept = ["mean_sst_c", "cell_count", "min_sst_c", "max_sst_c"]
+    out = every.join(rows.select("region_id", "date", F.struct(*kept).alias("_r")), ["region_id", "date"], "left")
+    by = Window.partitionBy("region_id").orderBy("date")
+    before, after = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(0, Window.unboundedFollowing)
+    value = F.coalesce(F.last("_r", ignorenulls=True).over(before), F.first("_r", ignorenulls=True).over(after))
+    return out.withColumn("_r", value).select("date", "region_id", "region_code", "region_name", "_r.*").select(*history.DAILY)
+
+
+def climatology(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+    return series.climatology(series.period(series.no_leap(base or daily(spark, sf)), *BASELINE))
 
 
 def anomalies(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,31 +69,31 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return series.heat_events(anomalies(spark, sf))
 
 
-def final(spark: SparkSession, sf: str) -> DataFrame:
-    return series.period(daily(spark, sf), None, FINAL_END)
+def final(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+    return series.period(base or daily(spark, sf), None, FINAL_END)
 
 
-def preliminary(spark: SparkSession, sf: str) -> DataFrame:
+def preliminary(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """The last three weeks as another product measures them: a quarter higher."""
     up = {c: F.col(c) + 0.25 for c in ("mean_sst_c", "min_sst_c", "max_sst_c")}
-    return series.period(daily(spark, sf), *WINDOW).withColumns(up)
+    return series.period(base or daily(spark, sf), *WINDOW).withColumns(up)
 
 
-def preliminary_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    rows = history.preliminary_input(final(spark, sf), preliminary(spark, sf), WINDOW[0], HISTORY_DAYS)
-    out = series.anomalies(rows, climatology(spark, sf))
+def preliminary_anomalies(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+    rows = history.preliminary_input(final(spark, sf, base), preliminary(spark, sf, base), WINDOW[0], HISTORY_DAYS)
+    out = series.anomalies(rows, climatology(spark, sf, base))
     return history.tag(series.period(out, *WINDOW), "preliminary", True)
 
 
-def preliminary_events(spark: SparkSession, sf: str) -> DataFrame:
-    earlier = history.before_window(series.anomalies(final(spark, sf), climatology(spark, sf)), WINDOW[0])
-    rows = earlier.unionByName(preliminary_anomalies(spark, sf).drop("data_product", "is_provisional"))
+def preliminary_events(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+    earlier = history.before_window(series.anomalies(final(spark, sf, base), climatology(spark, sf, base)), WINDOW[0])
+    rows = earlier.unionByName(preliminary_anomalies(spark, sf, base).drop("data_product", "is_provisional"))
     return history.tag(history.overlapping(series.heat_events(rows), *WINDOW), "preliminary", True)
 
 
-def monitoring(spark: SparkSession, sf: str) -> DataFrame:
-    done = series.anomalies(final(spark, sf), climatology(spark, sf))
-    return history.monitoring(done, preliminary_anomalies(spark, sf).drop("data_product", "is_provisional"))
+def monitoring(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
+    done = series.anomalies(final(spark, sf, base), climatology(spark, sf, base))
+    return history.monitoring(done, preliminary_anomalies(spark, sf, base).drop("data_product", "is_provisional"))
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, geo, labels
-from ..operators import cells, history, monitoring, projection, series, spatial, validate
+from ..operators import backfill, cells, history, monitoring, projection, series, spatial, validate
 from ..sources import files
 from ..streaming import incremental
 from . import oracle, proxy
@@ -32,8 +33,10 @@ def query(name: str, sql: str | None = None):
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share, under spark.checkpoint.dir where that is set."""
+    """A new folder that driver and executors share, under spark.checkpoint.dir; only a local session may do without."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     root = found.rstrip("/") if found else "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return f"{root}/tidemark/{uuid.uuid4().hex}"
 
@@ -198,7 +201,7 @@ def prepare_points(spark, sf):
 
 @query("baseline_period", S(f"SELECT date, region_id, cell_count FROM daily WHERE date BETWEEN DATE '{proxy.BASELINE[0]}' AND DATE '{proxy.BASELINE[1]}'"))
 def baseline_period(spark, sf):
-    return series.period(proxy.daily(spark, sf), *proxy.BASELINE).select("date", "region_id", "cell_count")
+    return series.period(proxy.daily(spark, sf), *proxy.BASELINE, required=True).select("date", "region_id", "cell_count")
 
 
 @query("no_leap_doy", S("SELECT date, region_id, day_of_year::INT AS day_of_year FROM noleap"))
@@ -219,7 +222,7 @@ def tag_preliminary(spark, sf):
 
 @query("prelim_window", S(f"SELECT date, region_id, round(mean_sst_c, 6) AS mean_sst_c FROM daily WHERE date BETWEEN {oracle.W0} AND {oracle.W1}"))
 def prelim_window(spark, sf):
-    return D6(series.period(proxy.daily(spark, sf), *proxy.WINDOW).select("date", "region_id", "mean_sst_c"))
+    return D6(series.period(proxy.daily(spark, sf), *proxy.WINDOW, required=True).select("date", "region_id", "mean_sst_c"))
 
 
 @query("events_overlap", S("SELECT event_id, start_date, end_date FROM heat WHERE end_date >= DATE '1998-01-01' AND start_date <= DATE '1998-12-31'"))
@@ -531,6 +534,17 @@ def append_missing(spark, sf):
     return D6(history.append_missing(proxy.final(spark, sf), proxy.preliminary(spark, sf)).select("date", "region_id", "mean_sst_c"))
 
 
+@query("backfill_days", S("SELECT date, region_id, round(mean_sst_c, 6) AS mean_sst_c FROM final UNION ALL SELECT date, region_id, round(mean_sst_c, 6) FROM prelim ANTI JOIN final USING (date, region_id)"))
+def backfill_days(spark, sf):
+    """The table of days after a backfill of the last weeks by the preliminary rows: stored rows stay."""
+    table = f"{work_dir(spark)}/days"
+    backfill.write_months(proxy.final(spark, sf), table)
+    rows = proxy.preliminary(spark, sf)
+    days = [r[0] for r in rows.select("date").distinct().collect()]  # three weeks
+    backfill.backfill(spark, lambda d: rows.filter(F.col("date").isin(list(d))), days, table, work_dir(spark))
+    return D6(spark.read.parquet(table).select("date", "region_id", "mean_sst_c"))
+
+
 @query("sorted_output", S("SELECT region_id, date, cell_count FROM daily ORDER BY region_id, date"))
 def sorted_output(spark, sf):
     return proxy.daily(spark, sf).select("region_id", "date", "cell_count").orderBy("region_id", "date")
@@ -765,30 +779,34 @@ def gate(tables: dict[str, DataFrame]) -> DataFrame:
     return validate.suite(*[r.withColumn("check_name", F.concat(F.lit(f"{n}."), F.col("check_name"))) for n, r in parts.items()])
 
 
+_FINAL_TABLES = ("region_daily_sst", "region_climatology", "region_daily_anomalies", "heat_events")
+
+
+def _tables(spark: SparkSession, sf: str, base: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables of a daily run."""
+    daily, clim = proxy.final(spark, sf, base), proxy.climatology(spark, sf, base)
+    rows = series.anomalies(daily, clim)
+    return {
+        "region_daily_sst": daily, "region_climatology": clim, "region_daily_anomalies": rows, "heat_events": series.heat_events(rows),
+        "preliminary_daily_sst": history.tag(proxy.preliminary(spark, sf, base), "preliminary", True), "preliminary_anomalies": proxy.preliminary_anomalies(spark, sf, base),
+        "preliminary_events": proxy.preliminary_events(spark, sf, base), "monitoring": proxy.monitoring(spark, sf, base),
+    }
+
+
 def publish_checked(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> DataFrame:
-    """Publish and return the monitoring table; where a check fails, publish nothing and return the report."""
-    path = work_dir(spark)
-    gate(tables).write.parquet(path)
-    report = spark.read.parquet(path)
-    if not report.filter(~F.col("ok")).isEmpty():
-        return report
+    """Write the tables, check them as written, then switch; return the published monitoring table. A failing check is an error, and nothing is published."""
+    groups = {"final": {n: tables[n] for n in _FINAL_TABLES}, "preliminary": {n: df for n, df in tables.items() if n.startswith("preliminary_")}, "monitoring": {"monitoring": tables["monitoring"]}}
     target = files.Publication(spark, root)
-    final = ("region_daily_sst", "region_climatology", "region_daily_anomalies", "heat_events")
-    groups = {"final": {n: tables[n] for n in final}, "preliminary": {n: df for n, df in tables.items() if n.startswith("preliminary_")}, "monitoring": {"monitoring": tables["monitoring"]}}
-    target.publish(files.publication_plan(**groups))
+    target.publish(files.publication_plan(**groups), check=lambda staged: validate.require(gate(staged)))
     return target.read("monitoring")
 
 
-@query("daily_pipeline")
+@query("daily_pipeline", oracle.over_repaired(oracle.rounded("monitoring", [*AN, *PROD], doubles=AN_D)))
 def daily_pipeline(spark, sf):
-    """Build, validate, then publish; the published monitoring table is the result, or the report if a check fails."""
-    daily, clim = proxy.final(spark, sf), proxy.climatology(spark, sf)
-    rows = series.anomalies(daily, clim)
-    return publish_checked(spark, {
-        "region_daily_sst": daily, "region_climatology": clim, "region_daily_anomalies": rows, "heat_events": series.heat_events(rows),
-        "preliminary_daily_sst": history.tag(proxy.preliminary(spark, sf), "preliminary", True), "preliminary_anomalies": proxy.preliminary_anomalies(spark, sf),
-        "preliminary_events": proxy.preliminary_events(spark, sf), "monitoring": proxy.monitoring(spark, sf),
-    }, work_dir(spark))
+    """Build over a history without gaps, write, validate what was written, publish; the monitoring table that readers then see."""
+    path = work_dir(spark)
+    files.write_parquet(proxy.repaired(spark, sf), path)
+    return D6(publish_checked(spark, _tables(spark, sf, spark.read.parquet(path)), work_dir(spark)).select(*AN, *PROD))
 
 
 @query("final_refresh", oracle.rounded("heat", EV, 4, doubles=EV_D))
@@ -918,26 +936,84 @@ def validate_events(spark, sf):
     return validate.events(proxy.events(spark, sf), proxy.anomalies(spark, sf))
 
 
-@query("validate_preliminary", oracle.checks([
-    ("sst_columns", "0"), ("sst_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM prelim"), ("anomalies_empty", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM prelim_anomalies"),
+#: Faults planted: rows of region 1 twice, product or flag of others wrong, region 6 lost, events twice with a peak before their start.
+_PRELIM_CLEAN = [
+    ("sst_columns", "0"), ("anomaly_columns", "0"), ("event_columns", "0"), ("sst_empty", "SELECT (count(*) = 0)::INT FROM prelim"), ("anomalies_empty", "SELECT (count(*) = 0)::INT FROM prelim_anomalies"),
     ("sst_duplicates", dup("prelim", "date, region_id")), ("anomaly_duplicates", dup("prelim_anomalies", "date, region_id")),
-    ("sst_regions", "SELECT CASE WHEN count(DISTINCT region_id) = 6 THEN 0 ELSE 1 END FROM prelim"), ("sst_product", "0"), ("sst_not_provisional", "0"), ("anomaly_product", "0"), ("anomaly_not_provisional", "0"),
+    ("sst_regions", "SELECT CASE WHEN count(DISTINCT region_id) = 6 THEN 0 ELSE 1 END FROM prelim"), ("sst_product", "0"), ("sst_not_provisional", "0"),
+    ("anomaly_product", _NULLS.format("prelim_anomalies", "data_product <> 'preliminary'")), ("anomaly_not_provisional", _NULLS.format("prelim_anomalies", "NOT is_provisional")),
     ("key_sets_differ", "SELECT (SELECT count(*) FROM prelim ANTI JOIN prelim_anomalies USING (date, region_id)) + (SELECT count(*) FROM prelim_anomalies ANTI JOIN prelim USING (date, region_id))"),
     ("latest_day_incomplete", "SELECT greatest(6 - count(DISTINCT region_id), 0) FROM prelim_anomalies WHERE date = (SELECT max(date) FROM prelim_anomalies)"),
-    ("event_start_after_end", _NULLS.format("prelim_events", "start_date > end_date")), ("event_bad_duration", _NULLS.format("prelim_events", "duration_days <= 0")),
-]))
+    ("duplicate_event_id", dup("prelim_events", "event_id")), ("event_start_after_end", _NULLS.format("prelim_events", "start_date > end_date")), ("event_bad_duration", _NULLS.format("prelim_events", "duration_days <= 0")),
+    ("event_peak_outside", _NULLS.format("prelim_events", "peak_date NOT BETWEEN start_date AND end_date")), ("event_product", _NULLS.format("prelim_events", "data_product <> 'preliminary'")), ("event_not_provisional", _NULLS.format("prelim_events", "NOT is_provisional")),
+]
+_LEFT = "(SELECT * FROM prelim_anomalies WHERE region_id <> 6)"
+_PRELIM = dict(_PRELIM_CLEAN) | {
+    "sst_duplicates": _NULLS.format("prelim", "region_id = 1"), "sst_product": _NULLS.format("prelim", "region_id = 2"), "sst_not_provisional": _NULLS.format("prelim", "region_id = 3"),
+    "anomaly_product": _NULLS.format("prelim_anomalies", "region_id = 4"), "anomaly_not_provisional": _NULLS.format("prelim_anomalies", "region_id = 5"),
+    "key_sets_differ": f"SELECT (SELECT count(*) FROM prelim ANTI JOIN {_LEFT} USING (date, region_id)) + (SELECT count(*) FROM {_LEFT} ANTI JOIN prelim USING (date, region_id))",
+    "latest_day_incomplete": f"SELECT greatest(6 - count(DISTINCT region_id), 0) FROM {_LEFT} WHERE date = (SELECT max(date) FROM {_LEFT})",
+    "duplicate_event_id": "SELECT count(*) FROM prelim_events", "event_peak_outside": "SELECT count(*) FROM prelim_events", "event_product": "SELECT count(*) FROM prelim_events",
+}
+
+
+@query("validate_preliminary", oracle.checks(list(_PRELIM.items())))
 def validate_preliminary(spark, sf):
-    daily = history.tag(proxy.preliminary(spark, sf), "preliminary", True)
-    return validate.preliminary(daily, proxy.preliminary_anomalies(spark, sf), proxy.preliminary_events(spark, sf))
+    """Preliminary tables with planted faults."""
+    wrong = lambda n: F.when(F.col("region_id") == n, "final").otherwise("preliminary")
+    daily = history.tag(proxy.preliminary(spark, sf), "preliminary", True).withColumns({"data_product": wrong(2), "is_provisional": F.col("region_id") != 3})
+    daily = daily.unionByName(daily.filter("region_id = 1"))
+    rows = proxy.preliminary_anomalies(spark, sf).filter("region_id <> 6").withColumns({"data_product": wrong(4), "is_provisional": F.col("region_id") != 5})
+    events = proxy.preliminary_events(spark, sf)
+    again = events.withColumns({"peak_date": F.date_sub("start_date", 1), "data_product": F.lit("final")})
+    return validate.preliminary(daily, rows, events.unionByName(again))
+
+
+_EXPECTED = "(SELECT region_id, date, max(p) AS p FROM (SELECT region_id, date, 'final' AS p FROM final_anomalies UNION ALL SELECT region_id, date, 'preliminary' FROM prelim_anomalies) GROUP BY ALL)"
+_MONITORING_CLEAN = [
+    ("missing_columns", "0"), ("empty", "SELECT (count(*) = 0)::INT FROM monitoring"), ("duplicate_keys", dup("monitoring", "region_id, date")), ("unknown_product", _NULLS.format("monitoring", "data_product NOT IN ('final', 'preliminary')")),
+    ("flag_inconsistent", _NULLS.format("monitoring", "(data_product = 'preliminary') <> is_provisional")), ("missing_rows", f"SELECT count(*) FROM {_EXPECTED} ANTI JOIN monitoring USING (region_id, date)"),
+    ("extra_rows", f"SELECT count(*) FROM monitoring ANTI JOIN {_EXPECTED} USING (region_id, date)"), ("wrong_product_rows", f"SELECT count(*) FROM monitoring JOIN {_EXPECTED} USING (region_id, date) WHERE data_product <> p"),
+]
 
 
 @query("validate_monitoring", oracle.checks([
-    ("empty", "0"), ("duplicate_keys", dup("monitoring", "region_id, date")), ("unknown_product", "0"), ("flag_inconsistent", _NULLS.format("monitoring", "(data_product = 'preliminary') <> is_provisional")),
-    ("missing_rows", "0"), ("extra_rows", "SELECT count(*) FROM monitoring WHERE region_id = 2"), ("wrong_product_rows", "0"),
+    ("missing_columns", "0"), ("empty", "SELECT (count(*) = 0)::INT FROM monitoring"), ("duplicate_keys", dup("monitoring", "region_id, date")), ("unknown_product", _NULLS.format("monitoring", "region_id = 3")),
+    ("flag_inconsistent", _NULLS.format("monitoring", "region_id = 4 OR region_id = 3 AND is_provisional")), ("missing_rows", _NULLS.format("monitoring", "region_id = 5")), ("extra_rows", _NULLS.format("monitoring", "region_id = 2")),
+    ("wrong_product_rows", _NULLS.format("monitoring", "region_id = 3")),
 ]))
 def validate_monitoring(spark, sf):
+    """Region 2 is not expected, of region 3 the product is unknown, of region 4 the flag is turned, region 5 is lost."""
     m = proxy.monitoring(spark, sf)
-    return validate.monitoring(m, m.filter("region_id <> 2"))
+    wrong = {"data_product": F.when(F.col("region_id") == 3, "other").otherwise(F.col("data_product")), "is_provisional": (F.col("region_id") == 4) != F.col("is_provisional")}
+    return validate.monitoring(m.filter("region_id <> 5").withColumns(wrong), m.filter("region_id <> 2"))
+
+
+_FIN = "(SELECT * FROM noleap WHERE date <= " + oracle.FE + ")"
+_named = lambda rows, **names: [(n, re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: names[m[0]], q)) for n, q in rows]
+_GATE = {
+    "history": _named(_HISTORY, daily="final"), "climatology": _CLIM, "anomalies": _named(_ANOM, anomalies="final_anomalies", noleap=_FIN), "events": _named(_EVENTS, heat="final_heat", anomalies="final_anomalies"),
+    "preliminary": _PRELIM_CLEAN, "monitoring": _MONITORING_CLEAN,
+}
+
+
+@query("daily_report", oracle.checks([(f"{p}.{n}", q) for p, rows in _GATE.items() for n, q in rows]))
+def daily_report(spark, sf):
+    """The gate's report on the tables of a daily run as they are, written once and read by each check."""
+    return gate(files.Publication(spark, work_dir(spark)).stage(_tables(spark, sf), "checked"))
+
+
+_PARTS = {"no_mean": "mean_sst_c < 12", "warm": "anomaly_c > 2", "no_flag": "above_p90 IS NULL", "early": "date < DATE '1995-01-10'"}
+
+
+@query("failing_examples", S(" UNION ALL ".join(
+    f"SELECT '{n}' AS check_name, count(*) AS failing_rows, count(*) = 0 AS ok, coalesce(list(region_id || ', ' || date ORDER BY region_id, date)[1:10]::VARCHAR, '[]') AS examples FROM anomalies WHERE {c}" for n, c in _PARTS.items()
+)))
+def failing_examples(spark, sf):
+    """Checks with the first ten keys of the rows that fail them, as text."""
+    checks = {n: F.expr(c.replace("DATE '1995-01-10'", "date'1995-01-10'")) for n, c in _PARTS.items()}
+    out = validate.with_examples(proxy.anomalies(spark, sf), checks, ["region_id", "date"])
+    return out.withColumn("examples", F.concat(F.lit("["), F.array_join(F.transform("examples", lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]")))
 
 
 _Y = 1996
@@ -981,29 +1057,53 @@ def validate_trend_input(spark, sf):
 
 
 @query("validate_annual_means", oracle.checks([
-    ("duplicate_keys", dup("annual_all", "cell_id, year")), ("moved_cells", "0"), ("null_or_unfinite", "0"), ("bad_count", "0"), ("outside_years", _NULLS.format("annual_all", "year NOT BETWEEN 1995 AND 2000")),
+    ("duplicate_keys", "SELECT count(*) FROM annual_all WHERE cell_id = 'cell_4' AND year = 1999"), ("moved_cells", "SELECT count(DISTINCT cell_id) FROM annual_all WHERE cell_id = 'cell_1' AND year = 1996"),
+    ("null_or_unfinite", "SELECT count(*) FROM annual_all WHERE cell_id = 'cell_2' AND year = 1997"), ("bad_count", "SELECT count(*) FROM annual_all WHERE cell_id = 'cell_3'"), ("outside_years", _NULLS.format("annual_all", "year NOT BETWEEN 1995 AND 2000")),
     ("cells_with_other_years", "SELECT count(*) FROM (SELECT cell_id FROM annual_all GROUP BY cell_id HAVING max(year) > 2000 OR count(*) FILTER (WHERE year BETWEEN 1995 AND 2000) <> 6)"),
 ]))
 def validate_annual_means(spark, sf):
-    return validate.annual_means(cells.annual_means(proxy.cells(spark, sf)), *proxy.YEARS)
+    """Annual means with planted faults: a place that moves, a value lost, counts of 0, a row twice."""
+    rows, at = cells.annual_means(proxy.cells(spark, sf)), lambda c, y: (F.col("cell_id") == c) & (F.col("year") == y)
+    again = rows.filter(at("cell_4", 1999))
+    rows = rows.withColumns({
+        "longitude": F.col("longitude") + F.when(at("cell_1", 1996), 1.0).otherwise(0.0), "annual_mean_sst_c": F.when(~at("cell_2", 1997), F.col("annual_mean_sst_c")),
+        "observation_count": F.when(F.col("cell_id") == "cell_3", F.lit(0).cast("long")).otherwise(F.col("observation_count")),
+    })
+    return validate.annual_means(rows.unionByName(again), *proxy.YEARS)
 
 
 @query("validate_features", oracle.checks([
-    ("duplicate_keys", "0"), ("null_input", "0"), ("moved_cells", "0"), ("cells_without_all_months", "SELECT count(*) FROM (SELECT cell_id FROM cells GROUP BY cell_id HAVING count(DISTINCT month(date)) < 12)"),
-    *[(f"unfinite_{c}", _NULLS.format("features", f"{c} IS NULL")) for c in ("mean_sst_c", "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c")],
+    ("duplicate_keys", "SELECT count(*) FROM cells WHERE cell_id = 'cell_9' AND year(date) = 1996 AND month(date) = 7"), ("null_input", "SELECT count(*) FROM cells WHERE cell_id = 'cell_5' AND month(date) = 6"),
+    ("moved_cells", "SELECT count(DISTINCT cell_id) FROM cells WHERE cell_id = 'cell_7' AND month(date) = 5"), ("cells_without_all_months", "SELECT count(*) FROM (SELECT cell_id FROM cells WHERE cell_id <> 'cell_11' OR month(date) < 12 GROUP BY cell_id HAVING count(DISTINCT month(date)) < 12)"),
+    *[(f"unfinite_{c}", _NULLS.format("features", f"{c} IS NULL OR cell_id = '{p}'")) for c, p in (("mean_sst_c", "cell_2"), ("deseasonalized_daily_sd_sst_c", "cell_3"), ("annual_mean_sd_sst_c", "cell_4"))],
 ]))
 def validate_features(spark, sf):
+    """Cells and features with planted faults."""
     c = proxy.cells(spark, sf)
-    return validate.features(c, cells.features(c), ["mean_sst_c", "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c"])
+    cell, month = F.col("cell_id"), F.month("date")
+    out = cells.features(c).withColumns({n: F.when(cell != p, F.col(n)) for n, p in (("mean_sst_c", "cell_2"), ("deseasonalized_daily_sd_sst_c", "cell_3"), ("annual_mean_sd_sst_c", "cell_4"))})
+    bad = c.filter((cell != "cell_11") | (month < 12)).unionByName(c.filter((cell == "cell_9") & (F.year("date") == 1996) & (month == 7)))
+    bad = bad.withColumns({"sst_c": F.when((cell != "cell_5") | (month != 6), F.col("sst_c")), "longitude": F.col("longitude") + F.when((cell == "cell_7") & (month == 5), 1.0).otherwise(0.0)})
+    return validate.features(bad, out, ["mean_sst_c", "deseasonalized_daily_sd_sst_c", "annual_mean_sd_sst_c"])
+
+
+_ONE = "SELECT count(*) FROM features WHERE cell_id = '{}'"
+_PF = "(SELECT * FROM features WHERE cell_id <> 'cell_5' UNION ALL SELECT * FROM features WHERE cell_id = 'cell_3')"
+_PT = "(SELECT * FROM trends WHERE cell_id <> 'cell_9' UNION ALL SELECT * FROM trends WHERE cell_id = 'cell_7')"
 
 
 @query("validate_publication", oracle.checks([
-    *[(n, "0") for n in ("duplicate_features", "duplicate_trends", "unfinite_mean", "unfinite_trend", "cell_sets_differ", "coordinates_differ")],
-    ("counts_differ", "SELECT count(*) FROM features f JOIN trends t USING (cell_id) WHERE f.observation_count <> t.observation_count"), ("bad_cell_size", "0"),
+    ("duplicate_features", _ONE.format("cell_3")), ("duplicate_trends", dup(_PT, "cell_id")), ("unfinite_mean", _ONE.format("cell_4")), ("unfinite_trend", f"SELECT count(*) FROM {_PT} WHERE trend_c_per_year IS NULL OR cell_id = 'cell_8'"),
+    ("cell_sets_differ", f"SELECT (SELECT count(DISTINCT cell_id) FROM {_PF} f ANTI JOIN {_PT} t USING (cell_id)) + (SELECT count(DISTINCT cell_id) FROM {_PT} t ANTI JOIN {_PF} f USING (cell_id))"),
+    ("coordinates_differ", f"SELECT count(*) FROM {_PF} f JOIN {_PT} t USING (cell_id) WHERE cell_id = 'cell_6'"), ("counts_differ", f"SELECT count(*) FROM {_PF} f JOIN {_PT} t USING (cell_id) WHERE f.observation_count <> t.observation_count"), ("bad_cell_size", "SELECT 1"),
 ]))
 def validate_publication(spark, sf):
-    c = proxy.cells(spark, sf)
-    return validate.publication(cells.features(c), cells.trends(proxy.annual(spark, sf), *proxy.YEARS), 0.25)
+    """Features and trends with planted faults, and a cell size of 0."""
+    cell = F.col("cell_id")
+    f, t = cells.features(proxy.cells(spark, sf)), cells.trends(proxy.annual(spark, sf), *proxy.YEARS)
+    f = f.filter(cell != "cell_5").unionByName(f.filter(cell == "cell_3")).withColumns({"mean_sst_c": F.when(cell != "cell_4", F.col("mean_sst_c")), "longitude": F.col("longitude") + F.when(cell == "cell_6", 0.001).otherwise(0.0)})
+    t = t.filter(cell != "cell_9").unionByName(t.filter(cell == "cell_7")).withColumn("trend_c_per_year", F.when(cell != "cell_8", F.col("trend_c_per_year")))
+    return validate.publication(f, t, 0.0)
 
 
 @query("validate_keys", S("SELECT l_suppkey, l_partkey, count(*) AS count FROM lineitem GROUP BY ALL HAVING count(*) > 1 ORDER BY 1, 2 LIMIT 10"))
@@ -1011,12 +1111,25 @@ def validate_keys(spark, sf):
     return validate.preview(proxy.lineitem(spark, sf), ["l_suppkey", "l_partkey"])
 
 
+_T1 = "SELECT count(*) FROM trends WHERE cell_id = '{}'"
+_BAD_FEATURES = {"longitude": ("cell_1", 400.0), "latitude": ("cell_2", 95.0), "warmest_month": ("cell_3", "none"), "coldest_month": ("cell_4", "none"), "mean_sst_c": ("cell_5", None)}
+_BAD_TRENDS = {"baseline_start_year": ("cell_7", 3000), "trend_p_value": ("cell_8", 1.5), "trend_r_squared": ("cell_9", -1.0), "trend_c_per_year": ("cell_10", None)}
+
+
 @query("validate_constraints", oracle.checks([
-    ("unknown_region", "SELECT count(*) FROM daily WHERE region_id = 6"), *[(n, "0") for n in ("longitude_range", "latitude_range", "warmest_month", "coldest_month", "year_order", "p_value_range", "r_squared_range", "unknown_cell")],
+    ("null_daily_date", "SELECT count(*) FROM daily WHERE date IS NULL"), ("null_daily_region_id", "SELECT count(*) FROM daily WHERE region_id IS NULL"), ("null_daily_mean_sst_c", "SELECT count(*) FROM daily WHERE region_id = 5"),
+    *[(f"null_feature_{c}", _ONE.format("cell_5") if c == "mean_sst_c" else f"SELECT count(*) FROM features WHERE {c} IS NULL") for c in ("cell_id", "longitude", "latitude", "mean_sst_c")],
+    *[(f"null_trend_{c}", _T1.format("cell_10") if c == "trend_c_per_year" else f"SELECT count(*) FROM trends WHERE {c} IS NULL") for c in ("cell_id", "trend_c_per_year", "baseline_start_year", "baseline_end_year")],
+    ("unknown_region", "SELECT count(*) FROM daily WHERE region_id = 6"), *[(n, _ONE.format(c)) for n, c in (("longitude_range", "cell_1"), ("latitude_range", "cell_2"), ("warmest_month", "cell_3"), ("coldest_month", "cell_4"))],
+    *[(n, _T1.format(c)) for n, c in (("year_order", "cell_7"), ("p_value_range", "cell_8"), ("r_squared_range", "cell_9"), ("unknown_cell", "cell_6"))],
 ]))
 def validate_constraints(spark, sf):
-    c, d = proxy.cells(spark, sf), proxy.daily(spark, sf)
-    return validate.constraints(cells.trends(proxy.annual(spark, sf), *proxy.YEARS), cells.features(c), d, d.select("region_id").distinct().filter("region_id <> 6"))
+    """Tables with a fault planted for each constraint."""
+    d = proxy.daily(spark, sf)
+    f, t = cells.features(proxy.cells(spark, sf)), cells.trends(proxy.annual(spark, sf), *proxy.YEARS)
+    wrong = lambda df, faults: df.withColumns({c: F.when(F.col("cell_id") == k, F.lit(v).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c, (k, v) in faults.items()})
+    lost = d.withColumn("mean_sst_c", F.when(F.col("region_id") != 5, F.col("mean_sst_c")))
+    return validate.constraints(wrong(t, _BAD_TRENDS), wrong(f, _BAD_FEATURES).filter("cell_id <> 'cell_6'"), lost, d.select("region_id").distinct().filter("region_id <> 6"))
 
 
 _CR = "(SELECT c.cell_id, i.polygon FROM classified c LEFT JOIN inside i ON c.longitude = i.lon AND c.latitude = i.lat WHERE included_in_coastal_domain)"
@@ -1034,7 +1147,13 @@ def validate_cell_regions(spark, sf):
 
 @query("validation_report", oracle.checks([(f"{p}.{n}", q) for p, rows in (("history", _HISTORY), ("climatology", _CLIM), ("anomalies", _ANOM), ("events", _EVENTS)) for n, q in rows]))
 def validation_report(spark, sf):
-    d, c, a, e = proxy.daily(spark, sf), proxy.climatology(spark, sf), proxy.anomalies(spark, sf), proxy.events(spark, sf)
+    """All checks of four tables, each written once and read by its checks."""
+    d = proxy.daily(spark, sf)
+    staged = files.Publication(spark, work_dir(spark)).stage({"d": d, "c": proxy.climatology(spark, sf)}, "base")
+    d, c = staged["d"], staged["c"]
+    a = series.anomalies(d, c)
+    a = files.Publication(spark, work_dir(spark)).stage({"a": a}, "rows")["a"]
+    e = series.heat_events(a)
     parts = {"history": validate.daily_history(d), "climatology": validate.climatology(c), "anomalies": validate.anomalies(a, d), "events": validate.events(e, a)}
     return validate.suite(*[r.withColumn("check_name", F.concat(F.lit(f"{n}."), F.col("check_name"))) for n, r in parts.items()])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -201,14 +201,29 @@ class Publication:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def publish(self, tables: Mapping[str, DataFrame], version: str | None = None) -> str:
-        """Write all, then switch; a failure before the switch leaves the old set."""
+    def publish(self, tables: Mapping[str, DataFrame], version: str | None = None, *, check: Callable[[dict[str, DataFrame]], None] | None = None) -> str:
+        """Write all, then switch; a failure before the switch leaves the old set.
+
+        `check` gets the tables as they were written and raises if they may not
+        be published: it reads what readers would, and computes nothing anew.
+        """
+        version = version or uuid.uuid4().hex
+        staged = self.stage(tables, version)
+        if check:
+            check(staged)
+        self.switch(version, sorted(tables))
+        return version
+
+    def stage(self, tables: Mapping[str, DataFrame], version: str) -> dict[str, DataFrame]:
+        """Write tables under a version that no reader sees yet, and read them back."""
         if not tables:
             raise ValueError("no table to publish")
-        version = version or uuid.uuid4().hex
         for name, df in tables.items():
             df.write.mode("errorifexists").parquet(f"{self.root}/version={version}/{name}")
-        note = json.dumps({"version": version, "tables": sorted(tables)})
+        return {name: self.spark.read.schema(df.schema).parquet(f"{self.root}/version={version}/{name}") for name, df in tables.items()}
+
+    def switch(self, version: str, names: Sequence[str]) -> None:
+        note = json.dumps({"version": version, "tables": list(names)})
         temporary, pointer = self._path(f"{self.root}/.current-{version}"), self._path(f"{self.root}/current.json")
         out = self._fs.create(temporary, True)
         out.write(bytearray(note.encode()))
@@ -216,7 +231,6 @@ class Publication:
         context = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext
         files = context.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
         files.rename(self._fs.makeQualified(temporary), self._fs.makeQualified(pointer), self._overwrite())
-        return version
 
     def _overwrite(self):
         jvm = self.spark.sparkContext._jvm

@@ -38,19 +38,26 @@ def kept_daily(spark: SparkSession, target: str, schema: StructType, *, key: tup
     return rows.groupBy(*key).agg(F.max_by(F.struct(*[c for c in schema.names if c not in key]), "batch").alias("_r")).select(*key, "_r.*").select(*schema.names)
 
 
-def append_missing(rows: DataFrame, target: str, checkpoint: str, *, key: tuple[str, ...] = history.KEY) -> StreamingQuery:
-    """Append rows whose key the Parquet table at `target` lacks; replays add nothing.
+def append_missing(rows: DataFrame, target: str, checkpoint: str, *, key: tuple[str, ...] = history.KEY, day: str = "date") -> StreamingQuery:
+    """Append rows whose key the Parquet table at `target` lacks; replays and late rows add nothing.
 
-    Of rows of one batch with equal keys one is added. The stored rows are only
-    read, never rewritten.
+    Of rows of one batch with equal keys one is added. A batch reads only the
+    stored rows of its own range of days: of files by day those, of others the
+    row groups of these days. Stored rows are only read, never rewritten.
     """
 
     def add(batch: DataFrame, _: int) -> None:
-        fresh = batch.dropDuplicates(list(key))
         spark = batch.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            fresh = history.missing_only(fresh, spark.read.schema(batch.schema).parquet(target), key)
-        fresh.write.mode("append").parquet(target)
+        fresh = kept = batch.dropDuplicates(list(key)).persist()
+        try:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+            if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+                first, last = fresh.agg(F.min(day), F.max(day)).first()
+                stored = spark.read.schema(batch.schema).parquet(target)
+                fresh_days = F.col(day).between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)
+                fresh = history.missing_only(fresh, stored.filter(fresh_days), key)
+            fresh.write.mode("append").parquet(target)
+        finally:
+            kept.unpersist()
 
     return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
