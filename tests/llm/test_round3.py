@@ -10,7 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidemark.llm import convtrie, packing, whitening
+from pyspark.sql import functions as F
+
+from tidemark.llm import convtrie, packing, pii, whitening
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, n string, component string"
 
@@ -231,3 +233,16 @@ def test_slots_are_minimal_and_verified():
     assert len(convtrie.SlotTable(keys[:0]).slots(keys[:5])) == 5
     with pytest.raises(ValueError):
         convtrie.SlotTable(np.concatenate([keys[:3], keys[:1]]))
+
+
+@pytest.mark.parametrize(("front", "want"), [
+    ("call " + "w" * 60 + " ", "call " + "w" * 60), ("my   number" + " " * 200, "my   number"), ("y" * 500 + " is ", "y" * 500 + " is"), ("only ", "only"), ("", ""), ("a b c d ", "c d"), ("v" * 90 + " ", "v" * 90),
+])
+def test_words_before_a_value_have_no_length_limit(spark, front, want):
+    """Whatever the length of words and gaps, the two whole words in front are read."""
+    for lead in ("", "z " * 100):
+        text = lead + front + "12345 rest"
+        start = len(lead + front) + 1
+        row = spark.createDataFrame([(text, start, text[:start][-90:])], "t string, s int, near string").select(pii._before(F.col("t"), F.col("s"), F.col("near")).alias("b")).first()
+        words = (lead + front).split()[-2:]
+        assert row.b.split() == words if lead else row.b == want

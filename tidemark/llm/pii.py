@@ -88,19 +88,22 @@ def base(text: Column) -> dict[str, Column]:
     return {k: F.filter(spans(text, k, PATTERNS[k], maybe[k]), _valid(k)) for k in KINDS}
 
 
-#: Characters that a pattern is read from: two words of up to 40 and a space each.
+#: Characters in front of a value that its words are looked for in first; where they don't hold two whole ones, all the text in front is read.
 _REACH = 82
 
 
 def _before(text: Column, start: Column, near: Column) -> Column:
-    """The two words in front of the token at `start`, lower-cased; those of up to 40 characters.
+    """The two words in front of the token at `start`, lower-cased, whatever their length and distance; one where there is one.
 
     `near` is the text that ends at `start`; where it is shorter than the reach, the text itself is read.
     """
     n = F.length(near)
     own = F.substring(text, F.greatest(start - (_REACH - 1), F.lit(1)), F.least(start, F.lit(_REACH)))
     ahead = F.when((n >= _REACH) | (n == start), F.substring(near, F.lit(-_REACH), F.lit(_REACH))).otherwise(own)
-    return F.lower(F.regexp_extract(ahead, rf"(?:^|[{_SPACE}])((?:{_WORD}{{1,40}}[{_SPACE}]+)?{_WORD}{{1,40}})[{_SPACE}]+{_WORD}*$", 1))
+    two = F.regexp_extract(ahead, rf"[{_SPACE}]({_WORD}+[{_SPACE}]+{_WORD}+)[{_SPACE}]+{_WORD}*$", 1)
+    every = F.when(start <= _REACH, ahead).otherwise(F.substring(text, F.lit(1), start))
+    whole = F.regexp_extract(every, rf"(?:^|[{_SPACE}])((?:{_WORD}+[{_SPACE}]+)?{_WORD}+)[{_SPACE}]+{_WORD}*$", 1)
+    return F.lower(F.when(two != "", two).otherwise(whole))
 
 
 def shape(value: Column) -> Column:

@@ -15,6 +15,8 @@ the centre by Mahalanobis distance are rejected.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,8 +29,8 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 AXES = ["x0", "x1", "x2", "x3", "x4"]
 REPEAT_WINDOW = 8
 #: Share of rows that an estimate rests on; rows of a group's sample, about; random starts, and how many of them go on;
-#: steps at most, and the fall of the logarithm of the determinant that ends them.
-SHARE, SAMPLE, STARTS, BEST, STEPS, ENOUGH = 0.75, 1500, 50, 5, 20, 1e-4
+#: the fall of the logarithm of the determinant under which steps end, however many that takes.
+SHARE, SAMPLE, STARTS, BEST, ENOUGH = 0.75, 1500, 50, 5, 1e-4
 #: Rows that a group of five axes needs (five for each axis); a smaller one is judged by its language, that by all rows.
 LEAST = 25
 #: Groups whose estimates are broadcast (300 bytes each); beyond, they are joined.
@@ -223,7 +225,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     p = len(AXES)
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     going = now  # every group alike: an estimate of a whole group has nowhere to fall
-    for step in range(STEPS):
+    for step in count():
         if going.isEmpty():
             break
         # sixty-fourths of an octave: the nearest share of rows ends with a whole bin
@@ -240,7 +242,7 @@ def estimates(rows: DataFrame) -> DataFrame:
         after = saved(sums.mapInPandas(_estimate, _PARAMETERS), "rules-step")
         falls = after.join(going.select("grp", "try", F.col("logdet").alias("was")), ["grp", "try"])
         still = F.col("was") - F.col("logdet") > ENOUGH if step else F.lit(True)  # the first one came from the sample
-        falls = saved(falls.withColumn("still", still & F.lit(step < STEPS - 1)).drop("was"), "rules-falls")
+        falls = saved(falls.withColumn("still", still).drop("was"), "rules-falls")
         done.append(falls.filter("not still").drop("still"))
         going = falls.filter("still").drop("still")
     every = done[0]
