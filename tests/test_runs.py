@@ -1,11 +1,13 @@
 """Backfill, streamed appends, staged publication, examples of failing rows, error paths."""
 
 import datetime as dt
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import backfill, cells, series, validate
+from tidemark.operators import backfill, cells, projection, series, validate
 from tidemark.sources import files
 from tidemark.streaming import incremental
 
@@ -127,3 +129,39 @@ def test_empty_results_and_missing_months(spark):
     assert cells.monthly_pivot(df, complete=False).first().mean_feb_sst_c is None
     with pytest.raises(Exception, match="no rows of cell a in feb"):
         cells.monthly_pivot(df).collect()
+
+
+def test_gls_equals_whitened_least_squares(spark):
+    """A gap in the months; the likelihood's best correlation against a fine search by brute force."""
+    rng = np.random.default_rng(3)
+    error, rows = 0.0, []
+    for i in range(150):
+        error = 0.6 * error + rng.normal() * 0.3
+        if i not in (20, 21, 77):
+            rows.append((1, D(2000 + i // 12, i % 12 + 1, 1), 15 + 0.02 * i / 12 + 3 * math.sin(i * math.pi / 6) + error, 2000 + i // 12, i % 12 + 1))
+    df = spark.createDataFrame([*rows, *[(2, *r[1:]) for r in rows[:14]]], "region_id int, month_date date, mean_sst_c double, year int, month int")
+    t = np.array([(r[3] - 2000) * 12 + r[4] - 1 for r in rows])
+    x = np.column_stack([np.ones(len(t)), t / 12, *[(t % 12 + 1 == m).astype(float) for m in range(2, 13)]])
+    y, n = np.array([r[2] for r in rows]), len(rows)
+
+    def fit(rho):
+        r = rho ** np.diff(t)
+        white = lambda v: np.concatenate([v[:1], (v[1:] - r.reshape(-1, *[1] * (v.ndim - 1)) * v[:-1]) / np.sqrt(1 - r * r).reshape(-1, *[1] * (v.ndim - 1))])
+        wx, wy = white(x), white(y)
+        beta = np.linalg.lstsq(wx, wy, rcond=None)[0]
+        rss = ((wy - wx @ beta) ** 2).sum()
+        return -0.5 * ((n - 13) * np.log(rss) + np.log(1 - r * r).sum() + np.linalg.slogdet(wx.T @ wx)[1]), beta, math.sqrt(rss / (n - 13))
+
+    for rho in (-0.3, 0.0, 0.7):
+        got, (value, beta, sigma) = projection.gls_fits(df, rho).collect(), fit(rho)
+        assert [g.region_id for g in got] == [1]  # the other has too few months
+        assert np.allclose(got[0].beta, beta, atol=1e-9) and math.isclose(got[0].sigma, sigma, rel_tol=1e-9) and math.isclose(got[0].likelihood, value, rel_tol=1e-9)
+    best = projection.gls_fits(df).first()
+    tried = np.linspace(-0.98, 0.98, 4001)
+    assert abs(best.rho - tried[np.argmax([fit(r)[0] for r in tried])]) < 5e-4
+    out = projection.gls(df, base=(2000, 2012)).orderBy("month_date").collect()
+    _, beta, sigma = fit(best.rho)
+    want = beta[0] + beta[1] * (t[-1] + 1) / 12 + beta[(t[-1] + 1) % 12 + 1] if (t[-1] + 1) % 12 else beta[0] + beta[1] * (t[-1] + 1) / 12
+    clim = np.mean([r[2] for r in rows if r[4] == out[0].month_date.month])
+    assert len(out) == 120 and math.isclose(out[0].predicted_sst_c, want, rel_tol=1e-9) and math.isclose(out[0].predicted_anomaly_c, want - clim, abs_tol=1e-9)
+    assert math.isclose(out[0].upper_sst_c - out[0].lower_sst_c, 3.92 * sigma, rel_tol=1e-9)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,51 +92,99 @@ def project(
     return observed.unionByName(projected)
 
 
-def _gls(df: pd.DataFrame, ahead: int) -> pd.DataFrame:
-    """One region: value on time and month with AR(1) errors by restricted likelihood over the correlation."""
-    df = df.dropna(subset=["mean_sst_c"]).sort_values("month_date")
-    dates = pd.to_datetime(df["month_date"])
-    index = ((dates.dt.year - dates.dt.year.iloc[0]) * 12 + dates.dt.month - dates.dt.month.iloc[0]).to_numpy() if len(df) else np.zeros(0, int)
-    names = ["region_id", "month_date", "predicted_sst_c", "lower_sst_c", "upper_sst_c", "rho", "sigma"]
-    if len(df) < 15 or dates.dt.month.nunique() < 12:
-        return pd.DataFrame({n: [] for n in names})
-
-    def design(idx, month):
-        return np.column_stack([np.ones(len(idx)), idx / 12, *[(month == m).astype(float) for m in range(2, 13)]])
-
-    x, y = design(index, dates.dt.month.to_numpy()), df["mean_sst_c"].to_numpy()
-    gap = np.diff(index)
-    n, p = x.shape
-
-    def fit(rho):
-        r = rho**gap
-        scale = np.sqrt(1 - r * r)
-        white = lambda v: np.concatenate([v[:1], (v[1:] - (r * v[:-1].T).T) / (scale if v.ndim == 1 else scale[:, None])])
-        wx, wy = white(x), white(y)
-        beta, *_ = np.linalg.lstsq(wx, wy, rcond=None)
-        rss = float(np.square(wy - wx @ beta).sum())
-        value = -0.5 * ((n - p) * np.log(max(rss, 1e-300)) + 2 * np.log(scale).sum() + np.linalg.slogdet(wx.T @ wx)[1])
-        return value, beta, np.sqrt(rss / (n - p))
-
-    low, high = -0.98, 0.98
-    grid = np.linspace(low, high, 99)
-    for _ in range(3):
-        best = grid[int(np.argmax([fit(r)[0] for r in grid]))]
-        step = grid[1] - grid[0]
-        grid = np.linspace(max(low, best - step), min(high, best + step), 41)
-    _, beta, sigma = fit(best)
-    future = np.arange(index[-1] + 1, index[-1] + 1 + ahead)
-    months = (dates.dt.month.iloc[0] - 1 + future) % 12 + 1
-    mean = design(future, months) @ beta
-    when = [(dates.iloc[0] + pd.DateOffset(months=int(i))).date() for i in future]
-    return pd.DataFrame({"region_id": df["region_id"].iloc[0], "month_date": when, "predicted_sst_c": mean, "lower_sst_c": mean - 1.96 * sigma, "upper_sst_c": mean + 1.96 * sigma, "rho": best, "sigma": sigma})
-
-
-def gls(series: DataFrame, *, base: tuple[int, int] = (BASE_START, BASE_END), ahead: int = AHEAD) -> DataFrame:
-    """Exploratory model for each region; the band and value also as anomalies from the baseline's months. A group is one region's months."""
-    schema = "region_id long, month_date date, predicted_sst_c double, lower_sst_c double, upper_sst_c double, rho double, sigma double"
-    rows = series.select(F.col("region_id").cast("long").alias("region_id"), "month_date", "mean_sst_c").groupBy("region_id")
-    out = rows.applyInPandas(lambda df: _gls(df, ahead), schema).withColumn("month", F.month("month_date"))
-    clim = series.filter(F.col("year").between(*base)).groupBy("region_id", "month").agg(F.avg("mean_sst_c").alias("clim_mean_sst_c"))
+#: Bound of the correlation of neighbouring months, and how many values are tried, each time closer round the best.
+RHO, TRIED = 0.98, (99, 41, 41, 41)
+#: Constant, time, eleven months; then the value itself.
+_TERMS = 13
+
+
+def _moments(series: DataFrame) -> DataFrame:
+    """region_id, gap, i, j, s0, s1, s2, n: sums of products of regressors and value, of a month, of it and the one before, of that one.
+
+    Months stand apart by `gap`; a region's first month has gap 0 and s0 alone.
+    With a correlation r = rho ** gap, a month less r times the one before is
+    uncorrelated with it, so that (s0 - r s1 + r r s2) / (1 - r r), over all
+    gaps, are the cross-moments of generalised least squares.
+    """
+    by = Window.partitionBy("region_id").orderBy("month_date")
+    rows = series.filter(F.col("mean_sst_c").isNotNull() & ~F.isnan("mean_sst_c")).select(F.col("region_id").cast("long").alias("region_id"), "month_date", "mean_sst_c")
+    number = F.year("month_date") * 12 + F.month("month_date")
+    rows = rows.withColumn("t", number - F.first(number).over(by))
+    dummies = [(F.month("month_date") == m).cast("double") for m in range(2, 13)]
+    rows = rows.withColumn("z", F.array(F.lit(1.0), F.col("t") / 12, *dummies, F.col("mean_sst_c").cast("double")))
+    rows = rows.withColumns({"w": F.lag("z").over(by), "gap": F.coalesce(F.col("t") - F.lag("t").over(by), F.lit(0)).cast("int")})
+    at = F.sequence(F.lit(0), F.lit(_TERMS))
+    rows = rows.withColumn("i", F.explode(at)).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("i"))))
+    z, w = (lambda k: F.get("z", F.col(k))), (lambda k: F.coalesce(F.get("w", F.col(k)), F.lit(0.0)))
+    return rows.groupBy("region_id", "gap", "i", "j").agg(F.sum(z("i") * z("j")).alias("s0"), F.sum(z("i") * w("j") + z("j") * w("i")).alias("s1"), F.sum(w("i") * w("j")).alias("s2"), F.count(F.lit(1)).alias("n"))
+
+
+def _fits(moments: DataFrame, rhos: DataFrame) -> DataFrame:
+    """region_id, rho, likelihood (restricted, but for a constant), beta, sigma of each region and value of rho.
+
+    Elimination of the regressors from the matrix of cross-moments leaves their
+    coefficients in its last column and the residual sum of squares in its last
+    corner; the pivots multiply to the determinant.
+    """
+    r = F.when(F.col("gap") == 0, 0.0).otherwise(F.pow("rho", "gap"))
+    rows = moments.join(rhos, "region_id").withColumn("r", r)
+    cell = rows.groupBy("region_id", "rho", "i", "j").agg(
+        F.sum((F.col("s0") - F.col("r") * F.col("s1") + F.col("r") * F.col("r") * F.col("s2")) / (1 - F.col("r") * F.col("r"))).alias("v"), F.sum("n").alias("n"), F.sum(F.col("n") * F.log(1 - F.col("r") * F.col("r"))).alias("scale")
+    )
+    both = cell.withColumn("e", F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))))
+    line = both.groupBy("region_id", "rho", F.col("e.i").alias("i")).agg(F.sort_array(F.collect_list(F.struct("e.j", "v"))).alias("row"), F.max("n").alias("n"), F.max("scale").alias("scale"))
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("i", "row"))), lambda x: F.transform(x["row"], lambda c: c["v"]))
+    whole = line.groupBy("region_id", "rho").agg(lines.alias("m"), F.max("n").alias("n"), F.max("scale").alias("scale"))
+
+    def eliminate(state, k):
+        pivot = F.get(F.get(state["m"], k), k)
+        base = F.transform(F.get(state["m"], k), lambda v: v / pivot)
+        each = lambda row, i: F.when(i == k, base).otherwise(F.zip_with(row, base, lambda v, b: v - F.get(row, k) * b))
+        return F.struct(F.transform(state["m"], each).alias("m"), (state["det"] + F.log(pivot)).alias("det"))
+
+    start = F.struct(F.col("m").alias("m"), F.lit(0.0).alias("det"))
+    done = whole.withColumn("d", F.aggregate(F.sequence(F.lit(0), F.lit(_TERMS - 1)), start, eliminate))
+    rss = F.greatest(F.get(F.get("d.m", F.lit(_TERMS)), F.lit(_TERMS)), F.lit(1e-300))
+    free = F.col("n") - _TERMS
+    beta = F.transform(F.slice("d.m", 1, _TERMS), lambda row: F.get(row, _TERMS))
+    return done.select("region_id", "rho", (-0.5 * (free * F.log(rss) + F.col("scale") + F.col("d.det"))).alias("likelihood"), beta.alias("beta"), F.sqrt(rss / free).alias("sigma"))
+
+
+def gls_fits(series: DataFrame, rho: float | None = None) -> DataFrame:
+    """region_id, rho, likelihood, beta, sigma of each region with every month of the year and more than 14 months.
+
+    The mean depends on time and the month; errors of months t apart correlate
+    by rho ** t, with rho of the greatest restricted likelihood, or as given.
+    """
+    fit = series.filter(F.col("mean_sst_c").isNotNull() & ~F.isnan("mean_sst_c")).groupBy(F.col("region_id").cast("long").alias("region_id")).agg(F.count(F.lit(1)).alias("_n"), F.countDistinct(F.month("month_date")).alias("_m"))
+    regions = fit.filter("_n > 14 and _m = 12").select("region_id")
+    moments = _moments(series)
+    if rho is not None:
+        return _fits(moments, regions.withColumn("rho", F.lit(float(rho))))
+    around, width = F.lit(0.0), RHO
+    best = None
+    for tried in TRIED:
+        low, high = F.greatest(around - width, F.lit(-RHO)), F.least(around + width, F.lit(RHO))
+        grid = F.transform(F.sequence(F.lit(0), F.lit(tried - 1)), lambda i: low + (high - low) * i / (tried - 1))  # noqa: B023
+        of = regions if best is None else best.select("region_id", F.col("rho").alias("_at"))
+        fits = _fits(moments, of.select("region_id", F.explode(grid).alias("rho")))
+        best = fits.groupBy("region_id").agg(F.max_by(F.struct("rho", "likelihood", "beta", "sigma"), F.struct("likelihood", -F.abs("rho"))).alias("b")).select("region_id", "b.*")
+        around, width = F.col("_at"), width * 2 / (tried - 1)
+    return best
+
+
+def gls(series: DataFrame, *, base: tuple[int, int] = (BASE_START, BASE_END), ahead: int = AHEAD, rho: float | None = None) -> DataFrame:
+    """Exploratory model for each region; the band and value also as anomalies from the baseline's months. Regions that lack a month have no rows."""
+    fits = gls_fits(series, rho)
+    seen = series.filter(F.col("mean_sst_c").isNotNull() & ~F.isnan("mean_sst_c")).groupBy(F.col("region_id").cast("long").alias("region_id")).agg(F.min("month_date").alias("_first"), F.max("month_date").alias("_last"))
+    rows = fits.join(seen, "region_id").withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(ahead))))
+    rows = rows.withColumn("month_date", F.add_months("_last", F.col("_k").cast("int"))).withColumn("month", F.month("month_date"))
+    t = (F.year("month_date") - F.year("_first")) * 12 + F.month("month_date") - F.month("_first")
+    of_month = F.when(F.col("month") == 1, 0.0).otherwise(F.get("beta", F.greatest(F.col("month"), F.lit(2))))
+    mean = F.get("beta", F.lit(0)) + F.get("beta", F.lit(1)) * t / 12 + of_month
+    out = rows.withColumn("predicted_sst_c", mean).select(
+        "region_id", "month_date", "predicted_sst_c", (F.col("predicted_sst_c") - 1.96 * F.col("sigma")).alias("lower_sst_c"), (F.col("predicted_sst_c") + 1.96 * F.col("sigma")).alias("upper_sst_c"), "rho", "sigma", "month"
+    )
+    clim = series.filter(F.col("year").between(*base)).groupBy(F.col("region_id").cast("long").alias("region_id"), "month").agg(F.avg("mean_sst_c").alias("clim_mean_sst_c"))
     out = out.join(clim, ["region_id", "month"], "left")
     return out.withColumns({k.replace("sst_c", "anomaly_c"): F.col(k) - F.col("clim_mean_sst_c") for k in ("predicted_sst_c", "lower_sst_c", "upper_sst_c")})

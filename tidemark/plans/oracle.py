@@ -256,6 +256,11 @@ def over_repaired(text: str) -> str:
     return text.replace("), daily AS (", "), daily_kept AS (", 1).replace("), noleap AS (", _FILLED, 1)
 
 
+def over_years(text: str) -> str:
+    """A query with the cells of the baseline's years only."""
+    return text.replace("), cells AS (", "), every_cell AS (", 1).replace("), annual_all AS (", f"), cells AS (SELECT * FROM every_cell WHERE year(date) BETWEEN {proxy.YEARS[0]} AND {proxy.YEARS[1]}), annual_all AS (", 1)
+
+
 def rounded(table: str, columns: list[str], digits: int = 6, *, doubles: tuple[str, ...] = ()) -> str:
     """Select columns, the named ones rounded."""
     return sql("SELECT " + ", ".join(f"round({c}, {digits}) AS {c}" if c in doubles else c for c in columns) + f" FROM {table}")

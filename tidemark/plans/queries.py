@@ -736,6 +736,43 @@ def projection_query(spark, sf):
     return D6(projection.project(proxy.monthly(spark, sf), base=_PB), 5)
 
 
+_RHO = 0.4
+_GLS = f"""
+, gx AS (
+    SELECT region_id, month_date, k, (year * 12 + month) - min(year * 12 + month) OVER (PARTITION BY region_id) AS t, CASE k WHEN 0 THEN 1.0 WHEN 13 THEN mean_sst_c ELSE (month = k)::INT::DOUBLE END AS v0, month, mean_sst_c
+    FROM monthly, range(14) r(k)
+), gv AS (
+    SELECT region_id, k, t, v, lag(v) OVER w AS lv, t - lag(t) OVER w AS gap FROM (SELECT region_id, k, t, CASE WHEN k = 1 THEN t / 12.0::DOUBLE ELSE v0 END AS v FROM gx) WINDOW w AS (PARTITION BY region_id, k ORDER BY t)
+), gw AS (
+    SELECT region_id, k, t, CASE WHEN gap IS NULL THEN v ELSE (v - pow({_RHO}::DOUBLE, gap) * lv) / sqrt(1 - pow({_RHO}::DOUBLE, 2 * gap)) END AS v FROM gv
+), g0 AS MATERIALIZED (
+    SELECT a.region_id, a.k AS i, b.k AS j, sum(a.v * b.v) AS v FROM gw a JOIN gw b USING (region_id, t) GROUP BY ALL
+), {", ".join(f"""g{k + 1} AS MATERIALIZED (
+    SELECT a.region_id, a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - b.v * c.v / p.v END AS v
+    FROM g{k} a JOIN g{k} p ON p.region_id = a.region_id AND p.i = {k} AND p.j = {k} JOIN g{k} b ON b.region_id = a.region_id AND b.i = a.i AND b.j = {k} JOIN g{k} c ON c.region_id = a.region_id AND c.i = {k} AND c.j = a.j
+)""" for k in range(13))}, gb AS (
+    SELECT region_id, i, v FROM g13 WHERE j = 13
+), gn AS (
+    SELECT region_id, count(*) AS n, min(month_date) AS first, max(month_date) AS last, sqrt(any_value(r.v) / (count(*) - 13)) AS sigma FROM monthly JOIN (SELECT region_id, v FROM gb WHERE i = 13) r USING (region_id)
+    GROUP BY region_id HAVING count(*) > 14 AND count(DISTINCT month) = 12
+), gf AS (
+    SELECT region_id, sigma, (last + to_months(k::INT))::DATE AS month_date, first FROM gn, range(1, 121) r(k)
+), gp AS (
+    SELECT f.region_id, f.month_date, f.sigma, b0.v + b1.v * ((year(f.month_date) - year(f.first)) * 12 + month(f.month_date) - month(f.first)) / 12.0 + coalesce(bm.v, 0) AS p, clim
+    FROM gf f JOIN gb b0 ON b0.region_id = f.region_id AND b0.i = 0 JOIN gb b1 ON b1.region_id = f.region_id AND b1.i = 1 LEFT JOIN gb bm ON bm.region_id = f.region_id AND bm.i = month(f.month_date) AND month(f.month_date) > 1
+    LEFT JOIN (SELECT region_id, month, avg(mean_sst_c) AS clim FROM monthly WHERE year BETWEEN {_PB[0]} AND {_PB[1]} GROUP BY ALL) c ON c.region_id = f.region_id AND c.month = month(f.month_date)
+)
+SELECT region_id::BIGINT AS region_id, month_date, round(p, 6) AS predicted_sst_c, round(p - 1.96 * sigma, 6) AS lower_sst_c, round(p + 1.96 * sigma, 6) AS upper_sst_c, round(sigma, 6) AS sigma,
+    round(p - clim, 6) AS predicted_anomaly_c, round(p - 1.96 * sigma - clim, 6) AS lower_anomaly_c, round(p + 1.96 * sigma - clim, 6) AS upper_anomaly_c
+FROM gp"""
+
+
+@query("gls_given_correlation", S(_GLS))
+def gls_given_correlation(spark, sf):
+    """The model with a stated correlation of neighbouring months."""
+    return D6(projection.gls(proxy.monthly(spark, sf), base=_PB, rho=_RHO).select("region_id", "month_date", *[f"{p}_{q}_c" for p in ("predicted", "lower", "upper") for q in ("sst", "anomaly")], "sigma"))
+
+
 @query("gls_projection")
 def gls_projection(spark, sf):
     return projection.gls(proxy.monthly(spark, sf), base=_PB)
@@ -841,6 +878,29 @@ def cell_branch(spark, sf):
     return D6(out.select("cell_id", "longitude", "latitude", "geom_wkt", "historical_observation_count", "mean_sst_c", "minimum_sst_c", "maximum_sst_c"))
 
 
+def _valid_year(rows: DataFrame, year: int) -> bool:
+    own = rows.filter(F.year("date") == year)
+    report = validate.suite(
+        validate.empty(own), validate.conditions(rows, {"other_year": F.year("date") != year, "null": F.col("sst_c").isNull() | F.isnan("sst_c")}), validate.duplicates(own, ["date", "cell_id"], "duplicate_keys")
+    )
+    return report.filter(~F.col("ok")).isEmpty()
+
+
+@query("cell_publication", oracle.over_years(oracle.rounded(_SUMMARY_SQL, cells.SUMMARY, doubles=_SUMMARY_D)))
+def cell_publication(spark, sf):
+    """Years of cells built where they are not there and valid, features and trends of them, checked as written, published: the serving view."""
+    table, target, years = f"{work_dir(spark)}/years", files.Publication(spark, work_dir(spark)), range(proxy.YEARS[0], proxy.YEARS[1] + 1)
+    days = proxy.cells(spark, sf)
+    build = lambda year: days.filter(F.year("date") == year)
+    backfill.build_years(spark, build, [*years][::2], table, _valid_year)
+    backfill.build_years(spark, build, years, table, _valid_year)  # half of them are there
+    rows = spark.read.schema(days.schema).parquet(table)
+    out = {"cell_features": cells.features(rows), "cell_trends": cells.trends(cells.annual_means(rows), *proxy.YEARS)}
+    target.publish(files.publication_plan(final=out), check=lambda s: validate.require(validate.publication(s["cell_features"], s["cell_trends"], 0.25)))
+    places = rows.select("cell_id", "longitude", "latitude").distinct()
+    return D6(cells.summary(places, target.read("cell_features"), target.read("cell_trends")))
+
+
 @query("load_modes", S("SELECT 'append' AS mode, 2 * count(*) AS rows FROM daily UNION ALL SELECT 'backup', count(*) FROM daily UNION ALL SELECT 'replace', count(*) FROM clim"))
 def load_modes(spark, sf):
     """A table replaced, appended to, backed up and replaced again."""
