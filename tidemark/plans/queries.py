@@ -662,10 +662,35 @@ def classify_cells(spark, sf):
     return out.select("cell_id", "is_land", F.round("distance_to_land_km", 4).alias("distance_to_land_km"), "included_in_coastal_domain")
 
 
-@query("mainland_split")
+def _turned(p: str, q: str, r: str, t: str, u: str, v: str) -> str:
+    return f"(({r} - {p}) * ({v} - {q}) - ({t} - {q}) * ({u} - {p}))"
+
+
+_E, _A = ("e.ex", "e.ey", "e.ex2", "e.ey2"), ("a.ex", "a.ey", "a.ex2", "a.ey2")
+_GAP = f"""CASE WHEN {_turned(*_E, *_A[:2])} * {_turned(*_E, *_A[2:])} < 0 AND {_turned(*_A, *_E[:2])} * {_turned(*_A, *_E[2:])} < 0 THEN 0.0
+    ELSE least({oracle._segment(*_E[:2], *_A)}, {oracle._segment(*_E[2:], *_A)}, {oracle._segment(*_A[:2], *_E)}, {oracle._segment(*_A[2:], *_E)}) END"""
+_MAINLAND = f"""
+, mr AS (
+    SELECT polygon, 0 AS r, w AS x0, e AS x1, s AS y0, n AS y1 FROM boxes UNION ALL SELECT polygon, 1, w + (e - w) / 3, w + (e - w) / 3 * 2, s + 0.01, n - 0.01 FROM boxes WHERE polygon % 3 = 0
+    UNION ALL SELECT polygon, 2, w, e, s + 0.25, n + 0.25 FROM boxes WHERE polygon % 4 = 0
+), ml AS (
+    SELECT polygon, r AS n, x0 AS x, y0 AS y, x1 AS x2, y0 AS y2 FROM mr UNION ALL SELECT polygon, r, x1, y0, x1, y1 FROM mr UNION ALL SELECT polygon, r, x1, y1, x0, y1 FROM mr UNION ALL SELECT polygon, r, x0, y1, x0, y0 FROM mr
+), me AS MATERIALIZED ({oracle._projected_edges('ml')}
+), ms AS (
+    SELECT polygon, sum(CASE WHEN n = 1 THEN -a ELSE a END) AS area FROM (SELECT polygon, n, abs(sum(ex * ey2 - ex2 * ey)) / 2 AS a FROM me GROUP BY ALL) GROUP BY polygon
+), mt AS (
+    SELECT polygon FROM ms ORDER BY area DESC, polygon LIMIT 3
+), md AS (
+    SELECT e.polygon, min({_GAP}) / 1000 AS km FROM me e, (SELECT * FROM me WHERE polygon IN (SELECT polygon FROM mt)) a GROUP BY e.polygon
+)
+SELECT polygon, round(area / 1e6, 3) AS area_km2, CASE WHEN km <= 80 THEN round(km, 3) END AS distance_km, km <= 80 AS kept FROM ms JOIN md USING (polygon)"""
+
+
+@query("mainland_split", S(_MAINLAND.replace("\n, mr", ", mr", 1)))
 def mainland_split(spark, sf):
-    edges = spatial.edges(proxy.boxes(spark, sf))
-    return spatial.mainland(edges).select("polygon", F.round("area_m2", 0).alias("area_m2"), F.round("distance_km", 3).alias("distance_km"), "kept")
+    """Polygons with holes and several parts: area, distance to the three largest, and whether they are kept."""
+    out = spatial.mainland(spatial.edges(proxy.ringed(spark, sf)))
+    return out.select("polygon", F.round(F.col("area_m2") / 1e6, 3).alias("area_km2"), F.round("distance_km", 3).alias("distance_km"), "kept")
 
 
 @query("extent_filter", S("SELECT polygon FROM boxes WHERE w <= 170 AND e >= 161 AND s <= -44 AND n >= -49"))
@@ -736,6 +761,22 @@ def projection_query(spark, sf):
     return D6(projection.project(proxy.monthly(spark, sf), base=_PB), 5)
 
 
+_LB = (1985, 1999)
+_WEEKS = "(SELECT *, year(month_date)::INT AS year, month(month_date)::INT AS month FROM (SELECT region_id, (DATE '1980-01-01' + to_months((date - DATE '1995-01-01') // 7))::DATE AS month_date, avg(mean_sst_c) AS mean_sst_c FROM daily GROUP BY ALL))"
+_PW = (
+    _P.replace("FROM monthly", f"FROM {_WEEKS}").replace(f"year >= {_PB[0]} AS recent", f"year >= {_LB[0]} AS recent").replace("-- five baseline years are fewer than ten, so all years count\n", "")
+    .replace("avg(mean_sst_c) AS clim FROM ps GROUP BY ALL", f"avg(mean_sst_c) AS clim FROM ps WHERE year BETWEEN {_LB[0]} AND {_LB[1]} GROUP BY ALL").replace("FROM pr GROUP BY ALL", "FROM pr WHERE recent GROUP BY ALL")
+)
+
+
+@query("projection_of_decades", S(_PW.replace("\n, ps AS", ", ps AS", 1)))
+def projection_of_decades(spark, sf):
+    """The projection with fifteen baseline years: weeks of the daily table stand for months."""
+    week = F.floor(F.datediff("date", F.lit("1995-01-01").cast("date")) / 7).cast("int")
+    rows = proxy.daily(spark, sf).groupBy("region_id", F.add_months(F.lit("1980-01-01").cast("date"), week).alias("month_date")).agg(F.avg("mean_sst_c").alias("mean_sst_c"))
+    return D6(projection.project(rows.withColumns({"year": F.year("month_date"), "month": F.month("month_date")}), base=_LB), 5)
+
+
 _RHO = 0.4
 _GLS = f"""
 , gx AS (
