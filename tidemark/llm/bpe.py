@@ -232,7 +232,11 @@ def _counted(batches):
 
 
 def shared_chunks(docs: DataFrame, tokenizer: str | None = None, most: int = MAX_SHARED) -> dict[bytes, tuple[int, str, str]]:
-    """Chunks that occur twice or more and make up at least 1 / most of all chunks, each encoded once: `most` at most, at any size of the corpus."""
+    """Chunks that occur twice or more and make up at least 1 / most of all chunks, each encoded once: `most` at most, at any size of the corpus.
+
+    Null and empty texts have no chunk, repeated rows count, an empty table
+    gives none; other columns are not read.
+    """
     need(docs, "doc_id", "text")
     path = tokenizer or default_tokenizer()
     small_batches(docs.sparkSession)
@@ -301,7 +305,11 @@ def _sha(strings: pa.Array) -> pa.Array:
 
 
 def encode_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and digests of ids and decoded text; hashed where they are made, so that no id leaves Python."""
+    """doc_id, n_tokens and digests of ids and decoded text; hashed where they are made, so that no id leaves Python.
+
+    Null and empty texts have 0 tokens and digests of "", each row gives one
+    (repeated and null doc_id too), an empty table none; other columns go.
+    """
     path = tokenizer or default_tokenizer()
     small_batches(docs.sparkSession)
     shared = shared_chunks(docs, path)

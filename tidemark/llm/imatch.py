@@ -247,7 +247,8 @@ def neighbours(docs: DataFrame, known: np.ndarray, ranges: int | None = None) ->
     sample of ids; a range's first document is also sent to the range before,
     and the first of all to the last, so that one shuffle of the texts brings
     each document to the one that follows it. The driver holds three numbers
-    for each range.
+    for each range. A null text counts as empty, repeated rows are documents of
+    their own, an empty table gives no row, and other columns don't come along.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession

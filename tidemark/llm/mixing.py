@@ -184,7 +184,10 @@ def mixed(docs: DataFrame, *, shards: int | None = None, **options) -> DataFrame
     """The mix itself: the columns of docs, a row for each time that a document is taken, shard by shard and shuffled within each.
 
     Without `shards`, there are as many as give each about the text that the
-    session reads of a file at once, 8 at least.
+    session reads of a file at once, 8 at least. A null source is one of its own,
+    a null or empty text is never taken, repeated rows count as rows of their
+    own, an empty table gives none, and columns named like the mix's own keep
+    their values.
     """
     if shards is None:
         shards = max(8, -(-(docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // task_bytes(docs.sparkSession)))

@@ -175,7 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, *, most: int = SAMPLE_DOCS, chars:
     """Fit on at most `most` labelled documents outside the held-out fifth, chosen by a hash of doc_id.
 
     Labels other than 0 and 1, documents with both and null texts are left out.
-    Without any labelled row the network is the initial one. A text of more than
+    Without any labelled row, as with an empty table, the network is the initial
+    one; rows repeated count as often as they stand; other columns are not read. A text of more than
     `chars` code points is fitted by PIECES stretches that lie evenly over it.
     """
     need(labels, "doc_id", "quality")
