@@ -99,24 +99,25 @@ _TERMS = 13
 
 
 def _moments(series: DataFrame) -> DataFrame:
-    """region_id, gap, i, j, s0, s1, s2, n: sums of products of regressors and value, of a month, of it and the one before, of that one.
+    """region_id, y0, gap, i, j, s0, s1, s2, n: sums of products of regressors and value, of a month, of it and the one before, of that one.
 
     Months stand apart by `gap`; a region's first month has gap 0 and s0 alone.
     With a correlation r = rho ** gap, a month less r times the one before is
     uncorrelated with it, so that (s0 - r s1 + r r s2) / (1 - r r), over all
-    gaps, are the cross-moments of generalised least squares.
+    gaps, are the cross-moments of generalised least squares. Values are less
+    their mean y0, so that little is lost where products cancel.
     """
     by = Window.partitionBy("region_id").orderBy("month_date")
     rows = series.filter(F.col("mean_sst_c").isNotNull() & ~F.isnan("mean_sst_c")).select(F.col("region_id").cast("long").alias("region_id"), "month_date", "mean_sst_c")
     number = F.year("month_date") * 12 + F.month("month_date")
-    rows = rows.withColumn("t", number - F.first(number).over(by))
+    rows = rows.withColumns({"t": number - F.first(number).over(by), "y0": F.avg("mean_sst_c").over(Window.partitionBy("region_id"))})
     dummies = [(F.month("month_date") == m).cast("double") for m in range(2, 13)]
-    rows = rows.withColumn("z", F.array(F.lit(1.0), F.col("t") / 12, *dummies, F.col("mean_sst_c").cast("double")))
+    rows = rows.withColumn("z", F.array(F.lit(1.0), F.col("t") / 12, *dummies, F.col("mean_sst_c").cast("double") - F.col("y0")))
     rows = rows.withColumns({"w": F.lag("z").over(by), "gap": F.coalesce(F.col("t") - F.lag("t").over(by), F.lit(0)).cast("int")})
     at = F.sequence(F.lit(0), F.lit(_TERMS))
     rows = rows.withColumn("i", F.explode(at)).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("i"))))
     z, w = (lambda k: F.get("z", F.col(k))), (lambda k: F.coalesce(F.get("w", F.col(k)), F.lit(0.0)))
-    return rows.groupBy("region_id", "gap", "i", "j").agg(F.sum(z("i") * z("j")).alias("s0"), F.sum(z("i") * w("j") + z("j") * w("i")).alias("s1"), F.sum(w("i") * w("j")).alias("s2"), F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("region_id", "y0", "gap", "i", "j").agg(F.sum(z("i") * z("j")).alias("s0"), F.sum(z("i") * w("j") + z("j") * w("i")).alias("s1"), F.sum(w("i") * w("j")).alias("s2"), F.count(F.lit(1)).alias("n"))
 
 
 def _fits(moments: DataFrame, rhos: DataFrame) -> DataFrame:
@@ -124,17 +125,18 @@ def _fits(moments: DataFrame, rhos: DataFrame) -> DataFrame:
 
     Elimination of the regressors from the matrix of cross-moments leaves their
     coefficients in its last column and the residual sum of squares in its last
-    corner; the pivots multiply to the determinant.
+    corner; the pivots multiply to the determinant. A sum of squares that is
+    lost in the rounding of what it is left of counts as that rounding.
     """
     r = F.when(F.col("gap") == 0, 0.0).otherwise(F.pow("rho", "gap"))
     rows = moments.join(rhos, "region_id").withColumn("r", r)
-    cell = rows.groupBy("region_id", "rho", "i", "j").agg(
+    cell = rows.groupBy("region_id", "y0", "rho", "i", "j").agg(
         F.sum((F.col("s0") - F.col("r") * F.col("s1") + F.col("r") * F.col("r") * F.col("s2")) / (1 - F.col("r") * F.col("r"))).alias("v"), F.sum("n").alias("n"), F.sum(F.col("n") * F.log(1 - F.col("r") * F.col("r"))).alias("scale")
     )
     both = cell.withColumn("e", F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))))
-    line = both.groupBy("region_id", "rho", F.col("e.i").alias("i")).agg(F.sort_array(F.collect_list(F.struct("e.j", "v"))).alias("row"), F.max("n").alias("n"), F.max("scale").alias("scale"))
+    line = both.groupBy("region_id", "y0", "rho", F.col("e.i").alias("i")).agg(F.sort_array(F.collect_list(F.struct("e.j", "v"))).alias("row"), F.max("n").alias("n"), F.max("scale").alias("scale"))
     lines = F.transform(F.sort_array(F.collect_list(F.struct("i", "row"))), lambda x: F.transform(x["row"], lambda c: c["v"]))
-    whole = line.groupBy("region_id", "rho").agg(lines.alias("m"), F.max("n").alias("n"), F.max("scale").alias("scale"))
+    whole = line.groupBy("region_id", "y0", "rho").agg(lines.alias("m"), F.max("n").alias("n"), F.max("scale").alias("scale"))
 
     def eliminate(state, k):
         pivot = F.get(F.get(state["m"], k), k)
@@ -144,9 +146,10 @@ def _fits(moments: DataFrame, rhos: DataFrame) -> DataFrame:
 
     start = F.struct(F.col("m").alias("m"), F.lit(0.0).alias("det"))
     done = whole.withColumn("d", F.aggregate(F.sequence(F.lit(0), F.lit(_TERMS - 1)), start, eliminate))
-    rss = F.greatest(F.get(F.get("d.m", F.lit(_TERMS)), F.lit(_TERMS)), F.lit(1e-300))
+    corner = lambda m: F.get(F.get(m, F.lit(_TERMS)), F.lit(_TERMS))
+    rss = F.greatest(corner("d.m"), corner("m") * F.col("n") * 2.0**-52, F.lit(1e-300))
     free = F.col("n") - _TERMS
-    beta = F.transform(F.slice("d.m", 1, _TERMS), lambda row: F.get(row, _TERMS))
+    beta = F.transform(F.slice("d.m", 1, _TERMS), lambda row, i: F.get(row, _TERMS) + F.when(i == 0, F.col("y0")).otherwise(0.0))
     return done.select("region_id", "rho", (-0.5 * (free * F.log(rss) + F.col("scale") + F.col("d.det"))).alias("likelihood"), beta.alias("beta"), F.sqrt(rss / free).alias("sigma"))
 
 
