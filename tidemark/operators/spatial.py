@@ -116,8 +116,8 @@ def segment_distance(px: Column, py: Column) -> Column:
     return F.sqrt(F.pow(px - F.col("x") - t * dx, 2) + F.pow(py - F.col("y") - t * dy, 2))
 
 
-#: Sides of the squares that edges lie in, as powers of two metres: the largest are 25 at most over the plane, each holds 16 of the next.
-LARGEST, SMALLEST, FACTOR = 23, 13, 2
+#: Sides of the squares that edges lie in, as powers of two metres: the largest are 25 at most over the plane, each holds 64 of the next.
+LARGEST, SMALLEST, FACTOR = 23, 14, 3
 
 
 def squares_of_edges(edge_rows: DataFrame) -> DataFrame:
@@ -167,7 +167,8 @@ def distances(cells: DataFrame, land: DataFrame, max_km: float, *, beyond: bool
     Distances are in the projected plane, to edges in squares that may hold the
     nearest one.
     """
-    e = squares_of_edges(projected(land.select("x", "y", "x2", "y2"), [("x", "y"), ("x2", "y2")]))
+    e = squares_of_edges(projected(land.select("x", "y", "x2", "y2"), [("x", "y"), ("x2", "y2")])).persist()
+    e.count()  # each level of squares reads it; by its size Spark chooses how to join
     at = geo.with_nztm(cells.select("longitude", "latitude").distinct(), "longitude", "latitude", "_px", "_py")
     near = nearest_squares(at.select("_px", "_py").distinct(), e)
     met = near.join(e, ["gx", "gy"]).groupBy("_px", "_py").agg((F.min(segment_distance(F.col("_px"), F.col("_py"))) / 1000).alias("_km"))
