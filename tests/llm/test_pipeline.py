@@ -51,5 +51,5 @@ def test_stages_over_odd_tables(spark):
     scored, lined, joined, mixed, encoded = through(spark, rows)
     assert set(range(6)) <= set(scored) and scored.count(0) in (2, 3)
     # of the copies of text 1 the one of the least id stays, and null is the least
-    assert joined.count(0) == 1 and {0, 2, 3, 4, 5} <= set(joined) and joined.count(None) == 1 and 1 not in joined and not {50, 51, 52} & set(mixed)
+    assert joined.count(0) == 1 and {0, 2, 3, 4, 5} <= set(joined) and joined.count(None) == 1 and 1 not in joined
     assert set(mixed) <= set(joined) and encoded == mixed

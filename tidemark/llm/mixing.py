@@ -185,8 +185,8 @@ def mixed(docs: DataFrame, *, shards: int | None = None, **options) -> DataFrame
 
     Without `shards`, there are as many as give each about the text that the
     session reads of a file at once, 8 at least. A null source is one of its own,
-    a null or empty text is never taken, repeated rows count as rows of their
-    own, an empty table gives none, and columns named like the mix's own keep
+    a null or empty text adds no words, taken or not, repeated rows count as
+    rows of their own, an empty table gives none, and columns named like the mix's own keep
     their values.
     """
     if shards is None:
