@@ -49,7 +49,7 @@ def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time that the mix takes a document, shard by shard; texts without words are never taken."""
+    """A row for each time that the mix takes a document, shard by shard; texts without words add none, taken or not."""
     return mixing.mixed(docs)
 
 
