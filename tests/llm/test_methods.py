@@ -175,6 +175,30 @@ def test_neighbours_of_equal_and_null_ids(spark):
     assert Counter(r.edited_sha256 for r in got) == want and sorted(r.doc_id is None for r in got) == [False, False, False, True]
 
 
+def test_ranges_follow_the_order_of_keys(spark):
+    """Cuts of a fixed number with equal parts between them: no key of a range lies among those of another, whatever the ids."""
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([rng.integers(-50, 50, 300), rng.integers(-(1 << 60), 1 << 60, 100), np.full(200, 7), [imatch._NO_ID] * 5])
+    h = rng.integers(0, 1 << 56, len(ids))
+    order = np.lexsort((h, ids))
+    ids, h = ids[order], h[order]
+    for cuts in (np.zeros((0, 2), np.int64), np.array([[-40, 5], [7, 1 << 54], [7, 1 << 55], [1000, 0]])):
+        for parts in (1, 3):
+            number = imatch.range_numbers(ids, h, cuts, (-(1 << 60), 1 << 60), parts)
+            assert (np.diff(number) >= 0).all() and number.min() >= 0 and number.max() < (len(cuts) + 1) * parts
+    assert len(set(imatch.range_numbers(ids, h, np.array([[7, 0], [7, 1 << 56]]), (0, 9), 4)[ids == 7])) == 4  # a hot id is split
+
+
+def test_neighbours_in_few_quantiles_and_many_ranges(spark):
+    """Three quantiles and 30 ranges, a third of the rows without an id, three of them equal: every text meets the one after it."""
+    rows = [(i * i, f"text {i} " * (i % 5)) for i in range(60)] + [(None, f"{i * 37 % 30} no id") for i in range(27)] + [(None, "same")] * 3
+    made = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    got = imatch.neighbours(made, np.zeros(0, np.uint64), ranges=30, quantiles=3).collect()
+    order = [t for _, t in sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1]))]
+    want = Counter(hashlib.sha256((t[: len(t) - len(t) // 4] + u[: len(t) // 4]).encode()).hexdigest() for t, u in zip(order, order[1:] + order[:1]))
+    assert Counter(r.edited_sha256 for r in got) == want
+
+
 def test_forward_and_gradient():
     """A plain forward pass, byte by byte, and numeric gradients."""
     net = quality.Network(1)

@@ -17,11 +17,11 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import _powers, documents, mix64, need, slices, small_batches, task_bytes, text_bytes, words
+from .common import _powers, discard, documents, mix64, need, saved, slices, small_batches, task_bytes, text_bytes, words
 
 #: Random subsets of each share of the lexicon, shares (1, 1/2, ... 2**(1 - LEVELS)), and how many of them a fingerprint has.
 SUBSETS, LEVELS, KEPT = 32, 24, 3
@@ -29,6 +29,8 @@ SUBSETS, LEVELS, KEPT = 32, 24, 3
 LEAST_TERMS = 8
 #: Ranges of ids that a task gets, about; a task gets as much text as the session reads of a file at once (spark.sql.files.maxPartitionBytes).
 TASK_RANGES = 4
+#: Quantiles of (doc_id, first bytes of the text) that the driver finds at most, from about 32 to 64 keys for each; more ranges are equal parts of the space between two.
+QUANTILES = 4096
 #: Band of document frequencies, as shares of the documents. The lower one bounds the lexicon:
 #: it has at most (mean distinct terms of a document) / LOW terms, at any size of the corpus.
 LOW, HIGH = 0.001, 0.2
@@ -240,48 +242,89 @@ def _edited(batches, known: np.ndarray):
 _NO_ID = -(1 << 63)
 
 
-def neighbours(docs: DataFrame, known: np.ndarray, ranges: int | None = None) -> DataFrame:
+def _head(text: str):
+    """The first seven bytes of a text as a number in the order of texts."""
+    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.col(text).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long"), F.lit(0))
+
+
+def _ordered(doc_id: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Pairs of longs as 16 bytes that compare as the pairs do."""
+    out = np.empty((len(doc_id), 2), ">u8")
+    for i, x in enumerate((doc_id, h)):
+        out[:, i] = np.ascontiguousarray(x, np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    return out.view("S16").ravel()
+
+
+def range_numbers(doc_id: np.ndarray, h: np.ndarray, cuts: np.ndarray, ends: tuple[int, int], parts: int) -> np.ndarray:
+    """The range of each key (doc_id, h): the number of cuts at or below it, then its part of `parts` between two cuts.
+
+    `cuts` [n, 2] ascend. Parts are equal steps of doc_id, or of h between cuts of one doc_id; `ends` are the least and
+    greatest doc_id. Numbers never fall as the keys rise, so that a range holds all keys between its own.
+    """
+    at = np.searchsorted(_ordered(cuts[:, 0], cuts[:, 1]), _ordered(doc_id, h), side="right")
+    if parts == 1:
+        return at.astype(np.int32)
+    edge = np.concatenate([[[ends[0], -(1 << 63)]], cuts, [[ends[1], (1 << 63) - 1]]]).astype(np.int64)
+    low, high = edge[at], edge[at + 1]
+    same = low[:, 0] == high[:, 0]
+    x, a, b = (np.where(same, own_h, own_id).astype(np.float64) for own_id, own_h in ((doc_id, h), (low[:, 0], low[:, 1]), (high[:, 0], high[:, 1])))
+    share = np.clip((x - a) / np.maximum(b - a, 1), 0, 1)
+    return (at * parts + np.minimum((share * parts).astype(np.int64), parts - 1)).astype(np.int32)
+
+
+def _hosts(keys: DataFrame, parts: int) -> DataFrame:
+    """The first key of each range with the range before it (of the first: the last), as a saved table."""
+    firsts = saved(keys.groupBy("rng").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("rng", "k.*", F.floor(F.col("rng") / parts).alias("q")), "imatch-firsts")
+    ends = firsts.groupBy("q").agg(F.max("rng").alias("last"))  # a row for each quantile
+    before = ends.select("q", F.coalesce(F.lag("last").over(Window.orderBy("q")), F.max("last").over(Window.partitionBy())).alias("before"))
+    host = F.coalesce(F.lag("rng").over(Window.partitionBy("q").orderBy("rng")), F.col("before"))
+    out = saved(firsts.join(F.broadcast(before), "q").select("doc_id", "h", host.alias("host")), "imatch-hosts")  # QUANTILES + 1 rows at most
+    discard(firsts)
+    return out
+
+
+def neighbours(docs: DataFrame, known: np.ndarray, ranges: int | None = None, *, quantiles: int = QUANTILES) -> DataFrame:
     """Fingerprints of each text, of its edited text and of the next document, by ascending doc_id (null first, equal ids by text).
 
-    Ids are cut into ranges of a quarter of a task's text, by quantiles of a
-    sample of ids; a range's first document is also sent to the range before,
-    and the first of all to the last, so that one shuffle of the texts brings
-    each document to the one that follows it. The driver holds three numbers
-    for each range. A null text counts as empty, repeated rows are documents of
-    their own, an empty table gives no row, and other columns don't come along.
+    Keys (doc_id, first seven bytes of the text) are cut into ranges of a quarter of a task's
+    text: the driver finds `quantiles` quantiles at most, from a sample whose
+    size does not grow with the table, and further ranges are equal parts
+    between two. A range's first document is also sent to the range before, and
+    the first of all to the last, so that one shuffle of the texts brings each
+    document to the one that follows it. Which documents are first stands in a
+    table of a row for each range, whose join Spark makes by its size. A null
+    text counts as empty; documents of one id are spread by how their texts
+    begin, and repeated rows are documents of their own in one range; an empty table gives
+    no row, and other columns don't come along.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), _head("text").alias("h"), "text")
+    real = F.when(F.col("doc_id") != _NO_ID, F.col("doc_id"))
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min(real).alias("least"), F.max(real).alias("most")).first()
     tasks = max(1, -(-(size["bytes"] or 0) // task_bytes(spark)), 2 * spark.sparkContext.defaultParallelism)
     ranges = ranges or TASK_RANGES * tasks
-    step = max(1, size["n"] // (32 * ranges))
-    ids = [r["doc_id"] for r in docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("doc_id").collect()]  # about 32 a range
-    cuts = np.unique(np.quantile(np.array(ids, np.int64), np.arange(1, ranges) / ranges, method="nearest")) if ids else np.zeros(0, np.int64)
-
-    @F.pandas_udf("int")
-    def range_of(doc_id: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, doc_id.to_numpy(), side="right").astype(np.int32))
-
-    lows = docs.select("doc_id", range_of("doc_id").alias("rng")).groupBy("rng").agg(F.min("doc_id").alias("low")).orderBy("rng").collect()  # a row for each range
-    low = np.array([r["low"] for r in lows], np.int64)
-    number = np.array([r["rng"] for r in lows], np.int32)
-    host = np.roll(number, 1)
+    quantiles = min(ranges, quantiles)
+    parts = -(-ranges // quantiles)
+    step = max(1, size["n"] // (32 * quantiles))
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(step)) == 0).groupBy("doc_id", "h").count().orderBy("doc_id", "h")
+    found = np.array([tuple(r) for r in sample.collect()], np.int64).reshape(-1, 3)  # about 32 to 64 for each quantile
+    total = np.cumsum(found[:, 2])
+    cuts = np.unique(found[np.searchsorted(total, np.arange(1, quantiles) * total[-1] / quantiles), :2], axis=0) if len(found) else found[:, :2]
+    ends = (size["least"] or 0, size["most"] or 0)
 
     @F.pandas_udf("int")
-    def visits(doc_id: pd.Series) -> pd.Series:
-        """The range that a document is a guest of, -1 for none."""
-        at = np.minimum(np.searchsorted(low, doc_id.to_numpy()), len(low) - 1)
-        return pd.Series(np.where(low[at] == doc_id.to_numpy(), host[at], -1).astype(np.int32))
+    def range_of(doc_id: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(range_numbers(doc_id.to_numpy(), h.to_numpy(), cuts, ends, parts))
 
+    hosts = _hosts(docs.select("doc_id", "h", range_of("doc_id", "h").alias("rng")), parts)
     stay = F.struct(F.col("own").alias("rng"), F.lit(False).alias("guest"))
     visit = F.struct(F.col("host").alias("rng"), F.lit(True).alias("guest"))
-    placed = docs.select("doc_id", "text", range_of("doc_id").alias("own"), visits("doc_id").alias("host"))
-    placed = placed.select("doc_id", "text", F.explode(F.filter(F.array(stay, visit), lambda x: x["rng"] >= 0)).alias("p")).select("p.*", "doc_id", "text")
+    placed = docs.withColumn("own", range_of("doc_id", "h")).join(hosts, ["doc_id", "h"], "left")
+    placed = placed.select("doc_id", "h", "text", F.explode(F.filter(F.array(stay, visit), lambda x: x["rng"].isNotNull())).alias("p")).select("p.*", "doc_id", "h", "text")
     small_batches(spark)
     return (
-        placed.repartition(tasks, "rng").sortWithinPartitions("rng", "guest", "doc_id", "text")
+        placed.repartition(tasks, "rng").sortWithinPartitions("rng", "guest", "doc_id", "h", "text")
         .mapInArrow(lambda batches: _edited(batches, known), "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
         .withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
     )
