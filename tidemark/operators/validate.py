@@ -27,7 +27,12 @@ class ValidationError(ValueError):
 def _rows(counts: DataFrame) -> DataFrame:
     """A one-row table of counts as rows."""
     names = counts.columns
-    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.coalesce(F.col(n), F.lit(0)).cast("long").alias("failing_rows")) for n in names])
+    return rows_of(counts, {n: F.col(f"`{n}`") for n in names})
+
+
+def rows_of(counts: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """Numbers made of a one-row table's columns, as rows; null counts as none."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.coalesce(c, F.lit(0)).cast("long").alias("failing_rows")) for n, c in checks.items()])
     return counts.select(F.explode(pairs).alias("c")).select("c.*").withColumn("ok", F.col("failing_rows") == 0)
 
 
@@ -113,21 +118,59 @@ def _unfinite(name: str) -> Column:
     return c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
 
 
+def daily_rows() -> dict[str, Column]:
+    return {"null_metrics": _null("mean_sst_c", "min_sst_c", "max_sst_c")}
+
+
+def climatology_rows() -> dict[str, Column]:
+    return {
+        "day_out_of_range": ~F.col("day_of_year").between(1, 365), "null_values": _null("clim_mean_sst_c", "clim_p90_sst_c"),
+        "bad_sample_size": F.col("sample_size").isNull() | (F.col("sample_size") <= 0),
+    }
+
+
+def anomaly_rows() -> dict[str, Column]:
+    return {"null_anomaly": _null("anomaly_c"), "null_flag": _null("above_p90")}
+
+
+def event_rows(latest: Column) -> dict[str, Column]:
+    """`latest` is the last day of the anomalies."""
+    return {
+        "start_after_end": F.col("start_date") > F.col("end_date"), "peak_outside": ~F.col("peak_date").between(F.col("start_date"), F.col("end_date")),
+        "bad_duration": F.col("duration_days") <= 0, "active_not_at_latest": F.col("is_active") & (F.col("end_date") != latest),
+    }
+
+
+def product_rows(prefix: str) -> dict[str, Column]:
+    return {f"{prefix}_product": F.coalesce(F.col("data_product") != "preliminary", F.lit(True)), f"{prefix}_not_provisional": ~F.coalesce("is_provisional", F.lit(False))}
+
+
+def preliminary_event_rows() -> dict[str, Column]:
+    return {
+        "event_start_after_end": F.col("start_date") > F.col("end_date"), "event_bad_duration": F.col("duration_days") <= 0,
+        "event_peak_outside": ~F.col("peak_date").between(F.col("start_date"), F.col("end_date")), **product_rows("event"),
+    }
+
+
+def monitoring_rows() -> dict[str, Column]:
+    return {
+        "unknown_product": ~F.coalesce(F.col("data_product").isin("final", "preliminary"), F.lit(False)),
+        "flag_inconsistent": (F.col("data_product") == "preliminary") != F.col("is_provisional"),
+    }
+
+
 def daily_history(df: DataFrame, entities: int = 6) -> DataFrame:
     return suite(
         missing_columns(df, history.DAILY), empty(df), differs(df, F.countDistinct("region_id"), entities, "region_count"),
         duplicates(df, ["date", "region_id"], "duplicate_keys"), amount(history.missing_dates(df), "missing_dates"),
-        amount(history.missing_keys(df), "missing_region_dates"), conditions(df, {"null_metrics": _null("mean_sst_c", "min_sst_c", "max_sst_c")}),
+        amount(history.missing_keys(df), "missing_region_dates"), conditions(df, daily_rows()),
     )
 
 
 def climatology(df: DataFrame, entities: int = 6) -> DataFrame:
     return suite(
         differs(df, F.count(F.lit(1)), entities * 365, "row_count"), duplicates(df, ["region_id", "day_of_year"], "duplicate_keys"),
-        conditions(df, {
-            "day_out_of_range": ~F.col("day_of_year").between(1, 365), "null_values": _null("clim_mean_sst_c", "clim_p90_sst_c"),
-            "bad_sample_size": F.col("sample_size").isNull() | (F.col("sample_size") <= 0),
-        }),
+        conditions(df, climatology_rows()),
     )
 
 
@@ -141,7 +184,7 @@ def anomalies(df: DataFrame, daily: DataFrame, *, strict: bool = False) -> DataF
     both = ends(df, "x").join(F.broadcast(ends(base, "y"))).join(F.broadcast(last))  # one row each
     bad = lambda c: F.when(c, 0).otherwise(1)
     return suite(
-        duplicates(df, ["date", "region_id"], "duplicate_keys"), conditions(df, {"null_anomaly": _null("anomaly_c"), "null_flag": _null("above_p90")}),
+        duplicates(df, ["date", "region_id"], "duplicate_keys"), conditions(df, anomaly_rows()),
         _rows(both.select(
             F.abs(F.col("xn") - F.col("yn")).alias("row_count_differs"), bad(F.col("xa") == F.col("ya")).alias("first_date_differs"),
             bad(F.col("xb") == F.col("yb")).alias("last_date_differs"), (F.col("yr") - F.col("last_r")).alias("regions_missing_on_last_date"),
@@ -154,28 +197,21 @@ def events(df: DataFrame, rows: DataFrame) -> DataFrame:
     checked = df.join(F.broadcast(latest))  # one row
     return suite(
         duplicates(df, ["event_id"], "duplicate_event_id"),
-        conditions(checked, {
-            "start_after_end": F.col("start_date") > F.col("end_date"), "peak_outside": ~F.col("peak_date").between(F.col("start_date"), F.col("end_date")),
-            "bad_duration": F.col("duration_days") <= 0, "active_not_at_latest": F.col("is_active") & (F.col("end_date") != F.col("_latest")),
-        }),
+        conditions(checked, event_rows(F.col("_latest"))),
     )
 
 
 def preliminary(daily: DataFrame, anomaly: DataFrame, event: DataFrame, entities: int = 6) -> DataFrame:
-    product = lambda p: {f"{p}_product": F.coalesce(F.col("data_product") != "preliminary", F.lit(True)), f"{p}_not_provisional": ~F.coalesce("is_provisional", F.lit(False))}
     last = anomaly.groupBy("date").agg(F.countDistinct("region_id").alias("r")).agg(F.max_by("r", "date").alias("r"))
     columns = {"sst": [*history.DAILY, *PRODUCT], "anomaly": [*ANOMALY, *PRODUCT], "event": [*EVENT, *PRODUCT]}
     return suite(
         *[missing_columns(df, columns[p], f"{p}_columns") for p, df in (("sst", daily), ("anomaly", anomaly), ("event", event))], empty(daily, "sst_empty"), empty(anomaly, "anomalies_empty"),
         duplicates(daily, ["date", "region_id"], "sst_duplicates"), duplicates(anomaly, ["date", "region_id"], "anomaly_duplicates"),
-        differs(daily, F.countDistinct("region_id"), entities, "sst_regions"), conditions(daily, product("sst")), conditions(anomaly, product("anomaly")),
+        differs(daily, F.countDistinct("region_id"), entities, "sst_regions"), conditions(daily, product_rows("sst")), conditions(anomaly, product_rows("anomaly")),
         amount(history.key_difference(daily, anomaly, ["region_id", "date"]), "key_sets_differ"),
         _rows(last.select(F.greatest(F.lit(entities) - F.coalesce("r", F.lit(0)), F.lit(0)).alias("latest_day_incomplete"))),
         duplicates(event, ["event_id"], "duplicate_event_id"),
-        conditions(event, {
-            "event_start_after_end": F.col("start_date") > F.col("end_date"), "event_bad_duration": F.col("duration_days") <= 0,
-            "event_peak_outside": ~F.col("peak_date").between(F.col("start_date"), F.col("end_date")), **product("event"),
-        }),
+        conditions(event, preliminary_event_rows()),
     )
 
 
@@ -184,10 +220,7 @@ def monitoring(actual: DataFrame, expected: DataFrame) -> DataFrame:
     n = lambda k: F.count(F.when(F.col("problem") == k, 1)).alias(f"{k}_rows")
     return suite(
         missing_columns(actual, [*ANOMALY, *PRODUCT]), empty(actual), duplicates(actual, ["region_id", "date"], "duplicate_keys"),
-        conditions(actual, {
-            "unknown_product": ~F.coalesce(F.col("data_product").isin("final", "preliminary"), F.lit(False)),
-            "flag_inconsistent": (F.col("data_product") == "preliminary") != F.col("is_provisional"),
-        }),
+        conditions(actual, monitoring_rows()),
         _rows(problems.agg(n("missing"), n("extra"), n("wrong_product"))),
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, geo, labels
-from ..operators import backfill, cells, history, monitoring, projection, series, spatial, validate
+from ..operators import backfill, cells, gathered, history, monitoring, projection, series, spatial, validate
 from ..sources import files
 from ..streaming import incremental
 from . import oracle, proxy
@@ -875,7 +875,7 @@ def publish_checked(spark: SparkSession, tables: dict[str, DataFrame], root: str
     """Write the tables, check them as written, then switch; return the published monitoring table. A failing check is an error, and nothing is published."""
     groups = {"final": {n: tables[n] for n in _FINAL_TABLES}, "preliminary": {n: df for n, df in tables.items() if n.startswith("preliminary_")}, "monitoring": {"monitoring": tables["monitoring"]}}
     target = files.Publication(spark, root)
-    target.publish(files.publication_plan(**groups), check=lambda staged: validate.require(gate(staged)))
+    target.publish(files.publication_plan(**groups), observe=gathered.observed, check=lambda staged: validate.require(gathered.report(staged, target.seen)))
     return target.read("monitoring")
 
 
@@ -1100,8 +1100,10 @@ _GATE = {
 
 @query("daily_report", oracle.checks([(f"{p}.{n}", q) for p, rows in _GATE.items() for n, q in rows]))
 def daily_report(spark, sf):
-    """The gate's report on the tables of a daily run as they are, written once and read by each check."""
-    return gate(files.Publication(spark, work_dir(spark)).stage(_tables(spark, sf), "checked"))
+    """The report on the tables of a daily run as they are: gathered while they are written, and from one table of their keys."""
+    path, target = work_dir(spark), files.Publication(spark, work_dir(spark))
+    files.write_parquet(proxy.daily(spark, sf), path)
+    return gathered.report(target.stage(_tables(spark, sf, spark.read.parquet(path)), "checked", gathered.observed), target.seen)
 
 
 _PARTS = {"no_mean": "mean_sst_c < 12", "warm": "anomaly_c > 2", "no_flag": "above_p90 IS NULL", "early": "date < DATE '1995-01-10'"}
@@ -1248,15 +1250,14 @@ def validate_cell_regions(spark, sf):
 
 @query("validation_report", oracle.checks([(f"{p}.{n}", q) for p, rows in (("history", _HISTORY), ("climatology", _CLIM), ("anomalies", _ANOM), ("events", _EVENTS)) for n, q in rows]))
 def validation_report(spark, sf):
-    """All checks of four tables, each written once and read by its checks."""
-    d = proxy.daily(spark, sf)
-    staged = files.Publication(spark, work_dir(spark)).stage({"d": d, "c": proxy.climatology(spark, sf)}, "base")
-    d, c = staged["d"], staged["c"]
-    a = series.anomalies(d, c)
-    a = files.Publication(spark, work_dir(spark)).stage({"a": a}, "rows")["a"]
-    e = series.heat_events(a)
-    parts = {"history": validate.daily_history(d), "climatology": validate.climatology(c), "anomalies": validate.anomalies(a, d), "events": validate.events(e, a)}
-    return validate.suite(*[r.withColumn("check_name", F.concat(F.lit(f"{n}."), F.col("check_name"))) for n, r in parts.items()])
+    """All checks of four tables, gathered while these are written; each is read once more for its keys."""
+    target, staged = files.Publication(spark, work_dir(spark)), {}
+    add = lambda name, df: staged.update(target.stage({name: df}, "checked", gathered.observed))
+    add("region_daily_sst", proxy.daily(spark, sf))
+    add("region_climatology", proxy.climatology(spark, sf, staged["region_daily_sst"]))
+    add("region_daily_anomalies", series.anomalies(staged["region_daily_sst"], staged["region_climatology"]))
+    add("heat_events", series.heat_events(staged["region_daily_anomalies"]))
+    return gathered.report(staged, target.seen)
 
 
 # --- streaming

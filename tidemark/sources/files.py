@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -187,6 +188,10 @@ def download_manifest(dates: DataFrame, base: str = "https://example.invalid/avh
     return dates.select("date", url.alias("url"), F.format_string("oisst_%s.nc", F.date_format("date", "yyyy-MM-dd")).alias("file_name"))
 
 
+#: Of a table's name and what was observed of earlier tables, the aggregates to observe of it.
+Observe = Callable[[str, Mapping[str, Mapping[str, Any]]], Mapping[str, Column]]
+
+
 class Publication:
     """A set of tables under one root, replaced together.
 
@@ -197,29 +202,41 @@ class Publication:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.seen: dict[str, dict[str, Any]] = {}
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def publish(self, tables: Mapping[str, DataFrame], version: str | None = None, *, check: Callable[[dict[str, DataFrame]], None] | None = None) -> str:
+    def publish(self, tables: Mapping[str, DataFrame], version: str | None = None, *, check: Callable[[dict[str, DataFrame]], None] | None = None, observe: Observe | None = None) -> str:
         """Write all, then switch; a failure before the switch leaves the old set.
 
         `check` gets the tables as they were written and raises if they may not
         be published: it reads what readers would, and computes nothing anew.
+        `observe` is that of `stage`.
         """
         version = version or uuid.uuid4().hex
-        staged = self.stage(tables, version)
+        staged = self.stage(tables, version, observe)
         if check:
             check(staged)
         self.switch(version, sorted(tables))
         return version
 
-    def stage(self, tables: Mapping[str, DataFrame], version: str) -> dict[str, DataFrame]:
-        """Write tables under a version that no reader sees yet, and read them back."""
+    def stage(self, tables: Mapping[str, DataFrame], version: str, observe: Observe | None = None) -> dict[str, DataFrame]:
+        """Write tables under a version that no reader sees yet, and read them back.
+
+        `observe(name, seen)` gives aggregates that the job which writes a table
+        computes along; their values go to `self.seen[name]`, which is what it
+        gets for the tables written before.
+        """
         if not tables:
             raise ValueError("no table to publish")
         for name, df in tables.items():
-            df.write.mode("errorifexists").parquet(f"{self.root}/version={version}/{name}")
+            wanted = observe(name, self.seen) if observe else {}
+            note = Observation()
+            out = df.observe(note, *[c.alias(n) for n, c in wanted.items()]) if wanted else df
+            out.write.mode("errorifexists").parquet(f"{self.root}/version={version}/{name}")
+            if wanted:
+                self.seen[name] = dict(note.get)
         return {name: self.spark.read.schema(df.schema).parquet(f"{self.root}/version={version}/{name}") for name, df in tables.items()}
 
     def switch(self, version: str, names: Sequence[str]) -> None:
