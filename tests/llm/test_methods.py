@@ -175,6 +175,39 @@ def test_neighbours_of_equal_and_null_ids(spark):
     assert Counter(r.edited_sha256 for r in got) == want and sorted(r.doc_id is None for r in got) == [False, False, False, True]
 
 
+def test_fit_takes_whole_texts(spark, monkeypatch):
+    """Texts of 100,000 characters come whole, in a bounded volume; null texts, and those that no bound allows, don't come."""
+    texts = {i: f"{i} " + "plain words of prose " * 4761 + f"sign {i}" for i in range(30)} | {30: None, 31: "x" * 300_000, 32: "", 33: "short"}
+    docs = spark.createDataFrame([*texts.items(), (33, "short")], "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id bigint, quality int")
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda t, y: seen.update(texts=t, labels=y))
+    free = {r.doc_id for r in labels.filter(~quality.held_out()).collect()}
+    quality.train(docs, labels, volume=4_000_000)
+    whole = sorted(texts[i] for i in free if texts[i] is not None and i != 31)
+    assert sorted(seen["texts"]) == sorted(whole + ["short"] * (33 in free)) and max(map(len, whole)) > 99_000
+    quality.train(docs, labels, volume=1_700_000)  # the same order, cut where the sum passes the bound
+    cut = seen["texts"]
+    assert 10 < len(cut) < len(whole) and sum(map(len, cut)) <= 1_700_000 and all(t in whole for t in cut)
+
+
+def test_signal_anywhere_in_a_long_text(monkeypatch):
+    """Of texts of 30,000 characters a half have 400 signs somewhere; others are told apart by them, wherever they stand."""
+    monkeypatch.setattr(quality, "STEPS", 50)
+    rng = np.random.default_rng(8)
+    plain = "the quiet river ran past an old mill and a field of barley "
+
+    def made(bad: bool) -> str:
+        text = (plain * 520)[:30_000]
+        at = int(rng.integers(0, 29_600))
+        return text[:at] + "".join(rng.choice(list("#$%&|<>*"), 400)) + text[at + 400 :] if bad else text[at % 59 :]
+
+    y = [i % 2 for i in range(60)]
+    net = quality.fit([made(not k) for k in y[:40]], y[:40])
+    score = net.score(*text_bytes(pa.array([made(not k) for k in y[40:]])))
+    assert score[1::2].min() > score[::2].max()
+
+
 def test_ranges_follow_the_order_of_keys(spark):
     """Cuts of a fixed number with equal parts between them: no key of a range lies among those of another, whatever the ids."""
     rng = np.random.default_rng(3)

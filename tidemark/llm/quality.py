@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, need, slices, small_batches, text_bytes
@@ -22,8 +22,8 @@ HALF = 128
 PAD = 32
 #: Half chunks whose filter outputs are held at once.
 BLOCK = 512
-#: Labelled texts that a fit takes at most, and the code points of each; a longer one is fitted by PIECES stretches spread evenly over it.
-SAMPLE_DOCS, SAMPLE_CHARS, PIECES = 2000, 20_000, 40
+#: Labelled texts that a fit takes at most, and their bytes together. Texts are fitted whole; one of over a sixteenth of these bytes is not taken.
+SAMPLE_DOCS, SAMPLE_BYTES = 2000, 64 << 20
 #: Steps of a fit, whatever the number of rows, their size and the rows of each.
 STEPS, STEP, BATCH = 400, 0.006, 32
 THRESHOLD = 0.3
@@ -171,27 +171,27 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, *, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Network:
-    """Fit on at most `most` labelled documents outside the held-out fifth, chosen by a hash of doc_id.
+def train(docs: DataFrame, labels: DataFrame, *, most: int = SAMPLE_DOCS, volume: int = SAMPLE_BYTES) -> Network:
+    """Fit on at most `most` labelled documents of at most `volume` bytes together, outside the held-out fifth, chosen by a hash of doc_id.
 
     Labels other than 0 and 1, documents with both and null texts are left out.
     Without any labelled row, as with an empty table, the network is the initial
-    one; rows repeated count as often as they stand; other columns are not read. A text of more than
-    `chars` code points is fitted by PIECES stretches that lie evenly over it.
+    one; rows repeated count as often as they stand; other columns are not read.
+    Texts are fitted whole. Those of over a sixteenth of `volume` are left out,
+    as are, in the order of the hash, those with which the sum passes `volume`.
     """
     need(labels, "doc_id", "quality")
     chosen = (
         labels.filter(~held_out() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
         .filter("quality = other").drop("other").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(most)
     )
-    n, size = F.length("text"), chars // PIECES
-    pieces = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.substring("text", (i * (n - size) / (PIECES - 1)).cast("int") + 1, F.lit(size))), "")
-    text = F.when(n > chars, pieces).otherwise(F.col("text"))
-    rows = (
-        docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")  # `most` rows
-        .select("doc_id", text.alias("text"), "quality")
-        .orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id", "text").limit(most).collect()
+    order = [F.xxhash64("doc_id", F.lit(4)), F.col("doc_id"), F.col("text")]
+    taken = (
+        docs.filter(F.octet_length("text") <= volume // 16).join(F.broadcast(chosen), "doc_id")  # `most` rows
+        .select("doc_id", "text", "quality").orderBy(*order).limit(most)
     )
+    run = F.sum(F.octet_length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = taken.withColumn("run", run).filter(F.col("run") <= volume).orderBy(*order).collect()
     return fit([r["text"] for r in rows], [r["quality"] for r in rows])
 
 
