@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import geo
 from tidemark.operators import cells, cover, spatial, validate
 from tidemark.sources import files
 
@@ -244,3 +245,18 @@ def test_rows_of_another_year(spark):
     failing = lambda report: {r.check_name: r.failing_rows for r in report.collect() if not r.ok}
     assert failing(validate.cell_year(days, domain, 2019)) == {} == failing(validate.trend_input(days, 2019))
     assert failing(validate.cell_year(days.union(late), domain, 2019)) == {"other_year": 1} == failing(validate.trend_input(days.union(late), 2019))
+
+
+def test_places_are_projected_once(spark):
+    """A filter on projected coordinates is asked of each place, not of each row that repeats it."""
+    rows = spark.range(1000).selectExpr("170 + id % 4 AS lon", "-40 - id % 2 AS lat")
+    at = geo.with_nztm(spatial.once(rows, "lon", "lat"), "lon", "lat", "_px", "_py").filter("_px is not null and _py is not null")
+    plan = at._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert at.count() == 4 and "atanh" not in plan[plan.rindex("aggregate") :]
+    c = rows.selectExpr("concat(lon, ' ', lat) AS cell_id", "double(lon) AS longitude", "double(lat) AS latitude")
+    land = spatial.edges(polygons(spark, [(1, [(0, 0, square(171.5, 172.5, -41.5, -40.5))])]))
+    out = spatial.distances(c, land, 75.0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower().split("\n")
+    scans = [i for i, line in enumerate(plan) if "range (" in line]
+    assert scans and not any("filter" in line and "atanh" in line for i in scans for line in plan[max(0, i - 2) : i])
+    assert out.count() == 1000 and out.filter("is_land").count() == 0
