@@ -260,3 +260,13 @@ def test_places_are_projected_once(spark):
     scans = [i for i, line in enumerate(plan) if "range (" in line]
     assert scans and not any("filter" in line and "atanh" in line for i in scans for line in plan[max(0, i - 2) : i])
     assert out.count() == 1000 and out.filter("is_land").count() == 0
+
+
+def test_narrow_polygons_meet_few_places(spark):
+    """Cells of a cover follow the polygon's box: a long narrow one is not tested against places far beside it."""
+    rings = [(k, [(0, 0, square(160, 182, k - 0.05, k + 0.05))]) for k in range(8)] + [(9, [(0, 0, square(161, 161.1, -20, 20))])]
+    places = spark.createDataFrame([(160.5 + i / 2, j / 4) for i in range(43) for j in range(-8, 40)], "_px double, _py double")
+    e = spatial.edges(polygons(spark, rings))
+    met = cover.tested(places, cover.cells(e)).collect()
+    inside = {(r._px, r._py, r.polygon) for r in met if r._odd and not r._on}
+    assert inside == {(160.5 + i / 2, float(k), k) for i in range(43) for k in range(8)} and len(met) < 3 * len(inside)
