@@ -270,3 +270,19 @@ def test_narrow_polygons_meet_few_places(spark):
     met = cover.tested(places, cover.cells(e)).collect()
     inside = {(r._px, r._py, r.polygon) for r in met if r._odd and not r._on}
     assert inside == {(160.5 + i / 2, float(k), k) for i in range(43) for k in range(8)} and len(met) < 3 * len(inside)
+
+
+def test_overlaps_of_boxes_and_others(spark):
+    """Boxes of many sizes, and polygons that are no boxes, against brute force; no pair of boxes is shuffled."""
+    rng = random.Random(8)
+    boxes = {k: (x := rng.uniform(-20, 20), x + 4 ** rng.uniform(-3, 2), y := rng.uniform(-20, 20), y + 4 ** rng.uniform(-3, 2)) for k in range(60)}
+    boxes |= {60: (0.0, 4.0, 0.0, 4.0), 61: (4.0, 8.0, 0.0, 4.0), 62: (0.0, 4.0, 0.0, 4.0)}
+    rows = [(k, [(0, 0, square(*b))]) for k, b in boxes.items()] + [(70, [(0, 0, [(0, 0), (4, 0), (0, 4), (0, 0)])])]
+    got = {(r.polygon, r.other): r.area for r in spatial.overlap_areas(spatial.edges(polygons(spark, rows)), metres=False, least=0).collect()}
+    share = lambda a, b: max(0.0, min(a[1], b[1]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[2], b[2]))
+    want = {(a, b): share(boxes[a], boxes[b]) for a in boxes for b in boxes if a < b}
+    assert {k: v for k, v in got.items() if k[1] < 70} == {k: v for k, v in want.items() if v > 0} and got[(60, 62)] == 16.0
+    assert got[(60, 70)] == pytest.approx(8.0) and got[(62, 70)] == pytest.approx(8.0)
+    e = spatial.edges(polygons(spark, rows))
+    kinds = spatial._boxes(e, "polygon").filter("polygon in (60, 70)").collect()
+    assert {r.polygon: r._plain for r in kinds} == {60: True, 70: False}
