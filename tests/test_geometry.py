@@ -286,3 +286,10 @@ def test_overlaps_of_boxes_and_others(spark):
     e = spatial.edges(polygons(spark, rows))
     kinds = spatial._boxes(e, "polygon").filter("polygon in (60, 70)").collect()
     assert {r.polygon: r._plain for r in kinds} == {60: True, 70: False}
+
+
+def test_ties_at_a_limit_do_not_fail(spark):
+    """A value that is at the limit but for the last bits of a sum is at the limit."""
+    rows = spark.createDataFrame([(1, 2.0), (2, 2.0000000000000004), (3, 1.9999999999999998), (4, 2.25)], "k int, anomaly_c double")
+    got = validate.with_examples(validate.settled(rows, "anomaly_c"), {"warm": F.expr("anomaly_c > 2")}, ["k"]).first()
+    assert (got.failing_rows, got.examples) == (1, ["4"])
