@@ -257,6 +257,31 @@ def test_random_tokens_are_found(spark):
     assert right >= 0.9 * 150 and right >= 0.9 * (right + wrong)
 
 
+def test_ordinary_strings_are_of_whole_texts(spark):
+    """All letters of a text lend strings to each encoding and band; each has the statistic that the battery gives it."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghinorstABCDQXZz") for _ in range(rng.randint(1, 12))) for _ in range(900)]
+    odd = ["x" * 25, "abc1def", "7up", "é" + "Q" * 21 + "é", "a-b", "été", "9"]
+    made = [" ".join(words), "\n".join(w for x in words[:150] for w in (x, rng.choice(odd))), "abcdefabcdefabcdefab", "", None]
+    rows = []
+    for text in made:
+        kept = re.sub("[A-Za-z+/_-]{20,}", "", re.sub(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "", text or ""))
+        kept = re.sub("[^A-Za-z]", "", kept)
+        for encoding, own in (("hex", re.sub("[^a-f]", "", kept.lower())), ("base32", kept.upper()), ("base64", kept)):
+            symbols = secrets._ALPHABETS[encoding][1]
+            rows += [
+                (encoding, band, [float(symbols.index(c)) for c in own[i : i + n]], len(symbols))
+                for band, n in enumerate(secrets.BANDS) for i in range(0, len(own) - n + 1, n)
+            ]
+    seen = lambda df: Counter((r.encoding, r.band, round(r.statistic, 6)) for r in df.collect())
+    docs = table(spark, made)
+    want = seen(secrets.battery(spark.createDataFrame(rows, "encoding string, band int, code array<double>, symbols int")))
+    assert sum(want.values()) == len(rows) > 1000 and seen(secrets.ordinary(docs)) == want
+    cells = [("hex", 0), ("base64", 5)]
+    assert seen(secrets.ordinary(docs, cells)) == Counter({k: n for k, n in want.items() if k[:2] in cells})
+    assert not secrets.ordinary(docs, []).collect()
+
+
 def test_battery_against_scalar_formulas(spark):
     """The three p-values of each token, computed one at a time with the error function."""
     rng = random.Random(8)
